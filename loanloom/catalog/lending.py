@@ -1,41 +1,21 @@
-"""The registered queries: every operator run over one folder of parquet tables."""
+"""Registered queries: the lending tables and answers."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loanloom.plans import answers
 from loanloom.plans.lending import Lending
-from loanloom.samples.lending import COHORT, CUTOFF, raw_tables
+from loanloom.samples.lending import COHORT, CUTOFF, RawTables
 from loanloom.sources.layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def present(df: DataFrame) -> DataFrame:
-    """Plain output types, so any client compares results alike.
-
-    Decimals become doubles, dates and instants text; all else is kept.
-    """
-    shown = []
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
-        elif isinstance(field.dataType, T.TimestampNTZType):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSS")
-        shown.append(column.alias(field.name))
-    return df.select(*shown)
-
-
 def lending(spark: SparkSession, folder: str) -> Lending:
-    return Lending(raw_tables(spark, folder), CUTOFF, Layers(spark))
+    return Lending(RawTables(spark, folder), CUTOFF, Layers(spark))
 
 
 def _table(name: str) -> Query:
@@ -79,10 +59,3 @@ LENDING: dict[str, Query] = {
     ),
     "q7_redundant_ids": lambda s, d: answers.redundant_ids(lending(s, d).dim_customer),
 }
-
-
-def all_queries() -> dict[str, Query]:
-    def shown(query: Query) -> Query:
-        return lambda spark, folder: present(query(spark, folder))
-
-    return {name: shown(query) for name, query in LENDING.items()}

@@ -326,3 +326,11 @@ def allocate(
         .otherwise(0)
         .alias("days_past_due"),
     )
+
+
+def month_end_calendar(loans: DataFrame, cutoff: date) -> DataFrame:
+    """Every month-end from the first disbursement through the cutoff."""
+    first = loans.agg(F.min("disbursement_date").alias("first"))
+    return first.select(
+        F.explode(month_ends_between(F.col("first"), cutoff)).alias("cutoff_date")
+    )

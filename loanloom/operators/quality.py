@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanloom.operators.allocation import effective_by_month_end
+
 
 class QualityError(ValueError):
     """A table broke a rule that its reader insists on."""
@@ -133,20 +136,36 @@ def reversal_violations(events: DataFrame) -> DataFrame:
 
 
 def source_profile(df: DataFrame, name: str, **flags: Column) -> DataFrame:
-    """Rows, exact duplicates and how often each named condition holds.
+    """Rows, exact duplicates and how often each named condition holds, one per row.
 
     Duplicates are folded by a grouped count first, so every stage combines
     before it shuffles.
     """
     folded = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    return folded.agg(
-        F.sum("_copies").alias("n_rows"),
-        (F.sum("_copies") - F.count("*")).alias("n_duplicates"),
-        *[
-            F.coalesce(F.sum(F.when(flag, F.col("_copies"))), F.lit(0)).alias(label)
-            for label, flag in flags.items()
-        ],
-    ).select(F.lit(name).alias("source"), "*")
+    copies = F.col("_copies")
+    measures = {
+        "n_rows": F.sum(copies),
+        "n_duplicates": F.sum(copies) - F.count("*"),
+        **{label: F.sum(F.when(flag, copies)) for label, flag in flags.items()},
+    }
+    totals = folded.agg(*[m.alias(label) for label, m in measures.items()])
+    pairs = [
+        F.struct(
+            F.lit(label).alias("measure"), F.coalesce(label, F.lit(0)).alias("n")
+        )
+        for label in measures
+    ]
+    return totals.select(F.lit(name).alias("source"), F.inline(F.array(*pairs)))
+
+
+def mixed_styles(df: DataFrame, keys: Sequence[str], style: Column) -> DataFrame:
+    """Keys whose rows write the same kind of value in more than one style."""
+    return (
+        df.groupBy(*keys)
+        .agg(F.min(style).alias("_low"), F.max(style).alias("_high"))
+        .where("_low <> _high")
+        .select(*keys)
+    )
 
 
 def reconcile(**sides: tuple[DataFrame, DataFrame]) -> DataFrame:
@@ -160,3 +179,54 @@ def reconcile(**sides: tuple[DataFrame, DataFrame]) -> DataFrame:
         )
         rows = row if rows is None else rows.unionByName(row)
     return rows.withColumn("agrees", F.col("expected") == F.col("actual"))
+
+
+def fifo_violations(
+    status: DataFrame, loans: DataFrame, history: DataFrame, cutoff: date
+) -> DataFrame:
+    """Loans and month-ends where the allocation lost money or broke the order.
+
+    ``row``: a negative amount, paid + remaining ≠ due, or a later installment
+    paid while an earlier one is open. ``total``: the allocated sum is not the
+    smaller of what is due and what was effectively paid.
+    """
+    earlier = (
+        Window.partitionBy("cutoff_date", "loan_id")
+        .orderBy("installment_number")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    open_before = F.coalesce(F.sum("remaining_amount").over(earlier), F.lit(0))
+    paid, left, due = (
+        F.col("paid_amount"),
+        F.col("remaining_amount"),
+        F.col("amount_due"),
+    )
+    bad = (
+        (paid < 0)
+        | (left < 0)
+        | (F.abs(paid + left - due) > 0.005)
+        | ((paid > 0) & (F.col("_open") > 0.005))
+    )
+    per_loan = (
+        status.withColumn("_open", open_before)
+        .groupBy("cutoff_date", "loan_id")
+        .agg(
+            F.bool_or(bad).alias("_bad"),
+            F.sum("amount_due").alias("_due"),
+            F.sum("paid_amount").alias("_paid"),
+        )
+    )
+    known = history.join(loans.select("loan_id"), "loan_id", "left_semi")
+    received = (
+        effective_by_month_end(known, cutoff)
+        .groupBy("cutoff_date", "loan_id")
+        .agg(F.sum("amount").alias("_received"))
+    )
+    expected = F.least("_due", F.coalesce("_received", F.lit(0)))
+    off = F.abs(F.col("_paid") - expected) > 0.005
+    rules = F.array_compact(
+        F.array(F.when(F.col("_bad"), F.lit("row")), F.when(off, F.lit("total")))
+    )
+    return per_loan.join(received, ["cutoff_date", "loan_id"], "left").select(
+        "cutoff_date", "loan_id", F.explode(rules).alias("rule")
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,3 +100,9 @@ def asof_join(
         .join(last, on_key, "left")
         .select(*[F.col(c) for c in rows.columns], found.alias(value))
     )
+
+
+def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Distinct key values that occur in any of the frames."""
+    parts = [frame.select(*keys) for frame in frames]
+    return reduce(DataFrame.unionByName, parts).distinct()

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from loanloom.oracles.lending import LENDING_CTES, LENDING_SQL
+from loanloom.oracles.operators import OPERATOR_SQL
 from loanloom.oracles.triage import TRIAGE_CTES, TRIAGE_SQL
 
 CTES = {**LENDING_CTES, **TRIAGE_CTES}
@@ -26,6 +27,8 @@ def _needed(sql: str, found: list[str]) -> list[str]:
 
 def statement(select: str) -> str:
     """The select with every table expression it uses in front of it."""
+    if select.strip().startswith("WITH"):
+        select = f"SELECT * FROM ({select})"
     names = _needed(select, [])
     if not names:
         return select
@@ -34,4 +37,5 @@ def statement(select: str) -> str:
 
 
 def all_statements() -> dict[str, str]:
-    return {name: statement(sql) for name, sql in {**LENDING_SQL, **TRIAGE_SQL}.items()}
+    every = {**LENDING_SQL, **OPERATOR_SQL, **TRIAGE_SQL}
+    return {name: statement(sql) for name, sql in every.items()}

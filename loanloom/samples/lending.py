@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions.instants import local_date
@@ -57,23 +58,53 @@ def hours(n: Column) -> Column:
     return F.make_dt_interval(F.lit(0), n.cast("int"))
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All seven extracts over one data folder."""
+class RawTables(Mapping):
+    """The seven extracts over one data folder, each built when first asked for."""
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+    NAMES = (
+        "raw_applications_cdc",
+        "raw_customers",
+        "raw_fx_rates",
+        "raw_installments",
+        "raw_loans",
+        "raw_merchants_history",
+        "raw_payments",
+    )
 
-    orders = _orders(table("orders"), table("supplier"))
-    loans = _loans(orders, table("customer"))
-    return {
-        "raw_applications_cdc": _applications(orders, table("customer")),
-        "raw_customers": _customers(table("customer")),
-        "raw_fx_rates": _fx_rates(spark),
-        "raw_installments": _installments(loans),
-        "raw_loans": _loan_rows(loans),
-        "raw_merchants_history": _merchants(table("supplier")),
-        "raw_payments": _payments(table("lineitem"), orders),
-    }
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+        self._built: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+
+    def _build(self, name: str) -> DataFrame:
+        if name == "raw_fx_rates":
+            return _fx_rates(self._spark)
+        if name == "raw_customers":
+            return _customers(self._table("customer"))
+        if name == "raw_merchants_history":
+            return _merchants(self._table("supplier"))
+        orders = _orders(self._table("orders"), self._table("supplier"))
+        if name == "raw_payments":
+            return _payments(self._table("lineitem"), orders)
+        if name == "raw_applications_cdc":
+            return _applications(orders, self._table("customer"))
+        loans = _loans(orders, self._table("customer"))
+        return _loan_rows(loans) if name == "raw_loans" else _installments(loans)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
 
 
 def _orders(orders: DataFrame, supplier: DataFrame) -> DataFrame:
@@ -211,8 +242,6 @@ def _installments(loans: DataFrame) -> DataFrame:
 
 
 def _payments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
     lines = lineitem.groupBy(
         F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line")
     ).agg(F.sum(to_cents(F.col("l_extendedprice"))).alias("paid_cents"))

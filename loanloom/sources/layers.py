@@ -42,9 +42,13 @@ class Layers:
         A stored table survives lost executors, is pruned by column and gives the
         planner its true size.
         """
-        writer = df.write.mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            # Rebalancing gathers each value's rows but splits large ones, so the
+            # write makes neither tiny files nor one huge task.
+            writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+        else:
+            writer = df.write
+        writer = writer.mode("overwrite")
         writer.parquet(self.path(layer, name))
         return self.read(df.schema, layer, name)
 
