@@ -14,7 +14,8 @@ from loanloom.catalog.triage import TRIAGE
 def present(df: DataFrame) -> DataFrame:
     """Plain output types, so any client compares results alike.
 
-    Decimals become doubles, dates and instants text; all else is kept.
+    Decimals become doubles, dates and instants text, lists of text one text
+    joined by ``|``; all else is kept.
     """
     shown = []
     for field in df.schema.fields:
@@ -25,6 +26,8 @@ def present(df: DataFrame) -> DataFrame:
             column = column.cast("string")
         elif isinstance(field.dataType, T.TimestampNTZType):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSS")
+        elif isinstance(field.dataType, T.ArrayType):
+            column = F.array_join(column, "|")
         shown.append(column.alias(field.name))
     return df.select(*shown)
 
