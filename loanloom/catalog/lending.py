@@ -14,8 +14,20 @@ from loanloom.sources.layers import Layers
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# The loaded extracts of each session and folder. Queries share them as they would
+# share source tables; everything computed from them is computed per query.
+_BRONZE: dict[tuple[str, str], RawTables] = {}
+
+
+def extracts(spark: SparkSession, folder: str) -> RawTables:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BRONZE:
+        _BRONZE[key] = RawTables(spark, folder, Layers(spark))
+    return _BRONZE[key]
+
+
 def lending(spark: SparkSession, folder: str) -> Lending:
-    return Lending(RawTables(spark, folder), CUTOFF, Layers(spark))
+    return Lending(extracts(spark, folder), CUTOFF, Layers(spark))
 
 
 def _table(name: str) -> Query:

@@ -20,10 +20,10 @@ from loanloom.functions.text import blank_to_null
 from loanloom.operators import quality
 from loanloom.operators.allocation import (
     allocate,
+    completed_at,
     due_ranges,
     effective_at,
     effective_by_month_end,
-    settlements,
 )
 from loanloom.operators.allocation import month_end_calendar as calendar_of
 from loanloom.operators.change_log import (
@@ -284,11 +284,11 @@ def fifo_settlement(spark: SparkSession, folder: str) -> DataFrame:
     ids = tables.stored_loan.select("loan_id")
     plan = due_ranges(
         plans.typed_installments(tables.raw["raw_installments"])
-        .join(ids, "loan_id", "left_semi")
         .distinct()
+        .join(ids, "loan_id", "left_semi")
     )
-    known = tables.stored_payment_history.join(ids, "loan_id", "left_semi")
-    return settlements(plan, effective_at(known, CUTOFF)).select(
+    spans = effective_at(tables.stored_payment_history, CUTOFF)
+    return completed_at(plan, spans, ids).select(
         "loan_id", "installment_number", "settlement_at_utc"
     )
 

@@ -76,21 +76,45 @@ def effective_at(payments: DataFrame, cutoff: date) -> DataFrame:
     return spans.where(F.col("counts_until").isNull())
 
 
-def effective_by_month_end(payments: DataFrame, cutoff: date) -> DataFrame:
-    """One row per payment and month-end at which it counts, without a join."""
-    spans = effective_span(payments, cutoff)
+def _each_month_end(spans: DataFrame, cutoff: date) -> DataFrame:
+    """Repeat each span for the month-ends in it, as ``cutoff_date``."""
     last = F.coalesce(F.date_sub(month_start(F.col("counts_until")), 1), F.lit(cutoff))
     months = month_starts(F.col("counts_from"), last)
-    return spans.withColumn("_month", F.explode(months)).withColumn(
-        "cutoff_date", F.last_day("_month")
+    return (
+        spans.withColumn("_month", F.explode(months))
+        .withColumn("cutoff_date", F.last_day("_month"))
+        .drop("_month")
     )
 
 
-def total_steps(spans: DataFrame) -> DataFrame:
+def effective_by_month_end(payments: DataFrame, cutoff: date) -> DataFrame:
+    """One row per payment and month-end at which it counts, without a join."""
+    return _each_month_end(effective_span(payments, cutoff), cutoff)
+
+
+def received_by_month_end(payments: DataFrame, cutoff: date) -> DataFrame:
+    """Effective payment total per loan and month-end.
+
+    Payments with the same span are summed before they are repeated.
+    """
+    sums = (
+        effective_span(payments, cutoff)
+        .groupBy("loan_id", "counts_from", "counts_until")
+        .agg(F.sum("amount").alias("amount"))
+    )
+    return (
+        _each_month_end(sums, cutoff)
+        .groupBy("loan_id", "cutoff_date")
+        .agg(F.sum("amount").alias("amount"))
+    )
+
+
+def total_steps(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
     """Total paid per loan as steps ``[step_from, step_to)`` over month-ends.
 
     Begins with a zero step before the first arrival. ``epoch_from`` is the
-    loan's latest reversal month up to the step.
+    loan's latest reversal month up to the step. Payments are summed per loan and
+    month before they meet the loans, so a hot loan is a few rows by then.
     """
     arrival = F.struct(
         F.col("counts_from").alias("month"), F.col("amount"), F.lit(False).alias("gone")
@@ -108,8 +132,10 @@ def total_steps(spans: DataFrame) -> DataFrame:
             )
         ),
     )
-    monthly = changes.groupBy("loan_id", "month").agg(
-        F.sum("amount").alias("change"), F.bool_or("gone").alias("gone")
+    monthly = (
+        changes.groupBy("loan_id", "month")
+        .agg(F.sum("amount").alias("change"), F.bool_or("gone").alias("gone"))
+        .join(loan_ids, "loan_id", "left_semi")
     )
     order = Window.partitionBy("loan_id").orderBy("month")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -137,15 +163,20 @@ def total_steps(spans: DataFrame) -> DataFrame:
     )
 
 
-def daily_ranges(spans: DataFrame) -> DataFrame:
+def daily_ranges(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
     """Running paid ranges ``(paid_before, paid_after]`` per loan, epoch and day.
 
-    ``first_at`` and ``last_at`` bound the instants merged into a day.
+    ``first_at`` and ``last_at`` bound the instants merged into a day. Payments
+    are merged per loan and day before they meet the loans.
     """
-    daily = spans.groupBy("loan_id", "paid_date", "counts_from", "counts_until").agg(
-        F.sum("amount").alias("amount"),
-        F.min("paid_at_utc").alias("first_at"),
-        F.max("paid_at_utc").alias("last_at"),
+    daily = (
+        spans.groupBy("loan_id", "paid_date", "counts_from", "counts_until")
+        .agg(
+            F.sum("amount").alias("amount"),
+            F.min("paid_at_utc").alias("first_at"),
+            F.max("paid_at_utc").alias("last_at"),
+        )
+        .join(loan_ids, "loan_id", "left_semi")
     )
     # At most one entry per calendar month, so the set is bounded.
     reversals = F.array_sort(
@@ -186,53 +217,57 @@ def daily_ranges(spans: DataFrame) -> DataFrame:
     )
 
 
-def settlements(plan: DataFrame, spans: DataFrame) -> DataFrame:
-    """When each installment was completed: one row per loan, epoch, installment.
+def completed_at(
+    due: DataFrame, spans: DataFrame, loan_ids: DataFrame, how: str = "inner"
+) -> DataFrame:
+    """Add when each installment was completed, once per epoch of its loan.
 
-    Finds the day whose paid range covers the installment's end. If payments of
-    different instants share that day, the instant is looked up among that day's
-    payments; those few days alone are read at full detail.
+    ``due`` has loan_id, due_end and any other columns. Finds the day whose paid
+    range covers the installment's end. If payments of different instants share
+    that day, the instant is looked up among the day's payments; those days alone
+    are read at full detail. Adds epoch_from, counts_from and settlement_at_utc;
+    ``how="left"`` keeps installments that were never completed.
     """
-    due = plan.select("loan_id", "installment_number", "due_end")
-    covers = (F.col("paid_before") < F.col("due_end")) & (
-        F.col("paid_after") >= F.col("due_end")
+    days = daily_ranges(spans, loan_ids)
+    covers = (
+        (F.col("loan_id") == F.col("_day_loan"))
+        & (F.col("paid_before") < F.col("due_end"))
+        & (F.col("paid_after") >= F.col("due_end"))
     )
-    crossed = daily_ranges(spans).join(due, "loan_id").where(covers)
-    key = ["loan_id", "epoch_from", "installment_number"]
-    exact = crossed.where("first_at = last_at").select(
-        *key, "counts_from", F.col("first_at").alias("settlement_at_utc")
-    )
-    mixed = crossed.where("first_at < last_at").select(
-        *key, "paid_date", "counts_from", "paid_before", "due_end"
+    crossed = due.join(days.withColumnRenamed("loan_id", "_day_loan"), covers, how)
+    day_key = ["loan_id", "epoch_from", "paid_date"]
+    mixed = days.where("first_at < last_at").select(*day_key, "paid_before")
+    so_far = (
+        Window.partitionBy(*day_key)
+        .orderBy("paid_at_utc")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    days = mixed.select("loan_id", "epoch_from", "paid_date").distinct()
     instants = (
         spans.select("loan_id", "paid_date", "paid_at_utc", "counts_until", "amount")
-        .join(days, ["loan_id", "paid_date"])
+        .join(mixed, ["loan_id", "paid_date"])
         .where("counts_until is null or counts_until > epoch_from")
-        .groupBy("loan_id", "epoch_from", "paid_date", "paid_at_utc")
+        .groupBy(*day_key, "paid_before", "paid_at_utc")
         .agg(F.sum("amount").alias("amount"))
+        .withColumn("upto", F.col("paid_before") + F.sum("amount").over(so_far))
+        .select(
+            *[F.col(c).alias(f"_i_{c}") for c in day_key],
+            F.col("paid_at_utc").alias("instant"),
+            (F.col("upto") - F.col("amount")).alias("over"),
+            "upto",
+        )
     )
-    so_far = (
-        Window.partitionBy("loan_id", "epoch_from", "paid_date")
-        .orderBy("paid_at_utc")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        (F.col("first_at") < F.col("last_at"))
+        & (F.col("over") < F.col("due_end"))
+        & (F.col("upto") >= F.col("due_end"))
     )
-    ranges = instants.withColumn("upto", F.sum("amount").over(so_far)).select(
-        "loan_id",
+    same_day = [F.col(c) == F.col(f"_i_{c}") for c in day_key]
+    return crossed.join(instants, [*same_day, found], "left").select(
+        *due.columns,
         "epoch_from",
-        "paid_date",
-        "paid_at_utc",
-        (F.col("upto") - F.col("amount")).alias("from_"),
-        "upto",
+        "counts_from",
+        F.coalesce("instant", "first_at").alias("settlement_at_utc"),
     )
-    rest = F.col("due_end") - F.col("paid_before")
-    resolved = (
-        mixed.join(ranges, ["loan_id", "epoch_from", "paid_date"])
-        .where((F.col("from_") < rest) & (F.col("upto") >= rest))
-        .select(*key, "counts_from", F.col("paid_at_utc").alias("settlement_at_utc"))
-    )
-    return exact.unionByName(resolved)
 
 
 def allocate(
@@ -251,10 +286,8 @@ def allocate(
     """
     valid = loans.select("loan_id", "disbursement_date")
     ids = valid.select("loan_id")
-    plan = due_ranges(installments.join(ids, "loan_id", "left_semi").distinct())
-    known = payments.select(
-        "loan_id", "paid_at_utc", "amount", "reversed_at_utc"
-    ).join(ids, "loan_id", "left_semi")
+    plan = due_ranges(installments.distinct().join(ids, "loan_id", "left_semi"))
+    known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
     if final_only:
         spans = effective_at(known, cutoff)
         steps = spans.groupBy("loan_id").agg(
@@ -268,7 +301,7 @@ def allocate(
         )
     else:
         spans = effective_span(known, cutoff)
-        steps = total_steps(spans)
+        steps = total_steps(spans, ids)
 
     first = F.lit(cutoff) if final_only else F.last_day("disbursement_date")
     start = F.greatest(F.coalesce("step_from", F.expr(ALWAYS)), first)
@@ -290,16 +323,18 @@ def allocate(
         F.greatest(F.col("total_paid") - F.col("due_before"), F.lit(0)),
     ).cast("decimal(18,2)")
     status = spread.join(plan, "loan_id").withColumn("paid_amount", paid)
-    if with_settlement:
-        done = settlements(plan, spans).withColumnRenamed("counts_from", "_visible")
+    if not with_settlement:
+        status = status.withColumn("settlement_at_utc", F.lit(None).cast("timestamp_ntz"))
+    elif final_only:
+        # One step and one epoch per loan: look up from the status rows themselves.
+        status = completed_at(status.drop("epoch_from"), spans, ids, "left")
+    else:
         key = ["loan_id", "epoch_from", "installment_number"]
+        due = plan.select("loan_id", "installment_number", "due_end")
+        done = completed_at(due, spans, ids).drop("due_end")
+        visible = F.col("counts_from") <= F.col("step_from")
         status = status.join(done, key, "left").withColumn(
-            "settlement_at_utc",
-            F.when(F.col("_visible") <= F.col("step_from"), F.col("settlement_at_utc")),
-        )
-    else:
-        status = status.withColumn(
-            "settlement_at_utc", F.lit(None).cast("timestamp_ntz")
+            "settlement_at_utc", F.when(visible, F.col("settlement_at_utc"))
         )
     if final_only:
         dated = status.withColumn("cutoff_date", F.lit(cutoff))

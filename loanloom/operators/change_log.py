@@ -50,15 +50,14 @@ def known_id_per_key(
 ) -> DataFrame:
     """The real id found in the history of each key that ever shows the sentinel.
 
-    An id is real when ``master`` has it. Only histories with a sentinel are
-    followed, so the second look at the log carries two columns of few keys.
+    An id is real when ``master`` has it. Pairs of key and id are made distinct
+    before anything is joined, so copies never travel, and only histories with a
+    sentinel are looked up in the master.
     """
-    pairs = log.select(key, id_column)
-    affected = pairs.where(F.col(id_column) == sentinel).select(key).distinct()
-    candidates = (
-        pairs.where(F.col(id_column) != sentinel)
-        .join(affected, key, "left_semi")
-        .distinct()
+    pairs = log.select(key, id_column).distinct()
+    affected = log.where(F.col(id_column) == sentinel).select(key).distinct()
+    candidates = pairs.where(F.col(id_column) != sentinel).join(
+        affected, key, "left_semi"
     )
     return (
         candidates.join(master.select(id_column), id_column, "left_semi")

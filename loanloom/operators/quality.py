@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.operators.allocation import effective_by_month_end
+from loanloom.operators.allocation import received_by_month_end
 
 
 class QualityError(ValueError):
@@ -189,43 +189,36 @@ def fifo_violations(
     ``row``: a negative amount, paid + remaining ≠ due, or a later installment
     paid while an earlier one is open. ``total``: the allocated sum is not the
     smaller of what is due and what was effectively paid.
+
+    The order rule needs no window: it is broken exactly when the last installment
+    with a payment comes after the first one still open.
     """
-    earlier = (
-        Window.partitionBy("cutoff_date", "loan_id")
-        .orderBy("installment_number")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    open_before = F.coalesce(F.sum("remaining_amount").over(earlier), F.lit(0))
+    number = F.col("installment_number")
     paid, left, due = (
         F.col("paid_amount"),
         F.col("remaining_amount"),
         F.col("amount_due"),
     )
-    bad = (
-        (paid < 0)
-        | (left < 0)
-        | (F.abs(paid + left - due) > 0.005)
-        | ((paid > 0) & (F.col("_open") > 0.005))
-    )
-    per_loan = (
-        status.withColumn("_open", open_before)
-        .groupBy("cutoff_date", "loan_id")
-        .agg(
-            F.bool_or(bad).alias("_bad"),
-            F.sum("amount_due").alias("_due"),
-            F.sum("paid_amount").alias("_paid"),
-        )
+    bad = (paid < 0) | (left < 0) | (F.abs(paid + left - due) > 0.005)
+    per_loan = status.groupBy("cutoff_date", "loan_id").agg(
+        F.bool_or(bad).alias("_bad"),
+        F.max(F.when(paid > 0, number)).alias("_last_paid"),
+        F.min(F.when(left > 0.005, number)).alias("_first_open"),
+        F.sum("amount_due").alias("_due"),
+        F.sum("paid_amount").alias("_paid"),
     )
-    known = history.join(loans.select("loan_id"), "loan_id", "left_semi")
     received = (
-        effective_by_month_end(known, cutoff)
-        .groupBy("cutoff_date", "loan_id")
-        .agg(F.sum("amount").alias("_received"))
+        received_by_month_end(history, cutoff)
+        .join(loans.select("loan_id"), "loan_id", "left_semi")
+        .withColumnRenamed("amount", "_received")
     )
     expected = F.least("_due", F.coalesce("_received", F.lit(0)))
     off = F.abs(F.col("_paid") - expected) > 0.005
+    row = F.col("_bad") | F.coalesce(
+        F.col("_last_paid") > F.col("_first_open"), F.lit(False)
+    )
     rules = F.array_compact(
-        F.array(F.when(F.col("_bad"), F.lit("row")), F.when(off, F.lit("total")))
+        F.array(F.when(row, F.lit("row")), F.when(off, F.lit("total")))
     )
     return per_loan.join(received, ["cutoff_date", "loan_id"], "left").select(
         "cutoff_date", "loan_id", F.explode(rules).alias("rule")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions.instants import local_date
+from loanloom.sources.layers import Layers
 
 CUTOFF = date(2000, 6, 30)
 COHORT = date(1998, 1, 1)
@@ -59,7 +60,11 @@ def hours(n: Column) -> Column:
 
 
 class RawTables(Mapping):
-    """The seven extracts over one data folder, each built when first asked for."""
+    """The seven extracts over one data folder, each built when first asked for.
+
+    With ``layers`` an extract is stored in the bronze layer at that moment, as a
+    loaded source would be, and later reads start from the stored text.
+    """
 
     NAMES = (
         "raw_applications_cdc",
@@ -71,8 +76,8 @@ class RawTables(Mapping):
         "raw_payments",
     )
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, layers: Layers | None = None):
+        self._spark, self._folder, self._layers = spark, folder, layers
         self._built: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
@@ -97,7 +102,10 @@ class RawTables(Mapping):
         if name not in self.NAMES:
             raise KeyError(name)
         if name not in self._built:
-            self._built[name] = self._build(name)
+            df = self._build(name)
+            if self._layers:
+                df = self._layers.write(df, "bronze", name)
+            self._built[name] = df
         return self._built[name]
 
     def __iter__(self):
@@ -107,8 +115,18 @@ class RawTables(Mapping):
         return len(self.NAMES)
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hand a table of few files to all cores before its rows are expanded.
+
+    A scan that already has a task per core, as any large table, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _orders(orders: DataFrame, supplier: DataFrame) -> DataFrame:
     """Order facts shared by the extracts. Merchant 0 gets a third of them."""
+    orders = _spread(orders, "o_orderkey")
     merchants = supplier.agg(F.count("*")).scalar()
     k = F.col("o_orderkey")
     return orders.select(
@@ -242,7 +260,7 @@ def _installments(loans: DataFrame) -> DataFrame:
 
 
 def _payments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = lineitem.groupBy(
+    lines = _spread(lineitem, "l_orderkey").groupBy(
         F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line")
     ).agg(F.sum(to_cents(F.col("l_extendedprice"))).alias("paid_cents"))
     seq = F.row_number().over(Window.partitionBy("k").orderBy("line"))

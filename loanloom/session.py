@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Joins on (loan_id, …) may reuse data already partitioned by loan_id.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Small test data still fans out to all cores after a shuffle.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
