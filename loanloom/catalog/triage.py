@@ -90,7 +90,7 @@ def triage_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Messages scored by a fixed scorer, then triaged."""
     messages = samples.conversation_messages(spark, folder)
-    scored = rules.score_messages(messages, samples.rule_scorer)
+    scored = rules.score_messages(messages, samples.length_scorer())
     done = rules.triage(messages, records.parse_decisions(scored), BOOK)
     return flat(done).select(
         "id", "technical_status", "main_reason", "priority", "action", "queue", "error_type"
