@@ -288,7 +288,7 @@ def fifo_settlement(spark: SparkSession, folder: str) -> DataFrame:
         .join(ids, "loan_id", "left_semi")
     )
     spans = effective_at(tables.stored_payment_history, CUTOFF)
-    return completed_at(plan, spans, ids).select(
+    return completed_at(plan, plan, spans, ids, one_epoch=True).select(
         "loan_id", "installment_number", "settlement_at_utc"
     )
 

@@ -163,28 +163,15 @@ def total_steps(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
     )
 
 
-def daily_ranges(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
-    """Running paid ranges ``(paid_before, paid_after]`` per loan, epoch and day.
-
-    ``first_at`` and ``last_at`` bound the instants merged into a day. Payments
-    are merged per loan and day before they meet the loans.
-    """
-    daily = (
-        spans.groupBy("loan_id", "paid_date", "counts_from", "counts_until")
-        .agg(
-            F.sum("amount").alias("amount"),
-            F.min("paid_at_utc").alias("first_at"),
-            F.max("paid_at_utc").alias("last_at"),
-        )
-        .join(loan_ids, "loan_id", "left_semi")
-    )
+def _per_epoch(daily: DataFrame) -> DataFrame:
+    """Repeat each day's payments for the epochs of the loan in which they count."""
     # At most one entry per calendar month, so the set is bounded.
     reversals = F.array_sort(
         F.collect_set("counts_until").over(Window.partitionBy("loan_id"))
     )
     starts = F.concat(F.array(F.expr(ALWAYS)), reversals)
     ends = F.concat(reversals, F.array(F.expr(NEVER)))
-    in_epoch = (
+    return (
         daily.withColumn("_starts", starts)
         .withColumn("_ends", ends)
         .select(
@@ -206,6 +193,30 @@ def daily_ranges(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
             F.max("last_at").alias("last_at"),
         )
     )
+
+
+def daily_ranges(
+    spans: DataFrame, loan_ids: DataFrame, one_epoch: bool = False
+) -> DataFrame:
+    """Running paid ranges ``(paid_before, paid_after]`` per loan, epoch and day.
+
+    ``first_at`` and ``last_at`` bound the instants merged into a day. Payments
+    are merged per loan and day before they meet the loans. ``one_epoch`` says
+    that no span ends, as at a single month-end.
+    """
+    daily = (
+        spans.groupBy("loan_id", "paid_date", "counts_from", "counts_until")
+        .agg(
+            F.sum("amount").alias("amount"),
+            F.min("paid_at_utc").alias("first_at"),
+            F.max("paid_at_utc").alias("last_at"),
+        )
+        .join(loan_ids, "loan_id", "left_semi")
+    )
+    if one_epoch:
+        in_epoch = daily.withColumn("epoch_from", F.expr(ALWAYS))
+    else:
+        in_epoch = _per_epoch(daily)
     so_far = (
         Window.partitionBy("loan_id", "epoch_from")
         .orderBy("paid_date")
@@ -218,17 +229,23 @@ def daily_ranges(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
 
 
 def completed_at(
-    due: DataFrame, spans: DataFrame, loan_ids: DataFrame, how: str = "inner"
+    due: DataFrame,
+    plan: DataFrame,
+    spans: DataFrame,
+    loan_ids: DataFrame,
+    one_epoch: bool = False,
+    how: str = "inner",
 ) -> DataFrame:
     """Add when each installment was completed, once per epoch of its loan.
 
-    ``due`` has loan_id, due_end and any other columns. Finds the day whose paid
-    range covers the installment's end. If payments of different instants share
-    that day, the instant is looked up among the day's payments; those days alone
-    are read at full detail. Adds epoch_from, counts_from and settlement_at_utc;
-    ``how="left"`` keeps installments that were never completed.
+    ``due`` has loan_id, due_end and any other columns of the installments in
+    ``plan``. Finds the day whose paid range covers the installment's end. If
+    payments of different instants share that day, the instant is looked up among
+    the day's payments; only such days are read at full detail. Adds epoch_from,
+    counts_from and settlement_at_utc; ``how="left"`` keeps installments that were
+    never completed.
     """
-    days = daily_ranges(spans, loan_ids)
+    days = daily_ranges(spans, loan_ids, one_epoch)
     covers = (
         (F.col("loan_id") == F.col("_day_loan"))
         & (F.col("paid_before") < F.col("due_end"))
@@ -236,7 +253,12 @@ def completed_at(
     )
     crossed = due.join(days.withColumnRenamed("loan_id", "_day_loan"), covers, how)
     day_key = ["loan_id", "epoch_from", "paid_date"]
-    mixed = days.where("first_at < last_at").select(*day_key, "paid_before")
+    ends = plan.select(F.col("loan_id").alias("_day_loan"), "due_end")
+    mixed = (
+        days.where("first_at < last_at")
+        .join(ends, covers, "left_semi")
+        .select(*day_key, "paid_before")
+    )
     so_far = (
         Window.partitionBy(*day_key)
         .orderBy("paid_at_utc")
@@ -327,11 +349,13 @@ def allocate(
         status = status.withColumn("settlement_at_utc", F.lit(None).cast("timestamp_ntz"))
     elif final_only:
         # One step and one epoch per loan: look up from the status rows themselves.
-        status = completed_at(status.drop("epoch_from"), spans, ids, "left")
+        status = completed_at(
+            status.drop("epoch_from"), plan, spans, ids, one_epoch=True, how="left"
+        )
     else:
         key = ["loan_id", "epoch_from", "installment_number"]
         due = plan.select("loan_id", "installment_number", "due_end")
-        done = completed_at(due, spans, ids).drop("due_end")
+        done = completed_at(due, plan, spans, ids).drop("due_end")
         visible = F.col("counts_from") <= F.col("step_from")
         status = status.join(done, key, "left").withColumn(
             "settlement_at_utc", F.when(visible, F.col("settlement_at_utc"))
