@@ -11,6 +11,9 @@ from loanloom.catalog.operators import OPERATORS
 from loanloom.catalog.triage import TRIAGE
 
 
+REGISTERED: dict[str, Query] = {**LENDING, **OPERATORS, **TRIAGE}
+
+
 def present(df: DataFrame) -> DataFrame:
     """Plain output types, so any client compares results alike.
 
@@ -33,8 +36,9 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
+    """The registered queries with plain output types."""
+
     def shown(query: Query) -> Query:
         return lambda spark, folder: present(query(spark, folder))
 
-    everything = {**LENDING, **OPERATORS, **TRIAGE}
-    return {name: shown(query) for name, query in everything.items()}
+    return {name: shown(query) for name, query in REGISTERED.items()}
