@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from loanloom.plans import triage_vocabulary as v
 from loanloom.samples.triage import BOOK, PHRASES, UNKNOWN_REF
 
@@ -83,7 +85,7 @@ TRIAGE_CTES: dict[str, str] = {
             SELECT id, main, unnest(secondary) AS reason,
                    generate_subscripts(secondary, 1) AS pos FROM m_valid)
         WHERE reason <> main GROUP BY id, reason""",
-    "m_entities": """
+    "m_entities": f"""
         SELECT id, field, min(pos) AS pos, value FROM (
             SELECT id, low, 'credit_ids' AS field,
                    unnest([substring(body, 1, 5), 'inventado-9']) AS value,
@@ -92,8 +94,9 @@ TRIAGE_CTES: dict[str, str] = {
             SELECT id, low, 'dates', 'ayer no', 1 FROM m_valid
             UNION ALL
             SELECT id, low, 'references',
-                   unnest([upper(substring(body, 1, 5)), substring(body, 1, 5),
-                           substring(body, 1, 5)]), unnest([1, 2, 3]) FROM m_valid)
+                   unnest([translate(substring(body, 1, 5), '{ascii_lowercase}',
+                                     '{ascii_uppercase}'),
+                           substring(body, 1, 5), substring(body, 1, 5)]), unnest([1, 2, 3]) FROM m_valid)
         WHERE position(lower(value) IN low) > 0 GROUP BY id, field, value""",
     "m_evidence": f"""
         SELECT id, '' AS document_numbers, '' AS amounts,

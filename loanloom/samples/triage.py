@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,13 +150,15 @@ def decisions(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.array(own, F.lit("pagos#medios"), own))
     )
     word = F.substring("text", 1, 5)
+    # Only a-z, since engines differ on the capital of ß.
+    shouted = F.translate(word, ascii_lowercase, ascii_uppercase)
     empty = F.array().cast("array<string>")
     entities = F.struct(
         empty.alias("document_numbers"),
         F.array(word, F.lit("inventado-9")).alias("credit_ids"),
         empty.alias("amounts"),
         F.array(F.lit("ayer no")).alias("dates"),
-        F.array(F.upper(word), word, word).alias("references"),
+        F.array(shouted, word, word).alias("references"),
     )
     broken = c % 30 == 1
     typed = {

@@ -79,6 +79,11 @@ def test_money(spark):
         [(Decimal("10.00"), Decimal("3.000000")), (Decimal("10.00"), None)],
         "a decimal(18,2), r decimal(18,6)",
     ) == [Decimal("3.333333"), None]
+    # The quotient is exactly 43683.7890625: decimal division sees the tie.
+    tie = [(Decimal("91701.01"), Decimal("2.0992"))]
+    assert values(spark, usd, tie, "a decimal(18,2), r decimal(18,6)") == [
+        Decimal("43683.789063")
+    ]
 
 
 def test_unreadable_strict_amount_is_an_error(spark):
