@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as driver
 from compare import compare, connect
 from conftest import FOLDER
+from loanloom.catalog import all_queries
+from loanloom.oracles import all_statements
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = all_queries(), all_statements()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_driver_registers_them_all():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     assert compare(QUERIES[name](spark, FOLDER), con, SQL[name]) == ""
