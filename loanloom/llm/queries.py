@@ -12,6 +12,8 @@ from loanloom.llm.common import checkpointed, shared_folder
 from loanloom.llm.exact_dedup import exact_duplicates
 from loanloom.llm.hilbert import LAW, by_logarithm, by_range, by_value, hilbert_shards
 from loanloom.llm.mixing import mix
+from loanloom.llm.secret_scan import KINDS, count_of, joined_spans, scan_secrets
+from loanloom.llm.simhash import hex_of, simhash_components
 from loanloom.llm.url_rules import ALLOW, BLOCK, Rule, judge_urls
 from loanloom.llm.warc import page_id_of, read_warc, write_warc
 
@@ -91,11 +93,30 @@ def op4_url_trie(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint and the component its links reach."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash_components(docs, shingle=4, parts=1, radius=4)
+    return found.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op6_grace(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the group of its text."""
     return exact_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's secrets: known forms and random tokens."""
+    found = scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("found")
+    return found.select(
+        "doc_id",
+        *[count_of(spans, kind).alias(f"n_{kind}") for kind in KINDS[:3]],
+        F.sha2(joined_spans(spans, KINDS[:3]), 256).alias("base_sha256"),
+        joined_spans(spans).alias("spans"),
+    )
+
+
 def op10_golden_mix(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
@@ -107,6 +128,8 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_hilbert": op3_hilbert,
     "op4_url_trie": op4_url_trie,
+    "op5_simhash": op5_simhash,
     "op6_grace": op6_grace,
+    "op7_secrets": op7_secrets,
     "op10_golden_mix": op10_golden_mix,
 }
