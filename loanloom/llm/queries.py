@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm.common import checkpointed, shared_folder
+from loanloom.llm import factorisation, language_id
+from loanloom.llm.common import checkpointed, shared_folder, training_row
 from loanloom.llm.exact_dedup import exact_duplicates
 from loanloom.llm.hilbert import LAW, by_logarithm, by_range, by_value, hilbert_shards
 from loanloom.llm.mixing import mix
@@ -117,6 +118,27 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_language_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language, learned from two thirds of the documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    found = language_id.identify_languages(docs, model)
+    return found.select("doc_id", _held_out(), "lang_pred", "score", "spans")
+
+
+def op9_factorisation(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality, learned from the labels of two thirds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    scored = factorisation.classify_quality(docs, table(spark, folder, "labels"))
+    return scored.select("doc_id", _held_out(), "score", "predicted")
+
+
+def _held_out() -> Column:
+    """Whether the row's remainder is the one never learned from; false without an id."""
+    known = F.col("doc_id").isNotNull()
+    return (known & ~training_row(F.col("doc_id"))).alias("held_out")
+
+
 def op10_golden_mix(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
@@ -131,5 +153,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_grace": op6_grace,
     "op7_secrets": op7_secrets,
+    "op8_language_viterbi": op8_language_viterbi,
+    "op9_factorisation": op9_factorisation,
     "op10_golden_mix": op10_golden_mix,
 }
