@@ -54,7 +54,8 @@ def running_start(
 
     A group may hold most rows, so no window spans one: sums per (group, chunk) come
     first, their running sum gives each chunk its start, and a window runs within a
-    chunk only. ``chunk`` must ascend with the wished order and be null nowhere.
+    chunk only. ``chunk`` must ascend with the wished order; it and the group's columns
+    are null nowhere, so that join and window share one partitioning.
     """
     keys = [*group, chunk]
     totals = df.groupBy(*keys).agg(F.sum(amount).alias("_total"))
@@ -65,7 +66,7 @@ def running_start(
     )
     matched = F.lit(True)
     for k in keys:
-        matched = matched & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        matched = matched & (F.col(k) == F.col(f"_k_{k}"))
     within = Window.partitionBy(*keys).orderBy(*order)
     inside = df.withColumn(
         "_inside",

@@ -68,6 +68,10 @@ def source_targets(
     )
 
 
+def _never_null(source: Column) -> Column:
+    return F.when(source.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), source))
+
+
 def schedule(targets: DataFrame, block_words: int, chunk_slots: int = 1 << 14) -> DataFrame:
     """The mix in order: ``slot``, ``source`` and ``nth``, the slot's rank in its source.
 
@@ -110,10 +114,16 @@ def schedule(targets: DataFrame, block_words: int, chunk_slots: int = 1 << 14) -
         points.withColumn("cell", F.shiftright("point", cell_bits))
         .join(covered, "cell")
         .filter("point >= low and point < high")
-        .select("slot", "source", "one", F.expr(f"slot div {chunk_slots}").alias("chunk"))
+        .select(
+            "slot",
+            "source",
+            "one",
+            _never_null(F.col("source")).alias("of"),
+            F.expr(f"slot div {chunk_slots}").alias("chunk"),
+        )
     )
     ranked = checkpointed(
-        running_start(dealt, ["source"], "chunk", ["slot"], "one", "nth").select(
+        running_start(dealt, ["of"], "chunk", ["slot"], "one", "nth").select(
             "slot", "source", "nth"
         )
     )
@@ -182,8 +192,10 @@ def mix(
     # Each row's words lie at [start, start + size) of its source's shuffled words,
     # and a whole round further on for each time the source begins anew.
     laid = running_start(
-        rows.filter("size > 0").withColumn("bucket", F.pmod("place", F.lit(buckets))),
-        ["source"],
+        rows.filter("size > 0")
+        .withColumn("of", _never_null(F.col("source")))
+        .withColumn("bucket", F.pmod("place", F.lit(buckets))),
+        ["of"],
         "bucket",
         ["place", "doc_id", "size", "copy"],
         "size",
@@ -242,3 +254,37 @@ def mix(
         )
     )
     return report, mixed.drop("size", "place", "block")
+
+
+def resampled(docs: DataFrame, report: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows as often as the mix takes them, to the nearest whole time.
+
+    Rows alike in id, source and text take the report's copies in any order.
+    """
+    key = ["_id", "_source", "_place"]
+    times = report.filter("size > 0").select(
+        F.col("doc_id").alias("_of_id"),
+        F.col("source").alias("_of_source"),
+        F.col("place").alias("_of_place"),
+        F.struct("copy", F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).alias("each"),
+    )
+    times = times.groupBy("_of_id", "_of_source", "_of_place").agg(
+        F.array_sort(F.collect_list("each")).alias("_each")
+    )
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(f"`{id_col}`").cast("long").alias("_id"),
+        F.col(f"`{source_col}`").cast("string").alias("_source"),
+        F.xxhash64(F.col(f"`{id_col}`").cast("long"), text).alias("_place"),
+    )
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of{k}"))
+    alike = Window.partitionBy(*key).orderBy(F.lit(1))
+    taken = rows.withColumn("_nth", F.row_number().over(alike)).join(times, same)
+    often = F.element_at(F.col("_each"), F.col("_nth"))["times"]
+    return (
+        taken.select("_row", F.explode(F.array_repeat(F.lit(1), often)))
+        .select("_row.*")
+    )

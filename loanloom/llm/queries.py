@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loanloom.llm import factorisation, language_id
 from loanloom.llm.common import checkpointed, shared_folder, training_row
+from loanloom.llm.decontamination import leaks
 from loanloom.llm.exact_dedup import exact_duplicates
 from loanloom.llm.hilbert import LAW, by_logarithm, by_range, by_value, hilbert_shards
 from loanloom.llm.mixing import mix
@@ -34,6 +35,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_template_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, as it is or with other values."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = leaks(docs, table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "item_tokens", "exact", "slots")
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Pages written as archives to the shared folder and read back."""
     path = f"{shared_folder(spark)}/warc-{uuid4().hex}"
@@ -147,6 +155,7 @@ def op10_golden_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_template_leaks": op1_template_leaks,
     "op2_warc": op2_warc,
     "op3_hilbert": op3_hilbert,
     "op4_url_trie": op4_url_trie,

@@ -489,36 +489,69 @@ def simhash_components(
     keys: list[list[int]] | None = None,
     radius: int = 4,
 ) -> DataFrame:
-    """Per row ``doc_id``, ``fp`` (bytes) and ``component_id``.
+    """Per row ``doc_id, text_key, fp`` (bytes), ``component_id`` and ``first_key``.
 
     The component is the smallest id that links of at most ``radius`` differing bits
     reach, itself included. By default the tables are every two of six blocks, which
     miss no link up to radius 4; other ``keys`` may trade that for a larger radius.
     Equal fingerprints count as linked and are compared once. Texts without words have
     fingerprint zero and link like any other. Null ids rank behind all others; a
-    component without any id is null. Repeated rows come back repeated, an empty table
-    gives no rows, and other columns are not looked at.
+    component without any id is null. ``text_key`` is the text's xxhash64 and
+    ``first_key`` that of the component's first row. Repeated rows come back repeated,
+    an empty table gives no rows, and other columns are not looked at.
     """
     if keys is None:
         if parts != 1 or radius > 4:
             raise ValueError("give the keys for this radius")
         keys = block_keys(64, 6, 2)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = checkpointed(
         docs.select(
             F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-            fingerprints(F.col(f"`{text_col}`").cast("string"), shingle, parts).alias("fp"),
+            F.xxhash64(text).alias("text_key"),
+            fingerprints(text, shingle, parts).alias("fp"),
         )
     )
-    prints = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    prints = checkpointed(rows.groupBy("fp").agg(first.alias("first")))
     labels = component_labels(near_links(prints, keys, radius))
     grouped = prints.join(labels, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("of"), "first", F.coalesce("label", "fp").alias("label")
     )
-    smallest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    classes = grouped.join(smallest, "label").select("of", "component_id")
+    smallest = grouped.groupBy("label").agg(F.min("first").alias("first"))
+    classes = grouped.drop("first").join(smallest, "label").select(
+        "of",
+        F.col("first.doc_id").alias("component_id"),
+        F.col("first.text_key").alias("first_key"),
+    )
     return rows.join(classes, F.col("fp") == F.col("of")).select(
-        "doc_id", "fp", "component_id"
+        "doc_id", "text_key", "fp", "component_id", "first_key"
+    )
+
+
+def one_of_each(
+    docs: DataFrame, components: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The first row of each component, with all its columns.
+
+    Of rows alike in id and text any one stays.
+    """
+    winners = components.select("component_id", "first_key").distinct()
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"),
+        F.xxhash64(text).alias("key"),
+    )
+    kept = rows.join(
+        winners.select(
+            F.coalesce(F.col("component_id").cast("string"), F.lit("")).alias("id"),
+            F.col("first_key").alias("key"),
+        ),
+        ["id", "key"],
+        "left_semi",
     )
+    return kept.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def hex_of(fp: Column) -> Column:
