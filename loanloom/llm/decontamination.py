@@ -448,12 +448,15 @@ def _covered(positions: Column, length: Column) -> Column:
     )
 
 
-def without_leaks(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_leaks(
+    docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns."""
-    flagged = found.select(
-        F.col("doc_id").alias("_leak_id"), F.col("text_key").alias("_leak_key")
-    ).distinct()
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_leak_id")) & (
-        F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("_leak_key")
+    flagged = found.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("row_id"),
+        F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("row_key"),
     )
-    return docs.join(flagged, same, "left_anti")
+    same = F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key"))
+    return rows.join(flagged.distinct(), same, "left_anti").select("row.*")
