@@ -343,11 +343,18 @@ def _linker(radius: int, lanes_at_once: int = 1 << 15) -> Callable:
         starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         bits = np.unpackbits(fps, axis=1, bitorder="little")
         roots = link_groups(bits, starts, radius)
-        lane = np.flatnonzero(roots != np.arange(len(roots)))
+        # All link to their part's smallest fingerprint: other tables find the same one.
+        order = np.lexsort(fps.T[::-1])
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        smallest = np.full(len(order), len(order))
+        np.minimum.at(smallest, roots, rank)
+        head = order[smallest[roots]]
+        lane = np.flatnonzero(head != np.arange(len(head)))
         if not len(lane):
             return None
         left = [fps[i].tobytes() for i in lane]
-        right = [fps[i].tobytes() for i in roots[lane]]
+        right = [fps[i].tobytes() for i in head[lane]]
         return pa.RecordBatch.from_arrays(
             [pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"]
         )
@@ -424,7 +431,12 @@ def near_links(prints: DataFrame, keys: list[list[int]], radius: int) -> DataFra
             "fp",
         )
     dealt = rows.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(_linker(radius), "a binary, b binary").distinct()
+    links = dealt.mapInArrow(_linker(radius), "a binary, b binary").distinct()
+    # A fingerprint has one link per bucket it stands in, so few in all: it keeps the
+    # smallest, to which its other partners are linked instead.
+    gathered = links.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("bs"))
+    partner = F.explode(F.concat(F.array("a"), "bs"))
+    return gathered.select(partner.alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
 
 
 # -- components ------------------------------------------------------------------
