@@ -194,13 +194,33 @@ def fit(
                 names=["doc", "label", "index", "values"],
             )
 
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [
+            (doc, label, np.array(i.as_py(), np.int32), np.array(v.as_py(), np.float64))
+            for batch in batches
+            for doc, label, i, v in zip(*(c if n > 1 else c.to_pylist() for n, c in enumerate(batch.columns)))
+        ]
+        found.sort(key=lambda row: row[0])
+        machine = train([row[2:] for row in found], np.array([row[1] for row in found], float))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([machine.bias]),
+                pa.array([machine.weights.tobytes()]),
+                pa.array([machine.factors.tobytes()]),
+            ],
+            names=["bias", "weights", "factors"],
+        )
+
     schema = "doc long, label int, index array<long>, values array<double>"
-    found = sample.mapInArrow(run, schema).toArrow().sort_by("doc")
-    rows = [
-        (np.array(i.as_py(), np.int64), np.array(v.as_py()))
-        for i, v in zip(found["index"], found["values"])
-    ]
-    return train(rows, np.array(found["label"].to_pylist(), float))
+    # The sample is bounded, so one task may hold it; the driver gets the machine alone.
+    found = sample.mapInArrow(run, schema).repartition(1)
+    models = found.mapInArrow(trained, "bias double, weights binary, factors binary").collect()
+    if not models:
+        return train([], np.zeros(0))
+    bias, weights, factors = models[0]
+    return Machine(
+        bias, np.frombuffer(weights), np.frombuffer(factors).reshape(FEATURES, -1)
+    )
 
 
 def _metadata(docs: DataFrame, name: str) -> Column:
