@@ -14,6 +14,7 @@ from loanloom.functions.money import (
     parse_grouped_money,
     parse_money,
     ratio,
+    readable,
     to_usd,
 )
 from loanloom.functions.text import blank_to_null
@@ -255,17 +256,17 @@ def scd2_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def asof_fx(spark: SparkSession, folder: str) -> DataFrame:
-    """Rates published in 1996–1999 only, looked up for dates around them."""
+    """Rates looked up for order days, some moved before the first or past the last."""
     tables = lending(spark, folder)
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     k = F.col("o_orderkey")
     currency = F.when(k % 97 == 0, "USD").when(k % 2 == 0, "COP").otherwise("BRL")
+    moved = F.when(k % 10 == 0, -3000).when(k % 10 == 1, 3000).otherwise(0)
     rows = orders.select(
-        k, currency.alias("currency"), F.to_date("o_orderdate").alias("day")
+        k, currency.alias("currency"), F.date_add(F.to_date("o_orderdate"), moved).alias("day")
     )
-    rates = tables.fx.where("rate_date between date'1996-01-01' and date'1999-12-31'")
     return asof_join(
-        rows, rates, {"currency": "currency"}, "day", "rate_date", "fx_units_per_usd"
+        rows, tables.fx, {"currency": "currency"}, "day", "rate_date", "fx_units_per_usd"
     )
 
 
@@ -378,6 +379,34 @@ def safe_ratio(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def cast_strict(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of whole numbers and days, some misshapen; what is refused is null."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    k = F.col("o_orderkey")
+    key, day = k.cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    number = (
+        F.when(k % 8 == 1, F.concat(key, F.lit("x")))
+        .when(k % 8 == 2, " ")
+        .when(k % 8 == 3, F.concat(key, F.lit("e3")))
+        .when(k % 8 == 4, F.concat(F.lit(" "), key, F.lit(" ")))
+        .when(k % 8 == 5, F.concat(F.lit("-"), key))
+        .when(k % 8 == 6, F.concat(key, F.lit(".0")))
+        .otherwise(key)
+    )
+    date_text = (
+        F.when(k % 4 == 1, F.substring(day, 1, 7))
+        .when(k % 4 == 2, F.concat(day, F.lit(" 00:00:00")))
+        .when(k % 4 == 3, F.concat(day, F.lit(" ")))
+        .otherwise(day)
+    )
+    return orders.select(
+        "o_orderkey",
+        readable(number, "bigint").alias("number"),
+        readable(date_text, "date").alias("day"),
+    )
+
+
 @query
 def cdc_latest_state(spark: SparkSession, folder: str) -> DataFrame:
     """Final state per application, deleted ones included."""
@@ -385,7 +414,7 @@ def cdc_latest_state(spark: SparkSession, folder: str) -> DataFrame:
     return latest_state(
         plans.typed_application_events(raw),
         ["application_id"],
-        ["event_at_utc", "ingested_at_utc", "op"],
+        plans.EVENT_ORDER,
         created_at_utc=F.min("event_at_utc"),
     ).select("application_id", "op", "status", "event_at_utc", "created_at_utc")
 

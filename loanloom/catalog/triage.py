@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from loanloom.catalog.lending import Query
 from loanloom.functions.text import contains_any, has_word
 from loanloom.plans import triage as rules
+from loanloom.plans.triage_batch import report_batch
 from loanloom.plans import triage_vocabulary as v
 from loanloom.samples import triage as samples
 from loanloom.samples.triage import BOOK
 from loanloom.sources import messages as records
 from loanloom.sources.export import write_report
-from loanloom.sources.layers import shared_folder
+from loanloom.sources.layers import Layers, shared_folder
 
 TRIAGE: dict[str, Query] = {}
 
@@ -97,6 +98,15 @@ def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def triage_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The totals of a batch that was scored once and stored."""
+    messages = samples.conversation_messages(spark, folder)
+    return report_batch(messages, Layers(spark), samples.length_scorer(), BOOK).select(
+        "message_count", "complete", "total_messages", "business_results", "technical_errors"
+    )
+
+
 # Single rules
 
 

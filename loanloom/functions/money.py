@@ -11,6 +11,32 @@ MONEY = "decimal(18,2)"
 USD = "decimal(18,6)"
 
 
+#: Full shapes of what a strict cast takes.
+STRICT = {
+    "bigint": r"^[+-]?[0-9]+$",
+    "int": r"^[+-]?[0-9]+$",
+    "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    MONEY: r"^[+-]?[0-9]+([.][0-9]*)?$",
+    USD: r"^[+-]?[0-9]+([.][0-9]*)?$",
+}
+
+
+def readable(text: Column, kind: str) -> Column:
+    """The value of trimmed text of the type's full shape; anything else is null."""
+    value = F.trim(text)
+    return F.when(value.rlike(STRICT[kind]), value.try_cast(kind))
+
+
+def strict(text: Column, kind: str) -> Column:
+    """Like ``readable``, but text that can't be read, blank included, is an error.
+
+    Whether the session has ANSI mode on makes no difference. Null stays null.
+    """
+    value = readable(text, kind)
+    broken = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text))
+    return F.when(text.isNull() | value.isNotNull(), value).otherwise(broken.cast(kind))
+
+
 def parse_money(text: Column) -> Column:
     """Tolerant decimal; unreadable text is null."""
     return F.trim(text).try_cast(MONEY)

@@ -128,11 +128,11 @@ OPERATOR_SQL: dict[str, str] = {
         ASOF JOIN t_merchant m ON a.merchant_id = m.merchant_id AND a.created_on >= m.valid_from""",
     "asof_fx": f"""
         SELECT o_orderkey, o.currency, {day_text('day')} AS day, {dbl('f.units')} AS fx_units_per_usd
-        FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
+        FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) + CASE o_orderkey % 10
+                         WHEN 0 THEN -3000 WHEN 1 THEN 3000 ELSE 0 END AS day,
                      CASE WHEN o_orderkey % 97 = 0 THEN 'USD' WHEN o_orderkey % 2 = 0 THEN 'COP'
                           ELSE 'BRL' END AS currency FROM orders) o
-        ASOF LEFT JOIN (SELECT * FROM t_fx
-                        WHERE rate_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31') f
+        ASOF LEFT JOIN t_fx f
           ON o.currency = f.currency AND o.day >= f.rate_date""",
     "effective_at_cutoff": f"""
         SELECT {day_text('c.cutoff_date')} AS cutoff_date, source_system, payment_id, loan_id,
@@ -189,12 +189,19 @@ OPERATOR_SQL: dict[str, str] = {
                          AS n_large_approved,
                      count(*) FILTER (requested_amount > 495000) AS n_large
               FROM t_application GROUP BY merchant_id)""",
+    "cast_strict": """
+        SELECT o_orderkey,
+               CASE WHEN o_orderkey % 8 IN (1, 2, 3, 6) THEN NULL
+                    WHEN o_orderkey % 8 = 5 THEN -o_orderkey ELSE o_orderkey END AS number,
+               CASE WHEN o_orderkey % 4 IN (0, 3) THEN strftime(o_orderdate, '%Y-%m-%d') END AS day
+        FROM orders""",
     "cdc_latest_state": f"""
         SELECT application_id, op, status, {ts_text('event_at')} AS event_at_utc,
                {ts_text('first_at')} AS created_at_utc
         FROM (SELECT *, min(event_at) OVER (PARTITION BY application_id) AS first_at FROM t_events)
         QUALIFY row_number() OVER (PARTITION BY application_id
-                ORDER BY event_at DESC NULLS LAST, ingested_at DESC NULLS LAST, op DESC) = 1""",
+                ORDER BY event_at DESC NULLS LAST, ingested_at DESC NULLS LAST,
+                         CASE op WHEN 'D' THEN 2 WHEN 'U' THEN 1 ELSE 0 END DESC) = 1""",
     "person_survivorship": f"""
         SELECT document_number, last.customer_id AS customer_id,
                {ts_text('last.created_at_utc')} AS created_at_utc, customer_id_count

@@ -53,7 +53,7 @@ TRIAGE_CTES: dict[str, str] = {
         SELECT conv_id AS c, turn AS t, 'MSG-' || conv_id || '-' || turn AS id,
                text || ' ' || {_pick(PHRASES, 'conv_id * 3 + turn')} AS body,
                lower(text || ' ' || {_pick(PHRASES, 'conv_id * 3 + turn')}) AS low
-        FROM conversations WHERE role = 'user'""",
+        FROM conversations""",
     "m_decisions": f"""
         SELECT c, t, id, body, low, main, secondary,
                {_pick(v.PRIORITIES, 'c + t')} AS priority,
@@ -85,18 +85,24 @@ TRIAGE_CTES: dict[str, str] = {
             SELECT id, main, unnest(secondary) AS reason,
                    generate_subscripts(secondary, 1) AS pos FROM m_valid)
         WHERE reason <> main GROUP BY id, reason""",
+    "m_worded": """
+        SELECT *, CASE WHEN c % 3 = 1 THEN right(body, 5)
+                       WHEN c % 3 = 2 AND split_part(body, ' ', (pieces + 1) // 2) <> ''
+                       THEN split_part(body, ' ', (pieces + 1) // 2)
+                       ELSE substring(body, 1, 5) END AS word
+        FROM (SELECT *, CAST(len(string_split(body, ' ')) AS INTEGER) AS pieces FROM m_valid)""",
     "m_entities": f"""
         SELECT id, field, min(pos) AS pos, value FROM (
             SELECT id, low, 'credit_ids' AS field,
-                   unnest([substring(body, 1, 5), 'inventado-9']) AS value,
-                   unnest([1, 2]) AS pos FROM m_valid
+                   unnest([word, 'inventado-9']) AS value,
+                   unnest([1, 2]) AS pos FROM m_worded
             UNION ALL
             SELECT id, low, 'dates', 'ayer no', 1 FROM m_valid
             UNION ALL
             SELECT id, low, 'references',
-                   unnest([translate(substring(body, 1, 5), '{ascii_lowercase}',
+                   unnest([translate(word, '{ascii_lowercase}',
                                      '{ascii_uppercase}'),
-                           substring(body, 1, 5), substring(body, 1, 5)]), unnest([1, 2, 3]) FROM m_valid)
+                           word, word]), unnest([1, 2, 3]) FROM m_worded)
         WHERE position(lower(value) IN low) > 0 GROUP BY id, field, value""",
     "m_evidence": f"""
         SELECT id, '' AS document_numbers, '' AS amounts,
@@ -218,6 +224,11 @@ TRIAGE_SQL: dict[str, str] = {
         FROM m_messages
         WHERE c % 30 NOT IN (1, 2) AND ({_KIND} IN (4, 5, 6) OR c % 30 IN (0, 3))""",
     "triage_json_roundtrip": "SELECT * FROM m_results",
+    "triage_report": """
+        SELECT count(*) AS message_count, true AS complete, count(*) AS total_messages,
+               count(*) FILTER (length(body) % 13 > 0) AS business_results,
+               count(*) FILTER (length(body) % 13 = 0) AS technical_errors
+        FROM m_messages""",
     "scored_messages": f"""
         SELECT id, CASE WHEN n % 13 = 0 THEN 'error' ELSE 'ok' END AS technical_status,
                CASE WHEN n % 13 > 0 THEN main END AS main_reason,

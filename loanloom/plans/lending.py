@@ -22,11 +22,13 @@ from loanloom.functions.instants import (
 )
 from loanloom.functions.money import (
     MONEY,
+    USD,
     bucket,
     from_minor_units,
     parse_grouped_money,
     parse_money,
     ratio,
+    strict,
     to_usd,
 )
 from loanloom.functions.text import blank_to_null
@@ -45,6 +47,8 @@ UNKNOWN_CUSTOMER = 999999999
 LEGACY_SYSTEM = "legacy_v1"
 LEGACY_LOAN_PREFIX = "LN-"
 DPD_EDGES = (30, 60, 90)
+#: What makes a change the latest; at one moment a delete beats an update, that an insert.
+EVENT_ORDER = ["event_at_utc", "ingested_at_utc", "op_rank"]
 
 
 # Typed extracts
@@ -53,7 +57,7 @@ DPD_EDGES = (30, 60, 90)
 def typed_customers(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.trim("document_number").alias("document_number"),
-        F.col("customer_id").cast("bigint").alias("customer_id"),
+        strict(F.col("customer_id"), "bigint").alias("customer_id"),
         F.trim("country").alias("country"),
         blank_to_null(F.col("city")).alias("city"),
         blank_to_null(F.lower("email")).alias("email"),
@@ -65,19 +69,19 @@ def typed_customers(raw: DataFrame) -> DataFrame:
 
 def typed_merchants(raw: DataFrame) -> DataFrame:
     return raw.select(
-        F.col("merchant_id").cast("bigint").alias("merchant_id"),
+        strict(F.col("merchant_id"), "bigint").alias("merchant_id"),
         F.trim("merchant_name").alias("merchant_name"),
         F.coalesce(blank_to_null(F.col("category")), F.lit("UNKNOWN")).alias("category"),
         F.trim("country").alias("country"),
-        F.col("valid_from").cast("date").alias("valid_from"),
+        strict(F.col("valid_from"), "date").alias("valid_from"),
     )
 
 
 def typed_application_events(raw: DataFrame) -> DataFrame:
     return raw.select(
-        F.col("application_id").cast("bigint").alias("application_id"),
-        F.col("customer_id").cast("bigint").alias("customer_id"),
-        F.col("merchant_id").cast("bigint").alias("merchant_id"),
+        strict(F.col("application_id"), "bigint").alias("application_id"),
+        strict(F.col("customer_id"), "bigint").alias("customer_id"),
+        strict(F.col("merchant_id"), "bigint").alias("merchant_id"),
         F.trim("currency").alias("currency"),
         parse_money(F.col("requested_amount")).alias("requested_amount"),
         parse_money(F.col("approved_amount")).alias("approved_amount"),
@@ -85,15 +89,15 @@ def typed_application_events(raw: DataFrame) -> DataFrame:
         parse_utc(F.col("event_at_utc")).alias("event_at_utc"),
         parse_utc(F.col("_ingested_at_utc")).alias("ingested_at_utc"),
         F.trim("_op").alias("op"),
-    )
+    ).withColumn("op_rank", F.when(F.col("op") == "D", 2).when(F.col("op") == "U", 1).otherwise(0))
 
 
 def typed_loans(raw: DataFrame) -> DataFrame:
     """Distinct after parsing, so two encodings of one instant collapse."""
     return raw.select(
-        F.col("loan_id").cast("bigint").alias("loan_id"),
-        F.col("application_id").cast("bigint").alias("application_id"),
-        F.col("merchant_id").cast("bigint").alias("merchant_id"),
+        strict(F.col("loan_id"), "bigint").alias("loan_id"),
+        strict(F.col("application_id"), "bigint").alias("application_id"),
+        strict(F.col("merchant_id"), "bigint").alias("merchant_id"),
         parse_money(F.col("principal")).alias("principal"),
         F.trim("currency").alias("currency"),
         F.trim("term_months").try_cast("int").alias("term_months"),
@@ -105,10 +109,10 @@ def typed_loans(raw: DataFrame) -> DataFrame:
 
 def typed_installments(raw: DataFrame) -> DataFrame:
     return raw.select(
-        F.col("loan_id").cast("bigint").alias("loan_id"),
-        F.col("installment_number").cast("int").alias("installment_number"),
-        F.col("due_date").cast("date").alias("due_date"),
-        F.col("amount_due").cast(MONEY).alias("amount_due"),
+        strict(F.col("loan_id"), "bigint").alias("loan_id"),
+        strict(F.col("installment_number"), "int").alias("installment_number"),
+        strict(F.col("due_date"), "date").alias("due_date"),
+        strict(F.col("amount_due"), MONEY).alias("amount_due"),
     )
 
 
@@ -122,12 +126,12 @@ def typed_payment_events(raw: DataFrame) -> DataFrame:
     ).otherwise(loan_ref)
     amount = F.col("amount_raw")
     return raw.select(
-        F.trim("payment_id").cast("bigint").alias("payment_id"),
+        strict(F.col("payment_id"), "bigint").alias("payment_id"),
         system.alias("source_system"),
-        bare_ref.cast("bigint").alias("loan_id"),
+        strict(bare_ref, "bigint").alias("loan_id"),
         parse_utc(F.col("paid_at_utc")).alias("paid_at_utc"),
         F.when(legacy, from_minor_units(amount))
-        .otherwise(amount.cast(MONEY))
+        .otherwise(strict(amount, MONEY))
         .alias("amount"),
         F.trim("payment_method").alias("payment_method"),
         F.trim("status").alias("status"),
@@ -140,8 +144,8 @@ def typed_payment_events(raw: DataFrame) -> DataFrame:
 def typed_fx(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.trim("currency").alias("currency"),
-        F.col("rate_date").cast("date").alias("rate_date"),
-        F.col("units_per_usd").cast("decimal(18,6)").alias("fx_units_per_usd"),
+        strict(F.col("rate_date"), "date").alias("rate_date"),
+        strict(F.col("units_per_usd"), USD).alias("fx_units_per_usd"),
     )
 
 
@@ -188,10 +192,10 @@ def fct_application(raw_changes: DataFrame, raw_customers: DataFrame) -> DataFra
     state = latest_state(
         events,
         ["application_id"],
-        ["event_at_utc", "ingested_at_utc", "op"],
+        EVENT_ORDER,
         created_at_utc=F.min("event_at_utc"),
     ).where("op <> 'D'")
-    master = raw_customers.select(F.col("customer_id").cast("bigint"))
+    master = raw_customers.select(strict(F.col("customer_id"), "bigint").alias("customer_id"))
     known = known_id_per_key(
         events, "application_id", "customer_id", UNKNOWN_CUSTOMER, master
     )

@@ -85,7 +85,7 @@ class RawTables(Mapping):
 
     def _build(self, name: str) -> DataFrame:
         if name == "raw_fx_rates":
-            return _fx_rates(self._spark)
+            return _fx_rates(self._table("orders"))
         if name == "raw_customers":
             return _customers(self._table("customer"))
         if name == "raw_merchants_history":
@@ -116,12 +116,8 @@ class RawTables(Mapping):
 
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hand a table of few files to all cores before its rows are expanded.
-
-    A scan that already has a task per core, as any large table, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    """Deal a table's rows to all cores by key before they are expanded."""
+    return df.repartition(key)
 
 
 def _orders(orders: DataFrame, supplier: DataFrame) -> DataFrame:
@@ -389,9 +385,16 @@ def _merchants(supplier: DataFrame) -> DataFrame:
     )
 
 
-def _fx_rates(spark: SparkSession) -> DataFrame:
-    """Business-day rates of two currencies; weekends are missing."""
-    n = F.col("id")
+def _fx_rates(orders: DataFrame) -> DataFrame:
+    """Business-day rates of two currencies; weekends are missing.
+
+    They run from the Monday of the first order's week to the last order's day.
+    """
+    n = F.col("n")
+    days = orders.select(F.to_date("o_orderdate").alias("day")).agg(
+        F.to_date(F.date_trunc("week", F.min("day"))).alias("first"),
+        F.max("day").alias("last"),
+    )
     peso = F.struct(
         F.lit("COP").alias("currency"),
         cents_text(160000 + (n * 37) % 9000).alias("units_per_usd"),
@@ -406,10 +409,12 @@ def _fx_rates(spark: SparkSession) -> DataFrame:
         ).alias("units_per_usd"),
     )
     return (
-        spark.range(2563)
+        days.where("first is not null")
+        .select("first", F.explode(F.sequence(F.lit(0), F.datediff("last", "first"))).alias("n"))
+        .withColumn("n", n.cast("bigint"))
         .where(n % 7 < 5)
         .select(
-            F.date_add(F.lit(date(1994, 12, 26)), n.cast("int"))
+            F.date_add("first", n.cast("int"))
             .cast("string")
             .alias("rate_date"),
             F.inline(F.array(peso, real)),

@@ -59,7 +59,7 @@ PHRASES = (
 
 
 def conversation_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Valid messages with their (conv_id, turn): one per user turn."""
+    """Valid messages with their (conv_id, turn): one per turn."""
     c, t = F.col("conv_id"), F.col("turn")
     phrase = F.element_at(
         F.array(*[F.lit(p) for p in PHRASES]), ((c * 3 + t) % len(PHRASES) + 1).cast("int")
@@ -72,7 +72,6 @@ def conversation_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         spark.read.parquet(f"{folder}/conversations.parquet")
-        .where("role = 'user'")
         .select(
             "conv_id",
             "turn",
@@ -149,7 +148,15 @@ def decisions(spark: SparkSession, folder: str) -> DataFrame:
         .when(cite == 3, F.array().cast("array<string>"))
         .otherwise(F.array(own, F.lit("pagos#medios"), own))
     )
-    word = F.substring("text", 1, 5)
+    # A word from the start, the end or the middle of the text.
+    words = F.split("text", " ")
+    middle = F.element_at(words, F.floor((F.size(words) + 1) / 2).cast("int"))
+    start = F.substring("text", 1, 5)
+    word = (
+        F.when(c % 3 == 1, F.substring("text", -5, 5))
+        .when((c % 3 == 2) & (middle != ""), middle)
+        .otherwise(start)
+    )
     # Only a-z, since engines differ on the capital of ß.
     shouted = F.translate(word, ascii_lowercase, ascii_uppercase)
     empty = F.array().cast("array<string>")

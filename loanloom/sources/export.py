@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from loanloom.functions.instants import parse_utc
 from loanloom.sources.bronze import write_csv
 
 
@@ -21,11 +23,12 @@ def export_table(df: DataFrame, path: str, grain: Sequence[str]) -> None:
 
 
 def write_report(results: DataFrame, summary: DataFrame, path: str) -> None:
-    """Result rows in arrival order and a one-row summary, as JSON lines.
+    """Result rows by the instant of arrival and a one-row summary, as JSON lines.
 
     Null fields are written and text keeps its accents.
     """
-    ordered = results.orderBy("received_at", "id").drop("received_at")
+    moment = parse_utc(F.col("received_at"))
+    ordered = results.orderBy(moment, "received_at", "id").drop("received_at")
     ordered.write.mode("overwrite").option("ignoreNullFields", "false").json(
         f"{path}/results"
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -10,17 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only a local session may fall back to a temporary folder of its own.
-    """
+    """The folder all executors can reach, as the cluster names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="loanloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
