@@ -234,11 +234,16 @@ def fit(
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
     ).filter(F.col("lang").isNotNull() & training_row(F.col("id")))
     frequent = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    # Spark keeps the first rows of each language in every task before the shuffle.
+    order = [F.xxhash64("id"), F.col("id")]
+    # First by piece of a language, so that no task ranks the whole of a frequent one.
+    piece = Window.partitionBy("lang", "piece").orderBy(*order)
+    whole = Window.partitionBy("lang").orderBy(*order)
     chosen = checkpointed(
         usable.distinct()
-        .withColumn("nth", F.row_number().over(first))
+        .withColumn("piece", F.pmod(F.xxhash64("id"), F.lit(64)))
+        .withColumn("nth", F.row_number().over(piece))
+        .filter(F.col("nth") <= rows_per_language)
+        .withColumn("nth", F.row_number().over(whole))
         .filter(F.col("nth") <= rows_per_language)
         .join(F.broadcast(frequent.limit(max_languages).select("lang")), "lang")
         .select("id", "lang")
