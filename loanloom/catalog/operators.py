@@ -24,7 +24,8 @@ from loanloom.operators.allocation import (
     completed_at,
     due_ranges,
     effective_at,
-    effective_by_month_end,
+    effective_span,
+    received_by_month_end,
 )
 from loanloom.operators.allocation import month_end_calendar as calendar_of
 from loanloom.operators.change_log import (
@@ -272,9 +273,16 @@ def asof_fx(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def effective_at_cutoff(spark: SparkSession, folder: str) -> DataFrame:
-    history = lending(spark, folder).int_payment_history
-    return effective_by_month_end(history, CUTOFF).select(
-        "cutoff_date", "source_system", "payment_id", "loan_id", "amount"
+    """What counts at each month-end, summed per loan before months are spread."""
+    return received_by_month_end(lending(spark, folder).int_payment_history, CUTOFF)
+
+
+@query
+def effective_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Per payment the first month-end at which it counts and the one at which it stops."""
+    spans = effective_span(lending(spark, folder).int_payment_history, CUTOFF)
+    return spans.select(
+        "source_system", "payment_id", "loan_id", "amount", "counts_from", "counts_until"
     )
 
 
@@ -550,18 +558,31 @@ def dq_reversals_resolve(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dq_fifo_conservation(spark: SparkSession, folder: str) -> DataFrame:
-    """The month-end table with one paid amount in 97 loans falsified."""
+    """The month-end table falsified: a unit too much, a first installment reopened, a
+    negative payment."""
     tables = lending(spark, folder)
-    falsified = (F.col("loan_id") % 97 == 0) & (F.col("installment_number") == 1)
+    loan, number = F.col("loan_id"), F.col("installment_number")
+    paid, left = F.col("paid_amount"), F.col("remaining_amount")
+    surplus = (loan % 97 == 0) & (number == 1)
+    reopened = (loan % 89 == 0) & (number == 1)
+    negative = (loan % 83 == 0) & (number == 2)
     status = allocate(
         tables.stored_loan,
         plans.typed_installments(tables.raw["raw_installments"]),
         tables.stored_payment_history,
         CUTOFF,
         with_settlement=False,
-    ).withColumn(
-        "paid_amount",
-        F.when(falsified, F.col("paid_amount") + 1).otherwise(F.col("paid_amount")),
+    ).withColumns(
+        {
+            "paid_amount": F.when(surplus, paid + 1)
+            .when(reopened, 0)
+            .when(negative, -1)
+            .otherwise(paid),
+            "remaining_amount": F.when(surplus, left)
+            .when(reopened, F.col("amount_due"))
+            .when(negative, F.col("amount_due") + 1)
+            .otherwise(left),
+        }
     )
     return quality.fifo_violations(
         status, tables.stored_loan, tables.stored_payment_history, CUTOFF
@@ -570,32 +591,32 @@ def dq_fifo_conservation(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dq_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals that must agree, and one that does not: extract rows hold copies."""
     tables = lending(spark, folder)
-    typed = plans.typed_loans(tables.raw["raw_loans"])
-    orphans = quality.relationships(
-        typed,
-        "application_id",
-        tables.fct_application.where("status = 'APPROVED'"),
-        "application_id",
-    )
-    people = tables.dim_customer
-    n_loans = typed.agg(F.count("*").alias("n"))
-    n_valid = tables.stored_loan.agg(F.count("*").alias("n"))
-    n_orphans = orphans.agg(F.count("*").alias("n"))
-    snapshot = tables.dm_loan_delinquency_snapshot
-    late = snapshot.where("dpd > 30").agg(F.sum("balance_usd").alias("v"))
-    current = snapshot.where("dpd <= 30").agg(F.sum("balance_usd").alias("v"))
-    total = snapshot.agg(F.sum("balance_usd").alias("v"))
-    ids = tables.raw["raw_customers"].agg(F.count_distinct("customer_id").alias("n"))
+    raw_loans = tables.raw["raw_loans"]
+    typed = plans.typed_loans(raw_loans)
+    approved = tables.fct_application.where("status = 'APPROVED'")
+    orphans = quality.relationships(typed, "application_id", approved, "application_id")
+
+    def rows_of(df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").alias("n"))
+
+    n_typed = rows_of(typed)
+    ids = tables.raw["raw_customers"].agg(F.count_distinct("customer_id").alias("expected"))
+    people = tables.dim_customer.agg(F.sum("customer_id_count").alias("n"))
+    usd, late = F.col("balance_usd"), F.col("dpd") > 30
+    parts = [F.coalesce(F.sum(F.when(kind, usd)), F.lit(0)) for kind in (late, ~late)]
     return quality.reconcile(
-        loans_less_orphans=(
-            n_loans.select((F.col("n") - n_orphans.scalar()).alias("v")),
-            n_valid,
+        loans_less_orphans=n_typed.select(
+            (F.col("n") - rows_of(orphans).scalar()).alias("expected"),
+            rows_of(tables.stored_loan).scalar().alias("actual"),
+        ),
+        ids_of_people=ids.select("expected", people.scalar().alias("actual")),
+        late_plus_current=tables.dm_loan_delinquency_snapshot.agg(
+            (parts[0] + parts[1]).alias("expected"), F.sum(usd).alias("actual")
         ),
-        ids_of_people=(ids, people.agg(F.sum("customer_id_count").alias("n"))),
-        late_plus_current=(
-            late.select((F.col("v") + current.scalar()).alias("v")),
-            total,
+        extract_rows=n_typed.select(
+            F.col("n").alias("expected"), rows_of(raw_loans).scalar().alias("actual")
         ),
     )
 

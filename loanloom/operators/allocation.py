@@ -292,6 +292,75 @@ def completed_at(
     )
 
 
+def steps_of_loans(
+    loans: DataFrame, steps: DataFrame, first: Column, cutoff: date
+) -> DataFrame:
+    """Each loan's steps from ``first`` through the cutoff; one of zero without payments."""
+    start = F.greatest(F.coalesce("step_from", F.expr(ALWAYS)), first)
+    stop = F.least(F.coalesce("step_to", F.expr(NEVER)), F.date_add(F.lit(cutoff), 1))
+    return (
+        loans.select("loan_id", "disbursement_date")
+        .where(F.col("disbursement_date") <= F.lit(cutoff))
+        .join(steps, "loan_id", "left")
+        .select(
+            "loan_id",
+            start.alias("step_from"),
+            stop.alias("step_to"),
+            F.coalesce("total_paid", F.lit(0)).cast("decimal(28,2)").alias("total_paid"),
+            F.coalesce("epoch_from", F.expr(ALWAYS)).alias("epoch_from"),
+        )
+        .where("step_from < step_to")
+    )
+
+
+def paid_part() -> Column:
+    """What of an installment the loan's total covers."""
+    covered = F.greatest(F.col("total_paid") - F.col("due_before"), F.lit(0))
+    return F.least(F.col("amount_due"), covered).cast("decimal(18,2)")
+
+
+def _month_ends_of_step(rows: DataFrame) -> DataFrame:
+    """Repeat rows for the month-ends of their step, as ``cutoff_date``."""
+    # Both a month-end bound and the day after the cutoff are exclusive.
+    last = F.date_sub(month_start(F.col("step_to")), 1)
+    return rows.withColumn(
+        "_month", F.explode(month_starts(F.col("step_from"), last))
+    ).withColumn("cutoff_date", F.last_day("_month"))
+
+
+def balances_by_month_end(
+    loans: DataFrame, installments: DataFrame, payments: DataFrame, cutoff: date
+) -> DataFrame:
+    """Unpaid balance and days past due (``dpd``) per loan and month-end.
+
+    A balance holds for a whole step, and the days past due count from the first due
+    date still open. So installments are summed per step, and only then are months
+    spread: no row per month and installment ever exists.
+    """
+    ids = loans.select("loan_id")
+    plan = due_ranges(installments.distinct().join(ids, "loan_id", "left_semi"))
+    known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
+    steps = total_steps(effective_span(known, cutoff), ids)
+    remaining = (F.col("amount_due") - paid_part()).cast("decimal(18,2)")
+    per_step = (
+        steps_of_loans(loans, steps, F.last_day("disbursement_date"), cutoff)
+        .join(plan, "loan_id")
+        .withColumn("remaining", remaining)
+        .groupBy("loan_id", "step_from", "step_to")
+        .agg(
+            F.sum("remaining").alias("balance_local"),
+            F.min(F.when(F.col("remaining") > 0, F.col("due_date"))).alias("open_since"),
+        )
+    )
+    late = F.datediff("cutoff_date", "open_since")
+    return _month_ends_of_step(per_step).select(
+        "cutoff_date",
+        "loan_id",
+        "balance_local",
+        F.greatest(F.coalesce(late, F.lit(0)), F.lit(0)).alias("dpd"),
+    )
+
+
 def allocate(
     loans: DataFrame,
     installments: DataFrame,
@@ -306,8 +375,7 @@ def allocate(
     plan, ``payments`` the settled history with reversal instants. With
     ``final_only`` just the cutoff is produced and no calendar is expanded.
     """
-    valid = loans.select("loan_id", "disbursement_date")
-    ids = valid.select("loan_id")
+    ids = loans.select("loan_id")
     plan = due_ranges(installments.distinct().join(ids, "loan_id", "left_semi"))
     known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
     if final_only:
@@ -324,27 +392,9 @@ def allocate(
     else:
         spans = effective_span(known, cutoff)
         steps = total_steps(spans, ids)
-
     first = F.lit(cutoff) if final_only else F.last_day("disbursement_date")
-    start = F.greatest(F.coalesce("step_from", F.expr(ALWAYS)), first)
-    stop = F.least(F.coalesce("step_to", F.expr(NEVER)), F.date_add(F.lit(cutoff), 1))
-    spread = (
-        valid.where(F.col("disbursement_date") <= F.lit(cutoff))
-        .join(steps, "loan_id", "left")
-        .select(
-            "loan_id",
-            start.alias("step_from"),
-            stop.alias("step_to"),
-            F.coalesce("total_paid", F.lit(0)).cast("decimal(28,2)").alias("total_paid"),
-            F.coalesce("epoch_from", F.expr(ALWAYS)).alias("epoch_from"),
-        )
-        .where("step_from < step_to")
-    )
-    paid = F.least(
-        F.col("amount_due"),
-        F.greatest(F.col("total_paid") - F.col("due_before"), F.lit(0)),
-    ).cast("decimal(18,2)")
-    status = spread.join(plan, "loan_id").withColumn("paid_amount", paid)
+    spread = steps_of_loans(loans, steps, first, cutoff)
+    status = spread.join(plan, "loan_id").withColumn("paid_amount", paid_part())
     if not with_settlement:
         status = status.withColumn("settlement_at_utc", F.lit(None).cast("timestamp_ntz"))
     elif final_only:
@@ -363,11 +413,7 @@ def allocate(
     if final_only:
         dated = status.withColumn("cutoff_date", F.lit(cutoff))
     else:
-        # Both a month-end bound and the day after the cutoff are exclusive.
-        last = F.date_sub(month_start(F.col("step_to")), 1)
-        dated = status.withColumn(
-            "_month", F.explode(month_starts(F.col("step_from"), last))
-        ).withColumn("cutoff_date", F.last_day("_month"))
+        dated = _month_ends_of_step(status)
     remaining = (F.col("amount_due") - F.col("paid_amount")).cast("decimal(18,2)")
     return dated.select(
         "cutoff_date",

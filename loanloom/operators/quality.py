@@ -168,14 +168,14 @@ def mixed_styles(df: DataFrame, keys: Sequence[str], style: Column) -> DataFrame
     )
 
 
-def reconcile(**sides: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """One row per named pair of one-value frames: both values and whether equal."""
+def reconcile(**sides: DataFrame) -> DataFrame:
+    """One row per named one-row frame of ``expected`` and ``actual``, and whether equal."""
     rows = None
-    for name, (expected, actual) in sides.items():
-        row = expected.sparkSession.range(1).select(
+    for name, side in sides.items():
+        row = side.select(
             F.lit(name).alias("rule"),
-            expected.scalar().cast("decimal(38,2)").alias("expected"),
-            actual.scalar().cast("decimal(38,2)").alias("actual"),
+            F.col("expected").cast("decimal(38,2)").alias("expected"),
+            F.col("actual").cast("decimal(38,2)").alias("actual"),
         )
         rows = row if rows is None else rows.unionByName(row)
     return rows.withColumn("agrees", F.col("expected") == F.col("actual"))

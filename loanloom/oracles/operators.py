@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loanloom.oracles.lending import CUT, day_text, dbl, local_day, ts_text
+from loanloom.oracles.lending import CUT, day_text, dbl, local_day, ts_text, usd
 
 EXTRACTS = {
     "raw_applications_cdc": "x_applications",
@@ -92,7 +92,7 @@ OPERATOR_SQL: dict[str, str] = {
         LEFT JOIN t_known USING (application_id)""",
     "money_convert": f"""
         SELECT source_system, payment_id, {dbl('amount')} AS amount,
-               {dbl(f"CAST({dbl('amount')} / {dbl('f.units')} AS DECIMAL(18, 6))")} AS amount_usd
+               {dbl(usd('amount', 'f.units'))} AS amount_usd
         FROM t_payment p ASOF LEFT JOIN t_fx f
           ON p.currency = f.currency AND p.paid_date >= f.rate_date""",
     "parse_mixed_timestamps": f"""
@@ -135,15 +135,22 @@ OPERATOR_SQL: dict[str, str] = {
         ASOF LEFT JOIN t_fx f
           ON o.currency = f.currency AND o.day >= f.rate_date""",
     "effective_at_cutoff": f"""
-        SELECT {day_text('c.cutoff_date')} AS cutoff_date, source_system, payment_id, loan_id,
-               {dbl('amount')} AS amount
+        SELECT {day_text('c.cutoff_date')} AS cutoff_date, loan_id, {dbl('sum(amount)')} AS amount
         FROM t_history h JOIN (
             SELECT DISTINCT CAST(last_day(m) AS DATE) AS cutoff_date FROM (
                 SELECT unnest(generate_series((SELECT min(paid_at_utc) FROM t_history)
                               - INTERVAL 1 MONTH, {CUT}, INTERVAL 5 DAY)) AS m)
             WHERE last_day(m) <= {CUT}) c
           ON {local_day('paid_at_utc')} <= c.cutoff_date
-         AND (reversed_at_utc IS NULL OR {local_day('reversed_at_utc')} > c.cutoff_date)""",
+         AND (reversed_at_utc IS NULL OR {local_day('reversed_at_utc')} > c.cutoff_date)
+        GROUP BY ALL""",
+    "effective_spans": f"""
+        SELECT source_system, payment_id, loan_id, {dbl('amount')} AS amount,
+               {day_text('since')} AS counts_from,
+               {day_text(f'CASE WHEN until <= {CUT} THEN until END')} AS counts_until
+        FROM (SELECT *, last_day({local_day('paid_at_utc')}) AS since,
+                     last_day({local_day('reversed_at_utc')}) AS until FROM t_history)
+        WHERE since <= {CUT} AND (until IS NULL OR until > since)""",
     "fifo_settlement": f"""
         SELECT i.loan_id, i.installment_number, {ts_text('min(p.paid_at_utc)')} AS settlement_at_utc
         FROM t_plan i JOIN ({PAID_AT_CUT}) p
@@ -262,20 +269,45 @@ OPERATOR_SQL: dict[str, str] = {
         WHERE r.status = 'REVERSED' GROUP BY ALL
         HAVING count(DISTINCT r.payment_id) > 1 OR count(DISTINCT s.payment_id) <> 1""",
     "dq_fifo_conservation": f"""
-        SELECT {day_text('cutoff_date')} AS cutoff_date, loan_id, unnest(['row', 'total']) AS rule
-        FROM t_status WHERE loan_id % 97 = 0 AND installment_number = 1""",
+        WITH damaged AS (
+            SELECT cutoff_date, loan_id, installment_number AS n, amount_due AS due,
+                   CASE WHEN loan_id % 97 = 0 AND n = 1 THEN paid_amount + 1
+                        WHEN loan_id % 89 = 0 AND n = 1 THEN 0
+                        WHEN loan_id % 83 = 0 AND n = 2 THEN -1 ELSE paid_amount END AS paid,
+                   CASE WHEN loan_id % 97 = 0 AND n = 1 THEN remaining_amount
+                        WHEN loan_id % 89 = 0 AND n = 1 THEN due
+                        WHEN loan_id % 83 = 0 AND n = 2 THEN due + 1
+                        ELSE remaining_amount END AS remaining FROM t_status),
+        received AS (SELECT cutoff_date, loan_id, sum(amount) AS got FROM t_effective GROUP BY ALL),
+        broken AS (
+            SELECT cutoff_date, loan_id, 'row' AS rule FROM damaged
+            WHERE least(paid, remaining) < 0 OR abs(paid + remaining - due) > 0.005
+            UNION
+            SELECT a.cutoff_date, a.loan_id, 'row' FROM damaged a JOIN damaged b
+              ON a.cutoff_date = b.cutoff_date AND a.loan_id = b.loan_id AND b.n < a.n
+            WHERE a.paid > 0 AND b.remaining > 0.005
+            UNION
+            SELECT cutoff_date, loan_id, 'total'
+            FROM (SELECT cutoff_date, loan_id, sum(paid) AS spent, sum(due) AS owed
+                  FROM damaged GROUP BY ALL) LEFT JOIN received USING (cutoff_date, loan_id)
+            WHERE abs(spent - least(owed, coalesce(got, 0))) > 0.005)
+        SELECT {day_text('cutoff_date')} AS cutoff_date, loan_id, rule FROM broken""",
     "dq_reconciliation": f"""
-        SELECT 'loans_less_orphans' AS rule, {dbl('count(*)')} - (
-                   SELECT count(*) FROM t_loan_rows WHERE application_id NOT IN (
-                       SELECT application_id FROM t_application WHERE status = 'APPROVED'))
-                   AS expected,
-               (SELECT {dbl('count(*)')} FROM t_loan) AS actual, true AS agrees FROM t_loan_rows
-        UNION ALL
-        SELECT 'ids_of_people', {dbl('count(DISTINCT customer_id)')},
-               (SELECT {dbl('sum(customer_id_count)')} FROM t_customer), true FROM x_customers
-        UNION ALL
-        SELECT 'late_plus_current', {dbl('sum(balance_usd)')}, {dbl('sum(balance_usd)')}, true
-        FROM t_snapshot""",
+        SELECT rule, {dbl('expected')} AS expected, {dbl('actual')} AS actual,
+               expected = actual AS agrees
+        FROM (SELECT 'loans_less_orphans' AS rule, count(*) FILTER (application_id IN (
+                         SELECT application_id FROM t_application WHERE status = 'APPROVED'))
+                         AS expected,
+                     (SELECT count(*) FROM t_loan) AS actual FROM t_loan_rows
+              UNION ALL
+              SELECT 'ids_of_people', count(DISTINCT customer_id),
+                     (SELECT sum(customer_id_count) FROM t_customer) FROM x_customers
+              UNION ALL
+              SELECT 'late_plus_current',
+                     sum(balance_usd) FILTER (dpd > 30) + sum(balance_usd) FILTER (dpd <= 30),
+                     sum(balance_usd) FROM t_snapshot
+              UNION ALL
+              SELECT 'extract_rows', count(*), (SELECT count(*) FROM x_loans) FROM t_loan_rows)""",
     "dq_source_profile": """
         WITH incomes AS (
             SELECT trim(monthly_income) AS raw_text,

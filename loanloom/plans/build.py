@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.operators import quality as q
+from loanloom.operators.allocation import balances_by_month_end
 from loanloom.plans import answers
 from loanloom.plans import lending as plans
 from loanloom.sources.bronze import read_extracts
@@ -149,8 +150,12 @@ def store_tables(
     final = layers.write(
         plans.final_status(status, cutoff), "silver", "fct_installment_status"
     )
+    # From the payments: the month-end table is far larger than its balances.
+    balances = balances_by_month_end(
+        loans, plans.typed_installments(raw["raw_installments"]), history, cutoff
+    )
     daily = plans.merchant_day_metrics(
-        tables["fct_application"], loans, final, status, t.fx, cutoff
+        tables["fct_application"], loans, final, balances, t.fx, cutoff
     )
     gold = {
         "agg_merchant_monthly": plans.agg_merchant_monthly(daily, tables["dim_merchant"]),

@@ -32,7 +32,7 @@ from loanloom.functions.money import (
     to_usd,
 )
 from loanloom.functions.text import blank_to_null
-from loanloom.operators.allocation import allocate
+from loanloom.operators.allocation import allocate, balances_by_month_end
 from loanloom.operators.change_log import (
     known_id_per_key,
     latest_state,
@@ -334,10 +334,10 @@ def final_status(status: DataFrame, cutoff: date) -> DataFrame:
     )
 
 
-def loan_balances(status: DataFrame, *keys: str) -> DataFrame:
-    """Unpaid balance and days past due per loan (and any further keys)."""
+def loan_balances(status: DataFrame) -> DataFrame:
+    """Unpaid balance and days past due per loan at one cutoff."""
     unpaid = F.col("remaining_amount") > 0
-    return status.groupBy(*keys, "loan_id").agg(
+    return status.groupBy("loan_id").agg(
         F.sum("remaining_amount").alias("balance_local"),
         F.coalesce(F.max(F.when(unpaid, F.col("days_past_due"))), F.lit(0)).alias("dpd"),
     )
@@ -393,13 +393,13 @@ def merchant_day_metrics(
     applications: DataFrame,
     loans: DataFrame,
     final: DataFrame,
-    status: DataFrame,
+    balances: DataFrame,
     fx: DataFrame,
     cutoff: date,
 ) -> DataFrame:
     """All merchant metrics summed per merchant and business date.
 
-    The date is the application, disbursement or snapshot date. Summing here,
+    ``balances`` is one row per loan and month-end. The date is the application, disbursement or snapshot date. Summing here,
     before any merchant version is looked up, leaves a hot merchant with at most
     one row per day and metric.
     """
@@ -421,9 +421,7 @@ def merchant_day_metrics(
             F.count_if("defaulted").alias("fpd30_default"),
         )
     )
-    owned = loan_balances(status, "cutoff_date").join(
-        loans.select("loan_id", "merchant_id", "currency"), "loan_id"
-    )
+    owned = balances.join(loans.select("loan_id", "merchant_id", "currency"), "loan_id")
     balance = asof_join(
         owned,
         fx,
@@ -578,20 +576,17 @@ class Lending:
 
     @cached_property
     def merchant_day_metrics(self) -> DataFrame:
-        # Balances need no settlement instants, so the month-end table is built
-        # without them and never stored.
-        status = allocate(
+        balances = balances_by_month_end(
             self.stored_loan,
             typed_installments(self.raw["raw_installments"]),
             self.stored_payment_history,
             self.cutoff,
-            with_settlement=False,
         )
         return merchant_day_metrics(
             self.stored_application,
             self.stored_loan,
             self.fct_installment_status,
-            status,
+            balances,
             self.fx,
             self.cutoff,
         )

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from loanloom.operators.allocation import allocate, effective_by_month_end
+from loanloom.operators.allocation import allocate, balances_by_month_end, effective_by_month_end
 from loanloom.operators.change_log import known_id_per_key, latest_state, repair_sentinel
 from loanloom.operators.quality import table_diff
 from loanloom.operators.running import running_total
@@ -175,6 +175,12 @@ def test_allocation_matches_definition(planned, seed):
     plain = allocate(*frames(planned, case), CUTOFF, with_settlement=False)
     same = [c for c in plain.columns if c != "settlement_at_utc"]
     assert table_diff(plain.select(same), got.select(same)).isEmpty()
+    summed = defaultdict(lambda: (Decimal(0), 0))
+    for r in expected:
+        balance, late = summed[r[0], r[1]]
+        summed[r[0], r[1]] = (balance + r[6], max(late, r[8]))
+    balances = balances_by_month_end(*frames(planned, case), CUTOFF)
+    assert rows(balances) == sorted(((*k, *v) for k, v in summed.items()), key=str)
 
 
 def test_allocation_edges(spark):
