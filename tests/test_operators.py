@@ -183,6 +183,19 @@ def test_allocation_matches_definition(planned, seed):
     assert rows(balances) == sorted(((*k, *v) for k, v in summed.items()), key=str)
 
 
+def test_many_instants_on_one_day(planned):
+    """A loan paid in small parts within one day; the part that reaches an end settles it."""
+    loans = [(1, date(2024, 3, 1))]
+    plan = [(1, n, date(2024, 3, 1) + timedelta(days=30 * n), Decimal(50)) for n in (1, 2, 3)]
+    start = datetime(2024, 4, 2, 6)
+    payments = [
+        ("a", n, 1, start + timedelta(minutes=n // 2), Decimal(1), None) for n in range(120)
+    ]
+    case = (loans, plan, payments)
+    got = allocate(*frames(planned, case), CUTOFF)
+    assert rows(got) == sorted(expected_status(*case), key=str)
+
+
 def test_allocation_edges(spark):
     loans = [(1, date(2024, 3, 1)), (2, date(2024, 3, 1)), (3, date(2024, 3, 1))]
     plan = [(1, n, date(2024, 3, 1) + timedelta(days=30 * n), Decimal(10)) for n in (1, 2, 3)]
