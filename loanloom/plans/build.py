@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.operators import quality as q
@@ -76,30 +76,44 @@ NOT_NEGATIVE = {
 RATES = ("approval_rate", "fpd30_rate", "par30_rate")
 
 
+def row_rules() -> dict[str, dict[str, Column]]:
+    """Per table the rules that one row breaks by itself: rule name and its condition."""
+    rules: dict[str, dict[str, Column]] = {name: {} for name in NOT_NULL}
+    for name, columns in NOT_NULL.items():
+        for column in columns:
+            rules[name][f"not_null {name}.{column}"] = F.col(column).isNull()
+    for (name, column), values in ACCEPTED.items():
+        outside = F.col(column).isNotNull() & ~F.col(column).isin(*values)
+        rules[name][f"accepted {name}.{column}"] = outside
+    for name, column in NOT_NEGATIVE.items():
+        rules[name][f"not_negative {name}.{column}"] = F.col(column) < 0
+    for column in RATES:
+        rate = F.col(column)
+        rules["agg_merchant_monthly"][f"rate {column}"] = (rate < 0) | (rate > 1)
+    return rules
+
+
+def broken_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Rows that break each rule, counted in one pass over the table."""
+    counts = df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    pairs = [
+        F.struct(F.lit(name).alias("rule"), F.col(f"`{name}`").alias("n_violations"))
+        for name in rules
+    ]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def checks(
     tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], cutoff: date
 ) -> dict[str, DataFrame]:
-    """Violating rows of every declared rule, by rule name."""
+    """Violations of the declared rules that need several rows or tables, by rule name."""
     found: dict[str, DataFrame] = {}
     for name, columns in GRAIN.items():
         found[f"unique {name}"] = q.unique_combination(tables[name], columns)
-    for name, columns in NOT_NULL.items():
-        for column in columns:
-            found[f"not_null {name}.{column}"] = q.not_null(tables[name], column)
-    for (name, column), values in ACCEPTED.items():
-        found[f"accepted {name}.{column}"] = q.accepted_values(
-            tables[name], column, values
-        )
     for (name, column), parent in PARENTS.items():
         found[f"parent {name}.{column}"] = q.relationships(
             tables[name], column, tables[parent], column
         )
-    for name, column in NOT_NEGATIVE.items():
-        found[f"not_negative {name}.{column}"] = q.not_negative(tables[name], column)
-    for column in RATES:
-        found[f"rate {column}"] = q.between_0_and_1(
-            tables["agg_merchant_monthly"], column
-        )
     events = plans.typed_payment_events(raw["raw_payments"]).select(
         "source_system", "payment_id", "status", "reversed_payment_id"
     )
@@ -113,13 +127,17 @@ def checks(
     return found
 
 
-def violation_counts(found: Mapping[str, DataFrame]) -> DataFrame:
+def violation_counts(
+    tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], cutoff: date
+) -> DataFrame:
+    """Violations of every declared rule; rules on single rows take one scan a table."""
     counts = [
         df.agg(F.count("*").alias("n_violations")).select(
             F.lit(name).alias("rule"), "n_violations"
         )
-        for name, df in found.items()
+        for name, df in checks(tables, raw, cutoff).items()
     ]
+    counts += [broken_rows(tables[name], rules) for name, rules in row_rules().items()]
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -201,5 +219,5 @@ def build(
     for name in ("agg_merchant_monthly", "dm_loan_delinquency_snapshot"):
         export_table(tables[name], layers.path("exports", name), GRAIN[name])
     # One row per rule.
-    counts = violation_counts(checks(tables, raw, cutoff)).collect()
+    counts = violation_counts(tables, raw, cutoff).collect()
     return {row["rule"]: row["n_violations"] for row in counts}

@@ -4,7 +4,7 @@ from compare import compare, connect
 from conftest import FOLDER
 from loanloom.catalog import present
 from loanloom.oracles import all_statements
-from loanloom.plans.build import build
+from loanloom.plans.build import broken_rows, build, row_rules
 from loanloom.samples.lending import COHORT, CUTOFF, RawTables
 from loanloom.sources.bronze import EXTRACTS, write_csv
 
@@ -32,3 +32,16 @@ def test_build_from_csv(spark, tmp_path):
         f"select * from read_csv('{target}/exports/q5_par30_balance/*.csv', header=true)"
     ).fetchall()
     assert exported == con.execute(sql["q5_par30_balance"]).fetchall()
+
+
+def test_row_rules_count_each_breach(spark):
+    rows = [(None, "COP", "DISBURSED", 1.0), (2, "EUR", None, -1.0), (3, "USD", "GONE", None)]
+    df = spark.createDataFrame(rows, "loan_id long, currency string, status string, principal_usd double")
+    counts = {r.rule: r.n_violations for r in broken_rows(df, row_rules()["fct_loan"]).collect()}
+    assert counts == {
+        "not_null fct_loan.loan_id": 1,
+        "not_null fct_loan.principal_usd": 1,
+        "accepted fct_loan.currency": 2,
+        "accepted fct_loan.status": 1,
+        "not_negative fct_loan.principal_usd": 1,
+    }
