@@ -87,7 +87,8 @@ OPERATOR_SQL: dict[str, str] = {
         SELECT application_id, last.customer_id AS reported_customer_id,
                CASE WHEN last.customer_id = 999999999 THEN known_id ELSE last.customer_id END
                    AS customer_id
-        FROM (SELECT application_id, arg_max(e, (event_at, ingested_at, op)) AS last
+        FROM (SELECT application_id, arg_max(e, (event_at, ingested_at,
+                         CASE op WHEN 'D' THEN 2 WHEN 'U' THEN 1 ELSE 0 END)) AS last
               FROM t_events e GROUP BY application_id)
         LEFT JOIN t_known USING (application_id)""",
     "money_convert": f"""
@@ -278,7 +279,7 @@ OPERATOR_SQL: dict[str, str] = {
                         WHEN loan_id % 89 = 0 AND n = 1 THEN due
                         WHEN loan_id % 83 = 0 AND n = 2 THEN due + 1
                         ELSE remaining_amount END AS remaining FROM t_status),
-        received AS (SELECT cutoff_date, loan_id, sum(amount) AS got FROM t_effective GROUP BY ALL),
+        received AS (SELECT cutoff_date, loan_id, sum(amount) AS got FROM t_received GROUP BY ALL),
         broken AS (
             SELECT cutoff_date, loan_id, 'row' AS rule FROM damaged
             WHERE least(paid, remaining) < 0 OR abs(paid + remaining - due) > 0.005
