@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from loanloom.catalog import REGISTERED  # noqa: E402
-from loanloom.catalog.lending import extracts  # noqa: E402
+from loanloom.catalog.lending import extracts, release  # noqa: E402
 from loanloom.session import local_session  # noqa: E402
 
 HEADLINE = (
@@ -65,6 +65,7 @@ def main() -> None:
         start = time.perf_counter()
         REGISTERED[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release()
         print(name, seconds[name], file=sys.stderr)
     print(
         json.dumps(

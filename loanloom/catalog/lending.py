@@ -19,6 +19,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 _BRONZE: dict[tuple[str, str], RawTables] = {}
 
 
+_OPENED: list[Layers] = []
+
+
+def opened(spark: SparkSession) -> Layers:
+    """A folder for one query's own tables, until ``release``."""
+    _OPENED.append(Layers(spark))
+    return _OPENED[-1]
+
+
+def release() -> None:
+    """Removes the tables that queries stored so far; their results must be read by then."""
+    while _OPENED:
+        _OPENED.pop().close()
+
+
 def extracts(spark: SparkSession, folder: str) -> RawTables:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _BRONZE:
@@ -27,7 +42,7 @@ def extracts(spark: SparkSession, folder: str) -> RawTables:
 
 
 def lending(spark: SparkSession, folder: str) -> Lending:
-    return Lending(extracts(spark, folder), CUTOFF, Layers(spark))
+    return Lending(extracts(spark, folder), CUTOFF, opened(spark))
 
 
 def _table(name: str) -> Query:

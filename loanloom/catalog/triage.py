@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.catalog.lending import Query
+from loanloom.catalog.lending import Query, opened
 from loanloom.functions.text import contains_any, has_word
 from loanloom.plans import triage as rules
 from loanloom.plans.triage_batch import report_batch
@@ -16,7 +14,6 @@ from loanloom.samples import triage as samples
 from loanloom.samples.triage import BOOK
 from loanloom.sources import messages as records
 from loanloom.sources.export import write_report
-from loanloom.sources.layers import Layers, shared_folder
 
 TRIAGE: dict[str, Query] = {}
 
@@ -81,7 +78,7 @@ def decisions_invalid_rows(spark: SparkSession, folder: str) -> DataFrame:
 def triage_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The report written as JSON and its result rows read back."""
     rows = results(spark, folder)
-    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    path = opened(spark).path("gold", "report")
     write_report(rows, rules.summarize(rows), path)
     schema = rows.drop("received_at").schema
     return flat(spark.read.schema(schema).json(f"{path}/results"))
@@ -102,7 +99,7 @@ def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
 def triage_report(spark: SparkSession, folder: str) -> DataFrame:
     """The totals of a batch that was scored once and stored."""
     messages = samples.conversation_messages(spark, folder)
-    return report_batch(messages, Layers(spark), samples.length_scorer(), BOOK).select(
+    return report_batch(messages, opened(spark), samples.length_scorer(), BOOK).select(
         "message_count", "complete", "total_messages", "business_results", "technical_errors"
     )
 

@@ -1,4 +1,9 @@
-"""Stored tables: one folder per layer, replaced in full on every write."""
+"""Stored tables: one folder per layer, replaced in full on every write.
+
+A write goes to a version folder of its own and only then becomes the table, by one
+small file that names it. A job that fails leaves the table as it was, and readers that
+were planned on the version before can still finish; older versions are removed.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Names a table's present version; hidden from readers of the folder.
+POINTER = "_current"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it."""
@@ -17,15 +25,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Layers:
-    """Writes and reads ``<root>/<layer>/<table>``."""
+    """Writes and reads tables under ``<root>/<layer>/<table>``.
+
+    Without ``root`` they stand in a new folder of the shared one, which ``close``
+    removes.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
+        self._owned = root is None
         self.root = root or f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def current(self, layer: str, name: str) -> str:
+        """Folder of the table's present version."""
+        version = self._current(layer, name)
+        if version is None:
+            raise FileNotFoundError(f"no table {layer}.{name} in {self.root}")
+        return f"{self.path(layer, name)}/{version}"
+
     def write(
         self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
@@ -40,13 +60,56 @@ class Layers:
             writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
         else:
             writer = df.write
-        writer = writer.mode("overwrite")
-        writer.parquet(self.path(layer, name))
+        version = f"v-{uuid.uuid4().hex}"
+        writer.parquet(f"{self.path(layer, name)}/{version}")
+        before = self._current(layer, name)
+        self._point(layer, name, version)
+        self._remove_others(layer, name, {version, before})
         return self.read(df.schema, layer, name)
 
     def read(self, schema, layer: str, name: str) -> DataFrame:
         return (
             self.spark.read.schema(schema)
-            .parquet(self.path(layer, name))
+            .parquet(self.current(layer, name))
             .select(*schema.fieldNames())
         )
+
+    def close(self) -> None:
+        """Removes the tables, unless their folder was given by the caller."""
+        if self._owned:
+            files, root = self._files(self.root)
+            files.delete(root, True)
+
+    def _files(self, path: str):
+        """The path and its file system, as the cluster is configured for it."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return hadoop.getFileSystem(configuration), hadoop
+
+    def _pointer(self, layer: str, name: str) -> str:
+        return f"{self.path(layer, name)}/{POINTER}"
+
+    def _current(self, layer: str, name: str) -> str | None:
+        files, pointer = self._files(self._pointer(layer, name))
+        if not files.exists(pointer):
+            return None
+        stream = files.open(pointer)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def _point(self, layer: str, name: str, version: str) -> None:
+        files, pointer = self._files(self._pointer(layer, name))
+        stream = files.create(pointer, True)
+        try:
+            stream.writeUTF(version)
+        finally:
+            stream.close()
+
+    def _remove_others(self, layer: str, name: str, kept: set[str | None]) -> None:
+        files, folder = self._files(self.path(layer, name))
+        for status in files.listStatus(folder):
+            path = status.getPath()
+            if path.getName() != POINTER and path.getName() not in kept:
+                files.delete(path, True)

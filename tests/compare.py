@@ -56,6 +56,7 @@ def compare(spark_df, con, sql: str) -> str:
 
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
+    from loanloom.catalog.lending import release
     from loanloom.session import local_session
 
     args = sys.argv[1:]
@@ -77,6 +78,7 @@ def main() -> int:
             n = df.count() if not message else -1
         except Exception as exc:  # noqa: BLE001
             message, n = f"{type(exc).__name__}: {str(exc)[:1500]}", -1
+        release()
         bad += bool(message)
         print(f"{name:32s} {'ok' if not message else 'BAD ' + message} rows={n} {time.time() - t0:6.2f}s")
     print("failures:", bad)

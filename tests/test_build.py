@@ -7,6 +7,7 @@ from loanloom.oracles import all_statements
 from loanloom.plans.build import broken_rows, build, row_rules
 from loanloom.samples.lending import COHORT, CUTOFF, RawTables
 from loanloom.sources.bronze import EXTRACTS, write_csv
+from loanloom.sources.layers import Layers
 
 
 def test_build_from_csv(spark, tmp_path):
@@ -26,7 +27,7 @@ def test_build_from_csv(spark, tmp_path):
         ("gold", "agg_merchant_monthly"),
         ("gold", "dm_loan_delinquency_snapshot"),
     ):
-        stored = spark.read.parquet(f"{target}/{layer}/{name}")
+        stored = spark.read.parquet(Layers(spark, target).current(layer, name))
         assert compare(present(stored), con, sql[name]) == "", name
     exported = duckdb.sql(
         f"select * from read_csv('{target}/exports/q5_par30_balance/*.csv', header=true)"

@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 
@@ -43,6 +44,31 @@ def test_layers_replace_and_prune(spark):
     assert "PartitionFilters: [isnotnull" in one._jdf.queryExecution().toString()
 
 
+def test_layers_keep_the_table_when_a_write_fails(spark):
+    layers = Layers(spark)
+    with pytest.raises(FileNotFoundError, match="silver.t"):
+        layers.current("silver", "t")
+    old = layers.write(spark.range(3), "silver", "t")
+    broken = spark.range(2).selectExpr("raise_error('stop') as id")
+    with pytest.raises(Exception, match="stop"):
+        layers.write(broken, "silver", "t")
+    assert layers.read(old.schema, "silver", "t").count() == 3
+    new = layers.write(old.where("id > 0"), "silver", "t")
+    assert (old.count(), new.count()) == (3, 2)
+    layers.write(spark.range(7), "silver", "t")
+    folder = Path(layers.path("silver", "t"))
+    assert len(list(folder.glob("v-*"))) == 2
+    layers.close()
+    assert not Path(layers.root).exists()
+
+
+def test_close_leaves_a_given_folder(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    layers.write(spark.range(3), "silver", "t")
+    layers.close()
+    assert spark.read.parquet(layers.current("silver", "t")).count() == 3
+
+
 def test_answer_is_one_ordered_file(spark, tmp_path):
     df = spark.range(20).repartition(4)
     path = tmp_path / "answer"
