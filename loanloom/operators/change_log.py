@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,14 +50,17 @@ def known_id_per_key(
 ) -> DataFrame:
     """The real id found in the history of each key that ever shows the sentinel.
 
-    An id is real when ``master`` has it. Pairs of key and id are made distinct
-    before anything is joined, so copies never travel, and only histories with a
-    sentinel are looked up in the master.
+    An id is real when ``master`` has it. One pass: pairs of key and id are made
+    distinct first, so copies never travel and the window holds a key's different
+    ids only. Just histories with a sentinel are looked up in the master.
     """
-    pairs = log.select(key, id_column).distinct()
-    affected = log.where(F.col(id_column) == sentinel).select(key).distinct()
-    candidates = pairs.where(F.col(id_column) != sentinel).join(
-        affected, key, "left_semi"
+    ever = F.max(F.col(id_column) == sentinel).over(Window.partitionBy(key))
+    candidates = (
+        log.select(key, id_column)
+        .distinct()
+        .withColumn("_affected", ever)
+        .where(F.col("_affected") & (F.col(id_column) != sentinel))
+        .drop("_affected")
     )
     return (
         candidates.join(master.select(id_column), id_column, "left_semi")
