@@ -7,16 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.operators.quality import require_none
 from loanloom.plans.triage import ReplyBook, score_messages, summarize, triage
 from loanloom.sources.export import write_report
 from loanloom.sources.layers import Layers
-from loanloom.sources.messages import (
-    duplicate_ids,
-    invalid_messages,
-    parse_decisions,
-    parse_messages,
-)
+from loanloom.sources.messages import parse_decisions, parse_messages, require_valid
 
 
 def run_triage(
@@ -35,8 +29,7 @@ def run_triage(
     layers = Layers(spark, target)
     lines = spark.read.text(source).withColumn("file", F.input_file_name())
     parsed = layers.write(parse_messages(lines), "bronze", "messages")
-    require_none(invalid_messages(parsed).select("file", "problem"), "invalid message")
-    require_none(duplicate_ids(parsed), "duplicate message id")
+    require_valid(parsed)
     messages = parsed.select("id", "channel", "received_at", "from", "text")
     return report_batch(messages, layers, scorer, book)
 

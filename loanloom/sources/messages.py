@@ -92,12 +92,26 @@ def duplicate_ids(parsed: DataFrame) -> DataFrame:
     )
 
 
+def require_valid(parsed: DataFrame) -> None:
+    """Raises on any broken line or repeated id, both found in one aggregate.
+
+    Broken lines are counted by their rule, so they too are combined before the shuffle.
+    """
+    broken = F.col("problem").isNotNull()
+    require_none(
+        parsed.groupBy(F.when(~broken, F.col("id")).alias("id"), "problem")
+        .agg(F.count("*").alias("n_messages"), F.min("file").alias("file"))
+        .where(broken | (F.col("n_messages") > 1))
+        .withColumn("problem", F.coalesce("problem", F.lit("duplicate message id"))),
+        "invalid message",
+    )
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Messages of a folder of JSON lines; any bad line or repeated id is an error."""
     lines = spark.read.text(path).withColumn("file", F.input_file_name())
     parsed = parse_messages(lines)
-    require_none(invalid_messages(parsed).select("file", "problem"), "invalid message")
-    require_none(duplicate_ids(parsed), "duplicate message id")
+    require_valid(parsed)
     return parsed.select("id", "channel", "received_at", "from", "text")
 
 
