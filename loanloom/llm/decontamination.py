@@ -169,11 +169,20 @@ class Windows:
             literal = np.append(0, np.cumsum(self.kinds == LITERAL))
             least = LITERALS if n == WINDOW else -(-n * LITERALS // WINDOW)
             held = literal[n:] - literal[:-n]
-            # Without a slot the plain form says the same.
-            usable &= (held >= least) & (held < n)
+            usable &= held >= least
         at = np.flatnonzero(usable)
         return at, code[at]
 
+    def needed(self, at: np.ndarray, n: int, texts: int) -> np.ndarray:
+        """Template windows of texts in which one of them holds a slot.
+
+        In the other texts the plain form says the same.
+        """
+        slot = np.append(0, np.cumsum(self.kinds > LITERAL))
+        some = np.zeros(texts, bool)
+        some[self.text[at[slot[at + n] > slot[at]]]] = True
+        return some[self.text[at]]
+
     def slots(self, at: int, n: int, tokens: list[str]) -> list[str]:
         """Kind and value of each slot of a window."""
         if self.form == PLAIN:
@@ -251,6 +260,9 @@ def _doc_windows(lexicon: bytes, lengths: list[int], bits: int, filter_bytes: by
                         where = probes(code, bits)[probe]
                         hit = (packed[where >> 3] >> (where & 7).astype(np.uint8)) & 1
                         at, code = at[hit == 1], code[hit == 1]
+                    if windows.form == TEMPLATE:
+                        needed = windows.needed(at, n, len(texts))
+                        at, code = at[needed], code[needed]
                     for i, c in zip(at.tolist(), code.view(np.int64).tolist()):
                         t = int(windows.text[i])
                         slots = windows.slots(i, n, tokens)
@@ -398,7 +410,9 @@ def leaks(
         F.size(F.array_distinct(_names(pairs, "slots"))) == F.size(_names(pairs, "slots"))
     )
     exact = F.forall(pairs, lambda p: p["item_slots"] == p["slots"])
-    counted = aligned.filter(consistent).select(
+    # A template alignment without a slot is the plain form's.
+    told = (F.col("form") == PLAIN) | (F.size(pairs) > 0)
+    counted = aligned.filter(consistent & told).select(
         "doc_id",
         "text_key",
         "item_id",

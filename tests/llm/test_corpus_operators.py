@@ -64,6 +64,23 @@ def test_leaks(spark, text, item, exact):
     assert kept.count() == (2 if item is None else 0)
 
 
+def test_leaks_with_one_slot_at_any_place(spark):
+    words = "we all know that old men may often see some very red birds fly by here".split()
+    items, docs = [], []
+    for size in range(9, 17):
+        for place in range(size):
+            number = size * 100 + place
+            own = [f"{w}{chr(97 + size)}{chr(97 + place)}" for w in words[:size]]
+            for rows, name in ((items, "Paris"), (docs, "Rome")):
+                rows.append((number, " ".join([*own[:place], name, *own[place + 1 :]])))
+    found = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(n, n) for n, _ in docs]
+    assert not any(r["exact"] for r in found)
+
+
 def test_leaks_are_the_texts_that_hold_an_item(spark):
     docs = queries.table(spark, FOLDER, "documents")
     items = queries.table(spark, FOLDER, "benchmark")
