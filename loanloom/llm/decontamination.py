@@ -40,8 +40,11 @@ UNITS = frozenset(
     "euros mph kmh watt watts volt volts".split()
 )
 
-#: Tokens in a window, and how many of a template's must be literal.
-WINDOW, LITERALS = 8, 5
+#: Tokens in a window.
+WINDOW = 8
+#: Literals that a template's alignment must cover, or all that the item has; with
+#: fewer than LEAST an item's template says too little and only its plain form counts.
+LITERALS, LEAST = 5, 2
 #: Shorter items are found inside a text from this length on; below it, only as a
 #: whole text.
 SHORTEST = 5
@@ -118,6 +121,27 @@ class Tokens:
         return hashes[at], kind
 
 
+def split_tokens(text: str) -> list[str]:
+    """The tokens of a text; number words joined by hyphens are tokens of their own."""
+    found = re.findall(TOKEN, text)
+    if "-" not in text:
+        return found
+    return [part for t in found for part in (_parts(t) if "-" in t else (t,))]
+
+
+def _parts(token: str) -> list[str]:
+    found: list[str] = []
+    joins = False
+    for part in token.split("-"):
+        number = part.lower() in NUMBER_WORDS
+        if joins and not number:
+            found[-1] += f"-{part}"
+        else:
+            found.append(part)
+        joins = not number
+    return found
+
+
 def lexicon_bits(words: set[str]) -> bytes:
     bits = np.zeros(1 << (LEXICON_BITS - 3), np.uint8)
     for word in words:
@@ -165,23 +189,26 @@ class Windows:
             before = np.append(-1, self.text[:-1])[:count]
             after = np.append(self.text[n:], -1)[:count]
             usable &= (before != self.text[:count]) & (after != self.text[:count])
-        if self.form == TEMPLATE:
-            literal = np.append(0, np.cumsum(self.kinds == LITERAL))
-            least = LITERALS if n == WINDOW else -(-n * LITERALS // WINDOW)
-            held = literal[n:] - literal[:-n]
-            usable &= held >= least
         at = np.flatnonzero(usable)
         return at, code[at]
 
     def needed(self, at: np.ndarray, n: int, texts: int) -> np.ndarray:
-        """Template windows of texts in which one of them holds a slot.
+        """Template windows of texts in which one of them holds a slot, and one a literal.
 
-        In the other texts the plain form says the same.
+        In texts without slots the plain form says the same; slots alone say nothing.
         """
         slot = np.append(0, np.cumsum(self.kinds > LITERAL))
-        some = np.zeros(texts, bool)
-        some[self.text[at[slot[at + n] > slot[at]]]] = True
-        return some[self.text[at]]
+        held = slot[at + n] - slot[at]
+        some = np.zeros((2, texts), bool)
+        some[0, self.text[at[held > 0]]] = True
+        some[1, self.text[at[held < n]]] = True
+        return some.all(axis=0)[self.text[at]]
+
+    def literals(self, at: int, n: int) -> list[int]:
+        """Where a template's window holds literals."""
+        if self.form == PLAIN:
+            return []
+        return (at + np.flatnonzero(self.kinds[at : at + n] == LITERAL)).tolist()
 
     def slots(self, at: int, n: int, tokens: list[str]) -> list[str]:
         """Kind and value of each slot of a window."""
@@ -199,7 +226,7 @@ class Windows:
 
 def read_texts(reader: Tokens, texts: list[str]) -> tuple[list[str], list[Windows], np.ndarray]:
     """All tokens, both forms, and the tokens per text."""
-    found = [re.findall(TOKEN, t) for t in texts]
+    found = [split_tokens(t) for t in texts]
     tokens = [t for f in found for t in f]
     sizes = np.array([len(f) for f in found], np.int64)
     hashes, kinds = reader.read(tokens)
@@ -214,7 +241,10 @@ def probes(code: np.ndarray, bits: int) -> list[np.ndarray]:
 
 # -- Spark ---------------------------------------------------------------------------
 
-_WINDOWS = "item_id long, form int, length int, code long, position int, slots array<string>, size int"
+_WINDOWS = (
+    "item_id long, form int, length int, code long, position int, slots array<string>, size int, "
+    "literals array<int>, wanted int"
+)
 
 
 def _item_windows(lexicon: bytes) -> Callable:
@@ -229,16 +259,21 @@ def _item_windows(lexicon: bytes) -> Callable:
                     n = min(WINDOW, size)
                     if not n:
                         continue
+                    wanted = 0
+                    if windows.form == TEMPLATE:
+                        wanted = min(LITERALS, int((windows.kinds == LITERAL).sum()))
+                        if wanted < LEAST:
+                            continue
                     at, code = windows.hashed(n)
                     for i, c in zip(at.tolist(), code.view(np.int64).tolist()):
-                        slots = windows.slots(i, n, tokens)
-                        rows.append((item, windows.form, n, c, i, slots, size))
+                        slots, literals = windows.slots(i, n, tokens), windows.literals(i, n)
+                        rows.append((item, windows.form, n, c, i, slots, size, literals, wanted))
             if rows:
                 types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-                types += [pa.list_(pa.string()), pa.int32()]
+                types += [pa.list_(pa.string()), pa.int32(), pa.list_(pa.int32()), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                    names="item_id form length code position slots size".split(),
+                    names="item_id form length code position slots size literals wanted".split(),
                 )
 
     return run
@@ -303,7 +338,7 @@ def _lexicon(items: DataFrame) -> bytes:
             words = {
                 t
                 for text in batch.column(0).to_pylist()
-                for t in re.findall(TOKEN, text or "")
+                for t in split_tokens(text or "")
                 if t.islower()
             }
             bits = np.frombuffer(lexicon_bits(words), np.uint8)
@@ -350,7 +385,9 @@ def leaks(
     Returns ``doc_id, text_key, item_id, matched`` (tokens), ``item_tokens``, ``exact``
     and ``slots``, the replaced values as kind:item value>text value. A pair counts
     from ``ENOUGH`` matched tokens on, or with the whole item; items under
-    ``SHORTEST`` tokens count only as a whole text, items without tokens never.
+    ``SHORTEST`` tokens count only as a whole text, items without tokens never. With
+    other values it must also cover ``LITERALS`` literals, or all that the item has and
+    these at least ``LEAST``.
     ``text_key`` is the text's xxhash64, which tells rows apart that lack an id.
 
     Null texts hold nothing; repeated rows give one pair. Without documents or items
@@ -388,11 +425,20 @@ def leaks(
     own = windows.select(
         "item_id",
         "size",
+        "literals",
+        "wanted",
+        # Windows with many literals are also judged alone, see below.
+        F.explode(
+            F.when(F.size("literals") >= F.ceil(F.col("length") * LITERALS / WINDOW), F.array(F.lit(0), F.lit(1)))
+            .otherwise(F.array(F.lit(0)))
+        ).alias("strict"),
         *[F.col(c).alias(f"item_{c}") for c in ("form", "length", "code", "position", "slots")],
     )
     same = [F.col(c) == F.col(f"item_{c}") for c in ("code", "form", "length")]
     matched = found.join(own, reduce(Column.__and__, same))
-    # One alignment of an item with a text: all its windows are equally far apart.
+    # One alignment of an item with a text: all its windows are equally far apart. It is
+    # judged with all windows and with the literal ones alone, so that a chance match of
+    # a window full of slots does not make the rest inconsistent.
     aligned = matched.groupBy(
         "doc_id",
         "text_key",
@@ -400,9 +446,12 @@ def leaks(
         "size",
         "form",
         "length",
+        "strict",
+        "wanted",
         (F.col("position") - F.col("item_position")).alias("offset"),
     ).agg(
         F.array_sort(F.collect_set("item_position")).alias("positions"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("literals")))).alias("held"),
         F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots"))).alias("pairs"),
     )
     pairs = F.array_distinct(F.col("pairs"))
@@ -411,7 +460,9 @@ def leaks(
     )
     exact = F.forall(pairs, lambda p: p["item_slots"] == p["slots"])
     # A template alignment without a slot is the plain form's.
-    told = (F.col("form") == PLAIN) | (F.size(pairs) > 0)
+    told = (F.col("form") == PLAIN) | (
+        (F.size(pairs) > 0) & (F.col("held") >= F.col("wanted"))
+    )
     counted = aligned.filter(consistent & told).select(
         "doc_id",
         "text_key",

@@ -81,6 +81,28 @@ def test_leaks_with_one_slot_at_any_place(spark):
     assert not any(r["exact"] for r in found)
 
 
+SLOTTED = [
+    ("Tom has 5 apples Ann has 3 pears Bob has 7 plums", "Sue has 8 apples Jim has 4 pears Max has 9 plums"),
+    ("5 kg of rice costs 3 dollars and 2 kg of beans costs 4 dollars", "7 lb of rice costs 6 euros and 9 lb of beans costs 8 euros"),
+    ("she was twenty-five years old when he turned thirty-one and moved away", "she was forty-two years old when he turned 19 and moved away"),
+    ("Ida owns 5 dogs and 3 cats", "Leo owns 6 dogs and 4 cats"),
+]
+
+
+def test_leaks_of_items_full_of_slots(spark):
+    items = spark.createDataFrame([(n, i) for n, (i, _) in enumerate(SLOTTED)], "item_id long, text string")
+    rows = [(n, f"so it is said: {t}; nothing else") for n, (_, t) in enumerate(SLOTTED)]
+    rows.append((10, "Sue has 8 apples Sue has 4 pears Max has 9 plums"))
+    rows.append((11, "Rome 5 Oslo 7 Bern 9 Kiev 3 Riga 8 Lima 4 Bonn 6 Graz 2"))
+    found = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(n, n) for n in range(len(SLOTTED))]
+
+
+def test_hyphenated_number_words():
+    text = "Twenty-five-year-old well-known one-hundred-and-five x"
+    assert decontamination.split_tokens(text) == "Twenty five year-old well-known one hundred and five x".split()
+
+
 def test_leaks_are_the_texts_that_hold_an_item(spark):
     docs = queries.table(spark, FOLDER, "documents")
     items = queries.table(spark, FOLDER, "benchmark")
