@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from loanloom.llm import decontamination, factorisation, hilbert, mixing, simhash
 from loanloom.llm.common import shared_folder
 
-#: Near copies: five-word shingles, 512 bits. Texts that share 0.8 of their shingles
-#: differ in 78 bits on average, give or take 8; 91 bits find 95 in 100 of those and
-#: more of nearer ones, but few that share less than 0.7. Keys of 17 bits in 64 tables
-#: bring together 98 in 100 of them, nearer ones surely.
-SHINGLE, PARTS, RADIUS = 5, 8, 91
-KEYS = simhash.sampled_keys(64 * PARTS, 17, 64)
+#: Near copies: texts that share 80 in 100 of their five-word shingles. These differ in
+#: 78 of 512 bits on average, give or take 8, so a radius of 112 leaves out next to
+#: none; the candidates are verified by their shingles. Keys of 15 bits in 64 tables
+#: bring together over 99 in 100 of them, nearer ones surely.
+SHINGLE, PARTS, RADIUS, PERCENT = 5, 8, 112, 80
+KEYS = simhash.sampled_keys(64 * PARTS, 15, 64)
 SHARDS, BITS = 40, 4
 
 
@@ -33,8 +33,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group of near copies."""
-    components = simhash.simhash_components(
-        docs, shingle=SHINGLE, parts=PARTS, keys=KEYS, radius=RADIUS
+    components = simhash.copy_components(
+        docs, keys=KEYS, radius=RADIUS, shingle=SHINGLE, parts=PARTS, percent=PERCENT
     )
     return simhash.one_of_each(docs, components)
 

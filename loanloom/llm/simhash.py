@@ -27,13 +27,28 @@ SEED = 42
 CHUNK = 1 << 14
 #: One in so many keys is counted to find such buckets.
 SAMPLED = 64
-#: At most so many of them are broadcast; more are joined.
+#: Texts of a candidate group that are verified together; more are split in chunks.
+CHECKED = 256
+#: At most so many rows are broadcast; more are joined.
 MOST_BROADCAST = 100_000
 
 
 # -- fingerprints ----------------------------------------------------------------
 
 
+def shingles_of(words: list[str], shingle: int) -> list[str]:
+    """Runs of ``shingle`` words; fewer words make one."""
+    return [
+        " ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))
+    ]
+
+
+def shingle_set(words: list[str], shingle: int) -> bytes:
+    """The different shingles' 64-bit hashes; no words make one empty shingle."""
+    found = {xxhash.xxh64_intdigest(s, SEED) for s in shingles_of(words, shingle)}
+    return np.array(sorted(found), np.uint64).tobytes()
+
+
 def fingerprint(words: list[str], shingle: int, parts: int) -> bytes:
     """``parts`` 64-bit words: part p hashes shingles with seed 42 + p.
 
@@ -42,12 +57,7 @@ def fingerprint(words: list[str], shingle: int, parts: int) -> bytes:
     """
     if not words:
         return bytes(8 * parts)
-    if len(words) <= shingle:
-        shingles = [" ".join(words)]
-    else:
-        shingles = [
-            " ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)
-        ]
+    shingles = shingles_of(words, shingle)
     out = b""
     for part in range(parts):
         seed = SEED + part
@@ -69,15 +79,17 @@ def fingerprints(text: Column, shingle: int, parts: int = 1) -> Column:
     Only A-Z are lower-cased. A very long text is hashed in pieces, so memory follows
     the text itself.
     """
+    return _of_words(text, lambda words: fingerprint(words, shingle, parts))
 
+
+def _of_words(text: Column, made: Callable[[list[str]], bytes]) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         word = re.compile(WORD)
         lower = {c: c + 32 for c in range(65, 91)}
         for batch in batches:
             found = []
             for value in batch:
-                words = word.findall((value.as_py() or "").translate(lower))
-                found.append(fingerprint(words, shingle, parts))
+                found.append(made(word.findall((value.as_py() or "").translate(lower))))
             yield pa.array(found, pa.binary())
 
     return F.arrow_udf(_typed(run), "binary")(text)
@@ -439,6 +451,116 @@ def near_links(prints: DataFrame, keys: list[list[int]], radius: int) -> DataFra
     return gathered.select(partner.alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
 
 
+# -- verification ------------------------------------------------------------------
+
+
+def alike(sets: list[bytes], percent: int) -> np.ndarray:
+    """Each text's root among those that pairs with this Jaccard similarity reach.
+
+    Pairs already joined and pairs whose sizes rule it out are not counted.
+    """
+    arrays = [np.frombuffer(s, np.uint64) for s in sets]
+    order = np.argsort([len(a) for a in arrays], kind="stable")
+    sizes = np.array([len(arrays[i]) for i in order], np.int64)
+    starts = np.append(0, np.cumsum(sizes))
+    known, codes = np.unique(np.concatenate([arrays[i] for i in order]), return_inverse=True)
+    forest = Forest(len(sets))
+    mark = np.zeros(len(known), bool)
+    for i in range(len(sets) - 1):
+        end = int(np.searchsorted(sizes * percent, sizes[i] * 100, side="right"))
+        roots = forest.roots()
+        apart = roots[order[i + 1 : end]] != roots[order[i]]
+        if not apart.any():
+            continue
+        own = codes[starts[i] : starts[i + 1]]
+        mark[own] = True
+        held = mark[codes[starts[i + 1] : starts[end]]]
+        mark[own] = False
+        shared = np.add.reduceat(held, starts[i + 1 : end] - starts[i + 1], dtype=np.int64)
+        joint = sizes[i] + sizes[i + 1 : end] - shared
+        found = order[i + 1 : end][apart & (100 * shared >= percent * joint)]
+        forest.link(np.full(len(found), order[i]), found)
+    return forest.roots()
+
+
+def _verifier(percent: int) -> Callable:
+    """Rows (key, text_key, held), sorted by key: links to the smallest of each part."""
+
+    def links(texts: list[int], sets: list[bytes]) -> list[tuple[int, int]]:
+        if len(texts) < 2:
+            return []
+        roots = alike(sets, percent).tolist()
+        smallest: dict[int, int] = {}
+        for root, text in zip(roots, texts):
+            smallest[root] = min(text, smallest.get(root, text))
+        return [(t, smallest[r]) for r, t in zip(roots, texts) if t != smallest[r]]
+
+    def rows(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = zip(*found) if found else ([], [])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in columns], names=["a", "b"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, texts, sets = None, [], []
+        for batch in batches:
+            found = []
+            for key, text, held in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != last:
+                    found += links(texts, sets)
+                    last, texts, sets = key, [], []
+                texts.append(text)
+                sets.append(held)
+            yield rows(found)
+        yield rows(links(texts, sets))
+
+    return run
+
+
+def verified_links(
+    docs: DataFrame, groups: DataFrame, text_col: str, shingle: int, percent: int
+) -> DataFrame:
+    """Links (a, b) of text keys that keep all connections by Jaccard similarity.
+
+    ``groups`` has ``text_key`` once and the candidate ``group``; pairs are sought within
+    a group. One with more than ``CHECKED`` texts is compared as pairs of chunks.
+    """
+    several = groups.groupBy(F.col("group").alias("of")).count().filter("count > 1")
+    chosen = checkpointed(
+        groups.join(several, F.col("group") == F.col("of")).select(
+            F.col("text_key"),
+            "group",
+            F.ceil(F.col("count") / CHECKED).cast("int").alias("chunks"),
+        )
+    )
+    if chosen.count() <= MOST_BROADCAST:
+        chosen = F.broadcast(chosen)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    sets = (
+        docs.select(F.xxhash64(text).alias("own_key"), text.alias("text"))
+        .join(chosen, F.col("own_key") == F.col("text_key"))
+        .select(
+            "text_key",
+            "group",
+            "chunks",
+            _of_words(F.col("text"), lambda words: shingle_set(words, shingle)).alias("held"),
+        )
+        .dropDuplicates(["text_key"])
+    )
+    dealt = sets.withColumn(
+        "own", F.pmod(F.xxhash64("text_key"), F.col("chunks")).cast("int")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    keyed = dealt.select(
+        F.when(F.col("chunks") == 1, F.col("group"))
+        .otherwise(F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")))
+        .alias("key"),
+        "text_key",
+        "held",
+    )
+    ordered = keyed.repartition("key").sortWithinPartitions("key")
+    return ordered.mapInArrow(_verifier(percent), "a long, b long").distinct()
+
+
 # -- components ------------------------------------------------------------------
 
 
@@ -541,6 +663,56 @@ def simhash_components(
     )
 
 
+def copy_components(
+    docs: DataFrame,
+    keys: list[list[int]],
+    radius: int,
+    shingle: int,
+    parts: int,
+    percent: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Per row ``doc_id, text_key, component_id`` and ``first_key``, by verified links.
+
+    Fingerprints within ``radius`` make groups of candidates. In these, texts are linked
+    whose sets of shingles have a Jaccard similarity of ``percent`` or more; fingerprints
+    alone, even equal ones, link nothing. Texts without words are alike. Ids and rows are
+    treated as in ``simhash_components``.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = checkpointed(
+        docs.select(
+            F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+            F.xxhash64(text).alias("text_key"),
+            fingerprints(text, shingle, parts).alias("fp"),
+        )
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))
+    texts = checkpointed(rows.groupBy("text_key", "fp").agg(first.alias("first")))
+    candidates = component_labels(near_links(texts.select("fp").distinct(), keys, radius))
+    groups = checkpointed(
+        texts.join(candidates, F.col("fp") == F.col("node"), "left").select(
+            "text_key", F.xxhash64(F.coalesce("label", "fp")).alias("group")
+        )
+    )
+    labels = component_labels(verified_links(docs, groups, text_col, shingle, percent))
+    grouped = texts.join(labels, F.col("text_key") == F.col("node"), "left").select(
+        F.col("text_key").alias("of"),
+        F.struct("first.none", "first.doc_id", "text_key").alias("first"),
+        F.coalesce("label", "text_key").alias("label"),
+    )
+    smallest = grouped.groupBy("label").agg(F.min("first").alias("first"))
+    classes = grouped.drop("first").join(smallest, "label").select(
+        "of",
+        F.col("first.doc_id").alias("component_id"),
+        F.col("first.text_key").alias("first_key"),
+    )
+    return rows.join(classes, F.col("text_key") == F.col("of")).select(
+        "doc_id", "text_key", "component_id", "first_key"
+    )
+
+
 def one_of_each(
     docs: DataFrame, components: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

@@ -1,11 +1,12 @@
 """Each stage of the pipeline against a plain version on its own input."""
 
+import random
 import re
 
 import corpus_pipeline
 import pytest
 from corpus_fixtures import FOLDER, odd  # noqa: F401
-from loanloom.llm import queries
+from loanloom.llm import queries, simhash
 from pyspark.sql import functions as F
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -79,6 +80,64 @@ def test_near_copies_against_shingles(spark, tmp_path):
         )
 
 
+def test_near_copies_are_verified(spark, tmp_path):
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    texts, near = {}, set()
+    for n in range(60):
+        own = draw.choices(words, k=200)
+        texts[n] = " ".join(own)
+        for copy, changes in ((1000 + n, 4), (2000 + n, 6)):
+            other = list(own)
+            for k in range(changes):
+                other[10 + 30 * k] = f"x{copy}"
+            texts[copy] = " ".join(other)
+        near.add(1000 + n)
+    # One passage many times, and something else behind it: equal bits, other texts.
+    passage = " ".join(draw.choices(words, k=12)) + " "
+    for n in range(3000, 3004):
+        texts[n] = passage * 60 + " ".join(draw.choices(words, k=60))
+    rows = [(n, t, "en", "a", len(t)) for n, t in texts.items()]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = written(spark, spark.createDataFrame(rows, schema), tmp_path, "verified")
+    kept = {r["doc_id"] for r in STAGES["near_copies"](spark, docs, FOLDER).collect()}
+    sets = {n: shingles(t) for n, t in texts.items()}
+    for n in range(60):
+        one, two, three = sets[n], sets[1000 + n], sets[2000 + n]
+        assert len(one & two) / len(one | two) >= 0.8
+        assert max(len(three & s) / len(three | s) for s in (one, two)) < 0.8
+    assert set(texts) - kept == near
+
+
+def test_verified_groups_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHECKED", 7)
+    draw = random.Random(6)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join("z" if draw.random() < 0.02 else w for w in base) for _ in range(120)]
+    texts = sorted(set(texts))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    keyed = docs.select("text", F.xxhash64("text").alias("text_key"))
+    groups = keyed.select("text_key", F.lit(1).cast("long").alias("group"))
+    links = simhash.verified_links(docs, groups, "text", 5, 80)
+    labels = {r["node"]: r["label"] for r in simhash.component_labels(links).collect()}
+    key = {r["text"]: r["text_key"] for r in keyed.collect()}
+    forest = simhash.Forest(len(texts))
+    sets = [shingles(t) for t in texts]
+    for i, one in enumerate(sets):
+        for j in range(i):
+            if len(one & sets[j]) * 5 >= 4 * len(one | sets[j]):
+                forest.link([i], [j])
+    roots = forest.roots().tolist()
+    parts = {}
+    for root, text in zip(roots, texts):
+        parts.setdefault(root, set()).add(key[text])
+    found = {}
+    for k in key.values():
+        found.setdefault(labels.get(k, k), set()).add(k)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, parts.values()))
+    assert len(parts) > 1 and max(map(len, parts.values())) > 14
+
+
 def test_leaks_go(spark):
     docs = queries.table(spark, FOLDER, "documents")
     kept = {r["doc_id"] for r in STAGES["benchmark_leaks"](spark, docs, FOLDER).collect()}
