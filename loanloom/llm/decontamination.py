@@ -21,7 +21,13 @@ from pyspark.sql import functions as F
 
 from loanloom.llm.common import checkpointed
 
-TOKEN = r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+(?:[.,]\d+)*"
+#: Scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han. Each letter is a token.
+UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_LETTER = rf"[^\W\d_{UNSPACED}]"
+TOKEN = rf"{_LETTER}+(?:['’-]{_LETTER}+)*|\d+(?:[.,]\d+)*|[^\W\d_]"
 LITERAL, NUMBER, NAME, UNIT = range(4)
 PLAIN, TEMPLATE = 0, 1
 

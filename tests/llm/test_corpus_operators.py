@@ -98,6 +98,20 @@ def test_leaks_of_items_full_of_slots(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(n, n) for n in range(len(SLOTTED))]
 
 
+def test_leaks_in_scripts_without_spaces(spark):
+    items = [
+        (1, "这只小猫昨天在河边看见了一条很大的红鱼"),
+        (2, "昨日公園で友達と一緒に大きな犬を見ました"),
+        (3, "แมวตัวเล็กนอนหลับอยู่ใต้ต้นไม้ใหญ่"),
+    ]
+    docs = [(n, f"前書き始{t}後書終わり") for n, t in items] + [(4, "这只小狗今天在山上")]
+    found = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["exact"]) for r in found) == [(n, n, True) for n in (1, 2, 3)]
+
+
 def test_hyphenated_number_words():
     text = "Twenty-five-year-old well-known one-hundred-and-five x"
     assert decontamination.split_tokens(text) == "Twenty five year-old well-known one hundred and five x".split()
