@@ -156,13 +156,15 @@ def fit(
     """A machine from at most ``max_rows`` labelled documents, those first by a hash.
 
     Ids whose crc32 modulo 3 is 1 are never learned from. An id with several labels
-    takes their rounded mean, one with several texts the smallest. Null labels and ids
-    are left out; without any label every score is 0.5.
+    takes their rounded mean, one with several texts the smallest. Null labels and ids,
+    and ids without a document, are left out; without any label every score is 0.5.
     """
+    present = docs.select(F.col(f"`{id_col}`").cast("long").alias("own")).distinct()
     wanted = (
         labels.filter(F.col(f"`{label_col}`").isNotNull() & training_row(F.col(f"`{id_col}`")))
         .groupBy(F.col(f"`{id_col}`").cast("long").alias("id"))
         .agg(F.round(F.avg(f"`{label_col}`")).cast("int").alias("label"))
+        .join(present, F.col("id") == F.col("own"), "left_semi")
         .orderBy(F.xxhash64("id"), "id")
         .limit(max_rows)
     )

@@ -541,6 +541,15 @@ def test_quality_without_labels(spark, odd):
     assert {(r["score"], r["predicted"]) for r in scored.collect()} == {(0.5, 1)}
 
 
+def test_quality_learns_from_the_documents_at_hand(spark):
+    rows = [(n, "good solid words" if n % 2 else "bad spam junk") for n in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    machine = factorisation.fit(docs, labels, max_rows=20)
+    good, bad = (machine.score(*factorisation.features(t, None)) for t in ("good solid words", "bad spam junk"))
+    assert good > 0.6 > 0.4 > bad
+
+
 # -- 10: mixing --------------------------------------------------------------------
 
 
