@@ -2,6 +2,83 @@
 
 from __future__ import annotations
 
+from loanloom.llm import line_cleaning as lines
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _class(characters: str) -> str:
+    """A class of characters, each behind a backslash unless it is a letter of a script."""
+    return "[" + "".join(f"\\{c}" if c.isascii() else c for c in characters) + "]"
+
+
+def _without(column: str, characters: str) -> str:
+    return f"regexp_replace({column}, {_quoted(_class(characters))}, '', 'g')"
+
+
+_LINE_CLEANING = f"""
+    WITH texts AS (
+      SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+    ), split AS (
+      SELECT row_id, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS nth
+      FROM texts
+    ), worded AS (
+      SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS words FROM split
+    ), listed AS (
+      SELECT *, len(words) AS n, length(array_to_string(words, '')) AS chars,
+        length(line) - length({_without("line", lines.PUNCTUATION)}) AS marks,
+        length(line) - length({_without("line", lines.SEPARATORS)}) AS bars,
+        lead(words[1]) OVER (PARTITION BY row_id ORDER BY nth) AS following,
+        row_number() OVER (PARTITION BY row_id, line ORDER BY nth) > 1 AS again
+      FROM worded WHERE len(words) > 0
+    ), judged AS (
+      SELECT *, CASE
+        WHEN bars >= {lines.BARS} AND n <= {lines.WORDS_TO_A_BAR} * bars THEN 'n'
+        WHEN n <= {lines.MENU_WORDS} AND chars > marks AND len(list_filter(words,
+          lambda w: NOT list_contains(['', {", ".join(_quoted(w) for w in sorted(lines.MENU))}],
+          lower({_without("w", lines.PUNCTUATION)})))) = 0 THEN 'n'
+        WHEN n <= {lines.NOTICE_WORDS} AND (
+          {" OR ".join(f"contains(lower(line), {_quoted(p)})" for p in lines.PHRASES)}) THEN 'b'
+        WHEN marks >= {lines.MARKS} AND 5 * marks > chars THEN 'p'
+        WHEN regexp_matches(line, {_quoted(_class(lines.ENDS) + _class(lines.CLOSERS) + "*")}
+            || '[\\x20\\x09-\\x0D]*$') THEN ''
+        WHEN n >= {lines.CONTINUED} AND regexp_matches(coalesce(following, ''), '^\\p{{Ll}}') THEN ''
+        ELSE 'p' END AS fault
+      FROM listed
+    ), by_lines AS (
+      SELECT row_id, count_if(again) AS n_dup_lines, count_if(fault = 'p') AS n_punctuation,
+        count_if(fault = 'n') AS n_navigation, count_if(fault = 'b') AS n_boilerplate,
+        coalesce(sum(chars) FILTER (fault <> ''), 0)::BIGINT AS lost_chars
+      FROM judged GROUP BY row_id
+    ), whole AS (
+      SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM texts
+    ), windows AS (
+      SELECT row_id, unnest(range(1, len(words) - 6)) AS first,
+        unnest(list_transform(range(1, len(words) - 6),
+          lambda i: array_to_string(words[i:i + {lines.WINDOW - 1}], ' '))) AS words
+      FROM whole WHERE len(words) > {lines.WINDOW}
+    ), named AS (
+      SELECT row_id, first, count(*) OVER (PARTITION BY row_id, words) AS times FROM windows
+    ), covered AS (
+      SELECT row_id, count(DISTINCT first + k) AS n_repeat_words
+      FROM named, range({lines.WINDOW}) AS r(k) WHERE times > 1 GROUP BY row_id
+    ), counted AS (
+      SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(text) - length({_without("text", lines.SYMBOLS)}) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(n_punctuation, 0) AS n_punctuation, coalesce(n_navigation, 0) AS n_navigation,
+        coalesce(n_boilerplate, 0) AS n_boilerplate, coalesce(lost_chars, 0) AS lost_chars
+      FROM whole LEFT JOIN by_lines USING (row_id) LEFT JOIN covered USING (row_id)
+    )
+    SELECT *, n_words < {lines.LEAST_WORDS}
+        OR 100 * n_repeat_words > {lines.MOST_REPEATED} * n_words AS base_failed,
+      NOT base_failed AND 10 * lost_chars <= {lines.MOST_LOST} * word_chars AS kept
+    FROM counted
+"""
+
 SQL: dict[str, str] = {
     "op2_warc": """
         WITH rows AS (
@@ -50,6 +127,7 @@ SQL: dict[str, str] = {
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op12_line_cleaning": _LINE_CLEANING,
     # Text columns enter with their bytes in UTF-8. CRC-32 is reduced over a list of
     # steps: take in a byte (its value), or shift out a bit (-1).
     "op13_merkle_manifest": """

@@ -13,6 +13,7 @@ from loanloom.llm.common import checkpointed, shared_folder, training_row
 from loanloom.llm.decontamination import leaks
 from loanloom.llm.exact_dedup import exact_duplicates
 from loanloom.llm.hilbert import LAW, by_logarithm, by_range, by_value, hilbert_shards
+from loanloom.llm.line_cleaning import clean_documents
 from loanloom.llm.merkle import manifest_proofs
 from loanloom.llm.mixing import mix
 from loanloom.llm.secret_scan import KINDS, count_of, joined_spans, scan_secrets
@@ -155,6 +156,12 @@ def op10_golden_mix(spark: SparkSession, folder: str) -> DataFrame:
     return report.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_line_cleaning(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's counts, failing lines and verdict."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return clean_documents(docs, with_text=False).drop("clean_text")
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document proved against the manifest; some are shown with another length."""
     docs = table(spark, folder, "documents")
@@ -179,5 +186,6 @@ QUERIES: dict[str, Query] = {
     "op8_language_viterbi": op8_language_viterbi,
     "op9_factorisation": op9_factorisation,
     "op10_golden_mix": op10_golden_mix,
+    "op12_line_cleaning": op12_line_cleaning,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

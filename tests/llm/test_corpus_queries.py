@@ -29,6 +29,11 @@ def test_against_sql(spark, name):
         ("op8_language_viterbi", "doc_id held_out lang_pred score", "documents"),
         ("op9_factorisation", "doc_id held_out score predicted", "documents"),
         ("op10_golden_mix", "doc_id size source_size target taken", "documents"),
+        (
+            "op12_line_cleaning",
+            "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+            "documents",
+        ),
         (
             "op13_merkle_manifest",
             "doc_id leaf subroot root proof_sha256 folded_root verified",
