@@ -18,6 +18,7 @@ from loanloom.llm.merkle import manifest_proofs
 from loanloom.llm.mixing import mix
 from loanloom.llm.secret_scan import KINDS, count_of, joined_spans, scan_secrets
 from loanloom.llm.simhash import hex_of, simhash_components
+from loanloom.llm.token_alignment import aligned_documents
 from loanloom.llm.url_rules import ALLOW, BLOCK, Rule, judge_urls
 from loanloom.llm.warc import page_id_of, read_warc, write_warc
 
@@ -156,6 +157,12 @@ def op10_golden_mix(spark: SparkSession, folder: str) -> DataFrame:
     return report.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens, links and how frequent these are in the corpus."""
+    found, _ = aligned_documents(table(spark, folder, "documents"))
+    return found
+
+
 def op12_line_cleaning(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's counts, failing lines and verdict."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -186,6 +193,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_viterbi": op8_language_viterbi,
     "op9_factorisation": op9_factorisation,
     "op10_golden_mix": op10_golden_mix,
+    "op11_token_alignment": op11_token_alignment,
     "op12_line_cleaning": op12_line_cleaning,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def test_all_are_registered():
     names = set(queries.QUERIES) | {"pipeline"}
     assert names <= set(driver.queries())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} <= set(range(1, 14))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", oracles.SQL)
@@ -29,6 +29,11 @@ def test_against_sql(spark, name):
         ("op8_language_viterbi", "doc_id held_out lang_pred score", "documents"),
         ("op9_factorisation", "doc_id held_out score predicted", "documents"),
         ("op10_golden_mix", "doc_id size source_size target taken", "documents"),
+        (
+            "op11_token_alignment",
+            "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+            "documents",
+        ),
         (
             "op12_line_cleaning",
             "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
