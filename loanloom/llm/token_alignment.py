@@ -9,7 +9,7 @@ the pairs beside them, as the hash alone says nothing of strangers. The second p
 aligns the documents again and looks the counts up.
 
 Neither tokenizer joins a space to what stands before it, so texts are cut there and
-each distinct piece is encoded once per task.
+a task encodes each of the pieces that it remembers once, many in one call.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, islice
 from uuid import uuid4
 
 import numpy as np
@@ -34,8 +34,9 @@ from loanloom.llm.common import shared_folder
 TOKENIZERS = "/opt/tokenizers"
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
-#: Distinct pieces that a task remembers, and characters of texts at one time.
-REMEMBERED, CHARS_AT_ONCE = 200_000, 2_000_000
+#: Distinct pieces that a task remembers, of which the half met most often stays when
+#: there are more; characters of texts at one time, and of pieces in one call.
+REMEMBERED, CHARS_AT_ONCE, CHARS_A_CALL = 400_000, 2_000_000, 50_000
 #: Pairs of a shard and of a leaf of the sum, and leaves summed in one step.
 SHARD_PAIRS, LEAF_PAIRS, FAN_IN = 1 << 14, 1 << 17, 8
 #: Bits per pair in each level of the hash; cells that shards are made of.
@@ -61,21 +62,23 @@ def byte_of_letter() -> dict[str, int]:
     return letters | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+#: Fixed value: how byte-level tokenizers part a text before they merge.
+PARTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class TwoTokenizers:
     """A byte-level and a piece tokenizer with the bytes of their tokens."""
 
     def __init__(self, byte_level: str, pieces: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(byte_level)
-        self.a.encode_special_tokens = True
+        model = json.loads(byte_level)["model"]
         letters = byte_of_letter()
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, at in vocabulary.items():
+        self.a_bytes = [b""] * (max(model["vocab"].values()) + 1)
+        for token, at in model["vocab"].items():
             self.a_bytes[at] = bytes(letters[c] for c in token if c in letters)
+        self.encode_a = _encoder(byte_level, model, self.a_bytes)
         self.b = SentencePieceProcessor(model_proto=pieces)
         named = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
@@ -88,6 +91,10 @@ class TwoTokenizers:
         self.cuts = not any(re.search("[^▁]▁", p) for p in named)
         self.space = self.b.piece_to_id("▁")
 
+    def encode_b(self, text: str) -> list[int]:
+        """Ids of a text that begins with the space the tokenizer adds."""
+        return self.b.encode(text[1:], num_threads=1) or [self.space]
+
     def pieces(self, text: str) -> list[str]:
         """The text cut before its spaces, each piece without the space it begins with.
 
@@ -100,11 +107,32 @@ class TwoTokenizers:
             return [p[1:] for p in _CUT.split(" " + text)]
         return text.split(" ")
 
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for pieces with a space before each."""
-        a = self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
-        b = self.b.encode(pieces, num_threads=1)
-        return [e.ids for e in a], [ids or [self.space] for ids in b]
+
+def _encoder(byte_level: str, model: dict, token_bytes: list[bytes]) -> Callable:
+    """Text to ids without special tokens.
+
+    Where each merge makes the next id, ids rank the merges, and the faster library
+    encodes by ranks with the same result; it is given the same vocabulary.
+    """
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    # Single bytes come first.
+    first = sum(len(t) == 1 for t in token_bytes)
+    ranked = all(
+        model["vocab"]["".join(merge)] == at for at, merge in enumerate(merges, first)
+    )
+    if ranked:
+        import tiktoken
+
+        ranks = {t: i for i, t in enumerate(token_bytes[: first + len(merges)])}
+        library = tiktoken.Encoding(
+            "ranked", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={}
+        )
+        return library.encode_ordinary
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(byte_level)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def read_vocabularies(folder: str) -> tuple[str, bytes]:
@@ -138,27 +166,73 @@ class Aligned:
         arrays = [np.concatenate([getattr(p, n) for p in parts]) for n in names]
         return cls(*arrays, [g for p in parts for g in p.groups])
 
+    def taken(self, at: np.ndarray) -> Aligned:
+        """Some of the pieces."""
+        names = ("whole", "n_a", "n_b", "n_groups", "n_links")
+        sizes = self.n_links[at]
+        begin = (np.cumsum(self.n_links) - self.n_links)[at]
+        of_pairs = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        groups = [self.groups[i] for i in at.tolist()] if self.groups else []
+        return Aligned(*[getattr(self, n)[at] for n in names], self.pairs[of_pairs], groups)
 
-def _flat(ids: list[list[int]]) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(ids), np.int64)
 
-
-def _sizes(ids: list[list[int]]) -> np.ndarray:
+def _sizes(ids: list) -> np.ndarray:
     return np.fromiter(map(len, ids), np.int64, len(ids))
 
 
+def _counts(ends: np.ndarray, token_ends: np.ndarray) -> np.ndarray | None:
+    """Tokens up to each end of a piece; none if a token reaches over one."""
+    at = np.searchsorted(token_ends, ends)
+    if at[-1] >= len(token_ends) or (token_ends[at] != ends).any():
+        return None
+    return np.diff(at + 1, prepend=0)
+
+
+def _encoded(two: TwoTokenizers, pieces: list[str]) -> Iterator[tuple]:
+    """Ids of both and tokens by piece, for runs of pieces encoded as one text.
+
+    A run whose bytes do not come back is halved until the broken piece stands alone.
+    """
+    text = " " + " ".join(pieces)
+    raw = text.encode()
+    a, b = two.encode_a(text), two.encode_b(text)
+    whole = b"".join([two.b_bytes[i] for i in b]) == raw
+    whole = whole and b"".join([two.a_bytes[i] for i in a]) == raw
+    if whole:
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
+        n_a = _counts(ends, np.cumsum(two.a_sizes[a]))
+        n_b = _counts(ends, np.cumsum(two.b_sizes[b]))
+        if n_a is not None and n_b is not None:
+            yield a, n_a, b, n_b
+            return
+    if len(pieces) > 1:
+        half = len(pieces) // 2
+        yield from _encoded(two, pieces[:half])
+        yield from _encoded(two, pieces[half:])
+    else:
+        none = np.zeros(0, np.int64)
+        yield none, np.zeros(1, np.int64), none, np.zeros(1, np.int64)
+
+
+def _runs(pieces: list[str]) -> Iterator[list[str]]:
+    """Pieces that may stand one after the other: those before another end in no space."""
+    run, held = [], 0
+    for piece in pieces:
+        run.append(piece)
+        held += len(piece) + 1
+        if held > CHARS_A_CALL or not piece or piece[-1].isspace():
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
 def align(two: TwoTokenizers, pieces: list[str], with_groups: bool) -> Aligned:
     """Both tokenizers over every piece, and their links and groups."""
-    a, b = two.encode(pieces)
-    for at, piece in enumerate(pieces):
-        text = f" {piece}".encode()
-        if (
-            b"".join([two.b_bytes[i] for i in b[at]]) != text
-            or b"".join([two.a_bytes[i] for i in a[at]]) != text
-        ):
-            a[at], b[at] = [], []
-    n_a, n_b = _sizes(a), _sizes(b)
-    ids_a, ids_b = _flat(a), _flat(b)
+    none = np.zeros(0, np.int64)
+    parts = [part for run in _runs(pieces) for part in _encoded(two, run)]
+    ids_a, n_a, ids_b, n_b = (np.concatenate([none, *c]) for c in (zip(*parts) if parts else [[]] * 4))
     # All pieces stand on one axis of bytes; their ends are ends of both.
     size_a, size_b = two.a_sizes[ids_a], two.b_sizes[ids_b]
     end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
@@ -169,8 +243,12 @@ def align(two: TwoTokenizers, pieces: list[str], with_groups: bool) -> Aligned:
     nth = np.arange(len(own)) - np.repeat(np.cumsum(links) - links, links)
     pairs = ids_a[own] << 32 | ids_b[np.repeat(first, links) + nth]
     piece_of = np.repeat(np.arange(len(pieces)), n_a)
-    both = np.isin(end_a, end_b)
+    both = end_b[np.minimum(np.searchsorted(end_b, end_a), len(end_b) - 1)] == end_a
     count = len(pieces)
+    texts = []
+    if with_groups:
+        cut_b = end_a[np.minimum(np.searchsorted(end_a, end_b), len(end_a) - 1)] == end_b
+        texts = _group_texts(ids_a, ids_b, both, cut_b, piece_of, count)
     return Aligned(
         n_a > 0,
         n_a,
@@ -178,9 +256,7 @@ def align(two: TwoTokenizers, pieces: list[str], with_groups: bool) -> Aligned:
         np.bincount(piece_of[both], minlength=count),
         np.bincount(piece_of[own], minlength=count),
         pairs,
-        _group_texts(ids_a, ids_b, both, np.isin(end_b, end_a), piece_of, count)
-        if with_groups
-        else [],
+        texts,
     )
 
 
@@ -200,33 +276,46 @@ def _group_texts(
     return [";".join(g) for g in groups]
 
 
+class _Numbered(dict):
+    """Pieces by number; a new one gets the next."""
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        return number
+
+
 class Memory:
-    """Alignments of the pieces met so far."""
+    """Alignments of the pieces met so far, and how often each was met."""
 
     def __init__(self, two: TwoTokenizers, with_groups: bool):
         self.two, self.with_groups = two, with_groups
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.aligned = align(self.two, [], self.with_groups)
-
-    def learn(self, pieces: list[list[str]]) -> Aligned | None:
-        """The pieces that were new, in their order."""
-        new = list(set().union(*pieces).difference(self.known))
-        if not new:
-            return None
-        begin = len(self.known)
-        self.known.update(zip(new, range(begin, begin + len(new))))
-        learned = align(self.two, new, self.with_groups)
-        self.aligned = Aligned.joined([self.aligned, learned])
-        return learned
-
-    def at(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        self.known = _Numbered()
+        self.times = np.zeros(0, np.int64)
+        self.aligned = align(two, [], with_groups)
+
+    def meet(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pieces of all texts, and where each text ends."""
+        before = len(self.known)
         ends = np.cumsum(_sizes(pieces))
         numbers = map(self.known.__getitem__, chain.from_iterable(pieces))
-        return np.fromiter(numbers, np.int64, int(ends[-1]) if len(ends) else 0), ends
+        at = np.fromiter(numbers, np.int64, int(ends[-1]) if len(ends) else 0)
+        if len(self.known) > before:
+            new = list(islice(self.known, before, None))
+            learned = align(self.two, new, self.with_groups)
+            self.aligned = Aligned.joined([self.aligned, learned])
+        met = np.bincount(at, minlength=len(self.known))
+        met[:before] += self.times
+        self.times = met
+        return at, ends
+
+    def shrink(self) -> np.ndarray:
+        """Keeps the half met most often; their former numbers."""
+        order = np.sort(np.argsort(-self.times, kind="stable")[: REMEMBERED // 2])
+        names = list(self.known)
+        self.known = _Numbered((names[i], n) for n, i in enumerate(order.tolist()))
+        self.times = self.times[order]
+        self.aligned = self.aligned.taken(order)
+        return order
 
 
 def _per_text(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -261,9 +350,7 @@ class TextAligner:
         An empty text has no pieces. Broken pieces may still make up for each other, so
         their texts are judged uncut.
         """
-        pieces = [self.two.pieces(t) if t else [] for t in texts]
-        self.memory.learn(pieces)
-        numbers, ends = self.memory.at(pieces)
+        numbers, ends = self.memory.meet([self.two.pieces(t) if t else [] for t in texts])
         broken = np.flatnonzero(_per_text(~self.memory.aligned.whole[numbers], ends))
         apart = {}
         for at in broken.tolist():
@@ -305,8 +392,7 @@ def _count_links(vocabularies: Callable) -> Callable:
             apart_pairs += [a.pairs for a in apart.values()]
             if len(memory.known) > REMEMBERED:
                 yield counted()
-                memory.forget()
-                times, apart_pairs = np.zeros(0, np.int64), []
+                times, apart_pairs = np.zeros(len(memory.shrink()), np.int64), []
         if len(times) or apart_pairs:
             yield counted()
 
@@ -556,13 +642,12 @@ def _look_up(vocabularies: Callable, counts: Callable | None) -> Callable:
         table, highest = counts() if counts else (None, None)
         best = total = np.zeros(0, np.int64)
 
-        def of_links(aligned: Aligned) -> tuple[np.ndarray, np.ndarray]:
-            piece = np.repeat(np.arange(len(aligned.n_links)), aligned.n_links)
-            links = table.count_of(aligned.pairs)
-            top = links == highest[aligned.pairs & 0xFFFFFFFF]
-            ends = np.cumsum(aligned.n_links)
-            if not len(ends):
-                return ends, ends
+        def of_links(n_links: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Links with the highest count of their second id, and the counts' sum, by piece."""
+            piece = np.repeat(np.arange(len(n_links)), n_links)
+            links = table.count_of(pairs)
+            top = links == highest[pairs & 0xFFFFFFFF]
+            ends = np.cumsum(n_links)
             return np.bincount(piece[top], minlength=len(ends)), _per_text(links, ends)
 
         for ids, texts in _text_batches(batches):
@@ -570,12 +655,9 @@ def _look_up(vocabularies: Callable, counts: Callable | None) -> Callable:
             aligned = memory.aligned
             if counts and len(best) < len(aligned.whole):
                 known = int(aligned.n_links[: len(best)].sum())
-                new = Aligned(
-                    *[getattr(aligned, n)[len(best) :] for n in ("whole", "n_a", "n_b", "n_groups", "n_links")],
-                    aligned.pairs[known:],
-                    [],
+                more_best, more_total = of_links(
+                    aligned.n_links[len(best) :], aligned.pairs[known:]
                 )
-                more_best, more_total = of_links(new)
                 best, total = np.append(best, more_best), np.append(total, more_total)
             sizes = [aligned.n_a, aligned.n_b, aligned.n_groups, aligned.n_links]
             if counts:
@@ -588,7 +670,7 @@ def _look_up(vocabularies: Callable, counts: Callable | None) -> Callable:
             for text, whole in apart.items():
                 values = [whole.n_a, whole.n_b, whole.n_groups, whole.n_links]
                 if counts:
-                    values += of_links(whole)
+                    values += of_links(whole.n_links, whole.pairs)
                 for column, value in zip(sums, values):
                     column[text] = value[0]
                 digests[text] = _digest(whole.groups[0])
@@ -599,8 +681,8 @@ def _look_up(vocabularies: Callable, counts: Callable | None) -> Callable:
                 names += ["pairs", "times"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
             if len(memory.known) > REMEMBERED:
-                memory.forget()
-                best = total = np.zeros(0, np.int64)
+                kept = memory.shrink()
+                best, total = best[kept] if counts else best, total[kept] if counts else total
 
     return run
 
