@@ -27,9 +27,20 @@ UNSPACED = (
     "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 )
 _LETTER = rf"[^\W\d_{UNSPACED}]"
-TOKEN = rf"{_LETTER}+(?:['’-]{_LETTER}+)*|\d+(?:[.,]\d+)*|[^\W\d_]"
-LITERAL, NUMBER, NAME, UNIT = range(4)
+_NUMBER = r"\d+(?:[.,]\d+)*"
+#: Signs that stand for a unit beside a number, before or behind it.
+SIGNS = {"$": "dollar", "€": "euro", "£": "pound", "¥": "yen", "₹": "rupee", "%": "percent"}
+_SIGN = f"[{''.join(SIGNS)}]"
+#: Marks that part neighbouring names, numbers or units.
+MARKS = frozenset(".!?;:,…()[]\"“”。！？，；：\n")
+TOKEN = (
+    rf"{_LETTER}+(?:['’-]{_LETTER}+)*|(?:{_SIGN}\ ?)?{_NUMBER}(?:\ ?{_SIGN})?|[^\W\d_]"
+    rf"|[{re.escape(''.join(MARKS))}]"
+)
+LITERAL, NUMBER, NAME, UNIT, MARK = range(5)
 PLAIN, TEMPLATE = 0, 1
+#: Where a slot stands in its item.
+INNER, FIRST, LAST = range(3)
 
 # Words for numbers, and units, which count only behind a number.
 NUMBER_WORDS = frozenset(
@@ -43,8 +54,10 @@ UNITS = frozenset(
     "gallon gallons meter meters metre metres kilometer kilometers kilometre kilometres "
     "centimeter centimeters second seconds minute minutes min hour hours h day days week "
     "weeks month months year years percent degree degrees dollar dollars cent cents euro "
-    "euros mph kmh watt watts volt volts".split()
+    "euros mph kmh watt watts volt volts yen rupee rupees".split()
 )
+#: Units whose singular is not the plural without its s.
+SINGULAR = {"feet": "foot", "inches": "inch", "lbs": "lb", "metre": "meter", "litre": "liter"}
 
 #: Tokens in a window.
 WINDOW = 8
@@ -66,6 +79,10 @@ _KINDS = (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _MULTIPLIERS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
 
+_TOKENS = re.compile(TOKEN).findall
+_SIGNED = re.compile(_SIGN).search
+
+
 # -- tokens ------------------------------------------------------------------------
 
 
@@ -86,6 +103,7 @@ class Tokens:
         self.hashes: list[int] = []
         self.kinds: list[int] = []
         self.units: list[bool] = []
+        self.short: list[bool] = []
         self.arrays: tuple | None = None
 
     def _in_lexicon(self, word: str) -> bool:
@@ -98,15 +116,19 @@ class Tokens:
             kind = NUMBER
         elif token[0].isupper() and token[1:].islower() and not self._in_lexicon(word):
             kind = NAME
+        elif token in MARKS:
+            kind = MARK
         else:
             kind = LITERAL
         self.known[token] = len(self.hashes)
         self.hashes.append(xxhash.xxh64_intdigest(word))
         self.kinds.append(kind)
-        self.units.append(word in UNITS)
+        self.units.append(word in UNITS or word in SIGNS)
+        self.short.append(len(token) <= 2 or word == "mrs")
 
-    def read(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and kind of every token."""
+    def read(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the tokens that are no marks, their hashes and kinds, and whether a
+        mark stands before them. A point behind a short word abbreviates it."""
         new = set(tokens).difference(self.known)
         if len(self.known) + len(new) > self.MOST:
             self._forget()
@@ -118,21 +140,46 @@ class Tokens:
                 np.array(self.hashes, np.uint64),
                 np.array(self.kinds, np.int8),
                 np.array(self.units, bool),
+                np.array(self.short, bool),
             )
-        hashes, kinds, units = self.arrays
+        hashes, kinds, units, short = self.arrays
         at = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        mark = kinds[at] == MARK
+        kept = np.flatnonzero(~mark)
+        if (point := self.known.get(".")) is not None:
+            mark[1:] &= ~((at[1:] == point) & short[at[:-1]])
+        before = np.append(False, mark)[kept]
+        at = at[kept]
         kind = kinds[at]
         behind = np.append(False, kind[:-1] == NUMBER)
         kind = np.where(units[at] & behind, np.int8(UNIT), kind)
-        return hashes[at], kind
+        return kept, hashes[at], kind, before
 
 
 def split_tokens(text: str) -> list[str]:
-    """The tokens of a text; number words joined by hyphens are tokens of their own."""
-    found = re.findall(TOKEN, text)
-    if "-" not in text:
-        return found
-    return [part for t in found for part in (_parts(t) if "-" in t else (t,))]
+    """The tokens and marks of a text.
+
+    Number words joined by hyphens are tokens of their own, and a sign of a unit follows
+    its number wherever it stands.
+    """
+    found = _TOKENS(text)
+    if "-" in text:
+        found = [part for t in found for part in (_parts(t) if "-" in t else (t,))]
+    if _SIGNED(text):
+        found = [part for t in found for part in (_number_first(t) if _SIGNED(t) else (t,))]
+    return found
+
+
+def _number_first(token: str) -> list[str]:
+    signs = [c for c in token if c in SIGNS]
+    return ["".join(c for c in token if c not in SIGNS).strip(), *signs]
+
+
+def unit_of(word: str) -> str:
+    """One word for the ways to write a unit."""
+    word = SIGNS.get(word, word)
+    word = SINGULAR.get(word, word)
+    return SINGULAR.get(word.removesuffix("s"), word.removesuffix("s"))
 
 
 def _parts(token: str) -> list[str]:
@@ -164,10 +211,12 @@ class Windows:
 
     ``codes`` are the form's tokens, ``first`` the plain token each begins with and
     ``text`` the text it stands in. In a template, neighbouring slots of one kind are
-    one slot.
+    one slot, unless a mark stands between them.
     """
 
-    def __init__(self, form: int, hashes: np.ndarray, kinds: np.ndarray, text: np.ndarray):
+    def __init__(
+        self, form: int, hashes: np.ndarray, kinds: np.ndarray, parted: np.ndarray, text: np.ndarray
+    ):
         self.form = form
         if form == PLAIN:
             self.codes, self.first, self.text = hashes, np.arange(len(hashes)), text
@@ -175,6 +224,7 @@ class Windows:
             return
         joined = np.zeros(len(kinds), bool)
         joined[1:] = (kinds[1:] > LITERAL) & (kinds[1:] == kinds[:-1]) & (text[1:] == text[:-1])
+        joined &= ~parted
         self.first = np.flatnonzero(~joined)
         self.kinds, self.text = kinds[self.first], text[self.first]
         slots = np.array(_KINDS, np.uint64)[self.kinds]
@@ -225,19 +275,31 @@ class Windows:
             if self.kinds[i] == LITERAL:
                 continue
             end = self.first[i + 1] if i + 1 < len(self.first) else len(tokens)
-            value = " ".join(tokens[self.first[i] : end]).lower()
-            found.append(f"{self.kinds[i]}:{value}")
+            words = [t.lower() for t in tokens[self.first[i] : end]]
+            if self.kinds[i] == UNIT:
+                words = [unit_of(w) for w in words]
+            found.append(f"{self.kinds[i]}:{' '.join(words)}")
         return found
 
+    def edges(self, at: int, n: int) -> list[int]:
+        """For each slot of a window, whether it is the first or the last of all codes."""
+        if self.form == PLAIN:
+            return []
+        last = len(self.codes) - 1
+        places = (at + np.flatnonzero(self.kinds[at : at + n] != LITERAL)).tolist()
+        return [FIRST if i == 0 else LAST if i == last else INNER for i in places]
+
 
 def read_texts(reader: Tokens, texts: list[str]) -> tuple[list[str], list[Windows], np.ndarray]:
     """All tokens, both forms, and the tokens per text."""
     found = [split_tokens(t) for t in texts]
     tokens = [t for f in found for t in f]
-    sizes = np.array([len(f) for f in found], np.int64)
-    hashes, kinds = reader.read(tokens)
-    text = np.repeat(np.arange(len(texts)), sizes)
-    return tokens, [Windows(form, hashes, kinds, text) for form in (PLAIN, TEMPLATE)], sizes
+    kept, hashes, kinds, parted = reader.read(tokens)
+    text = np.repeat(np.arange(len(texts)), [len(f) for f in found])[kept]
+    tokens = [tokens[i] for i in kept.tolist()]
+    sizes = np.bincount(text, minlength=len(texts))
+    forms = [Windows(form, hashes, kinds, parted, text) for form in (PLAIN, TEMPLATE)]
+    return tokens, forms, sizes
 
 
 def probes(code: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -248,8 +310,8 @@ def probes(code: np.ndarray, bits: int) -> list[np.ndarray]:
 # -- Spark ---------------------------------------------------------------------------
 
 _WINDOWS = (
-    "item_id long, form int, length int, code long, position int, slots array<string>, size int, "
-    "literals array<int>, wanted int"
+    "item_id long, form int, length int, code long, position int, slots array<string>, "
+    "edges array<int>, size int, literals array<int>, wanted int"
 )
 
 
@@ -273,13 +335,17 @@ def _item_windows(lexicon: bytes) -> Callable:
                     at, code = windows.hashed(n)
                     for i, c in zip(at.tolist(), code.view(np.int64).tolist()):
                         slots, literals = windows.slots(i, n, tokens), windows.literals(i, n)
-                        rows.append((item, windows.form, n, c, i, slots, size, literals, wanted))
+                        edges = windows.edges(i, n)
+                        rows.append(
+                            (item, windows.form, n, c, i, slots, edges, size, literals, wanted)
+                        )
             if rows:
                 types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-                types += [pa.list_(pa.string()), pa.int32(), pa.list_(pa.int32()), pa.int32()]
+                types += [pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
+                types += [pa.list_(pa.int32()), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                    names="item_id form length code position slots size literals wanted".split(),
+                    names="item_id form length code position slots edges size literals wanted".split(),
                 )
 
     return run
@@ -394,6 +460,9 @@ def leaks(
     ``SHORTEST`` tokens count only as a whole text, items without tokens never. With
     other values it must also cover ``LITERALS`` literals, or all that the item has and
     these at least ``LEAST``.
+    What of a name, number or unit at the item's ends belongs to the text around it is
+    left open: there the text's run of such words must end, or begin, with the value.
+    Signs are read as the unit they stand for, and units in the singular.
     ``text_key`` is the text's xxhash64, which tells rows apart that lack an id.
 
     Null texts hold nothing; repeated rows give one pair. Without documents or items
@@ -438,7 +507,10 @@ def leaks(
             F.when(F.size("literals") >= F.ceil(F.col("length") * LITERALS / WINDOW), F.array(F.lit(0), F.lit(1)))
             .otherwise(F.array(F.lit(0)))
         ).alias("strict"),
-        *[F.col(c).alias(f"item_{c}") for c in ("form", "length", "code", "position", "slots")],
+        *[
+            F.col(c).alias(f"item_{c}")
+            for c in ("form", "length", "code", "position", "slots", "edges")
+        ],
     )
     same = [F.col(c) == F.col(f"item_{c}") for c in ("code", "form", "length")]
     matched = found.join(own, reduce(Column.__and__, same))
@@ -458,13 +530,13 @@ def leaks(
     ).agg(
         F.array_sort(F.collect_set("item_position")).alias("positions"),
         F.size(F.array_distinct(F.flatten(F.collect_set("literals")))).alias("held"),
-        F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots"))).alias("pairs"),
-    )
-    pairs = F.array_distinct(F.col("pairs"))
-    consistent = (F.size(F.array_distinct(_values(pairs, "item_slots"))) == F.size(pairs)) & (
-        F.size(F.array_distinct(_names(pairs, "slots"))) == F.size(_names(pairs, "slots"))
+        F.array_distinct(
+            F.flatten(F.collect_set(F.arrays_zip("item_slots", "item_edges", "slots")))
+        ).alias("pairs"),
     )
-    exact = F.forall(pairs, lambda p: p["item_slots"] == p["slots"])
+    pairs = F.col("pairs")
+    consistent = _consistent(pairs)
+    exact = F.forall(pairs, lambda p: F.array_contains(_possible(p), p["item_slots"]))
     # A template alignment without a slot is the plain form's.
     told = (F.col("form") == PLAIN) | (
         (F.size(pairs) > 0) & (F.col("held") >= F.col("wanted"))
@@ -478,7 +550,7 @@ def leaks(
         exact.alias("exact"),
         F.array_join(
             F.transform(
-                F.filter(pairs, lambda p: p["item_slots"] != p["slots"]),
+                F.filter(pairs, lambda p: ~F.array_contains(_possible(p), p["item_slots"])),
                 lambda p: F.concat(p["item_slots"], F.lit(">"), p["slots"]),
             ),
             ",",
@@ -501,9 +573,52 @@ def _values(pairs: Column, field: str) -> Column:
     return F.transform(pairs, lambda p: p[field])
 
 
-def _names(pairs: Column, field: str) -> Column:
-    of_names = F.filter(pairs, lambda p: p["item_slots"].startswith(f"{NAME}:"))
-    return _values(of_names, field)
+def _possible(pair: Column) -> Column:
+    """Values that a slot may have: at an item's end, any end of the text's run."""
+    kind = F.substring_index(pair["slots"], ":", 1)
+    words = F.split(F.substring(pair["slots"], 3, 1 << 30), " ")
+    n = F.size(words)
+
+    def part(k: Column) -> Column:
+        begin = F.when(pair["item_edges"] == FIRST, n - k + 1).otherwise(F.lit(1))
+        return F.concat(kind, F.lit(":"), F.array_join(F.slice(words, begin, k), " "))
+
+    ends = F.transform(F.sequence(F.lit(1), n), part)
+    return F.when(pair["item_edges"] == INNER, F.array(pair["slots"])).otherwise(ends)
+
+
+def _consistent(pairs: Column) -> Column:
+    """One value here for each of the item's, and for two names two."""
+    inner = F.array_distinct(
+        F.transform(
+            F.filter(pairs, lambda p: p["item_edges"] == INNER),
+            lambda p: F.struct(p["item_slots"].alias("item_slots"), p["slots"].alias("slots")),
+        )
+    )
+    edges = F.filter(pairs, lambda p: p["item_edges"] != INNER)
+    names = F.filter(inner, lambda p: p["item_slots"].startswith(f"{NAME}:"))
+    function = F.size(F.array_distinct(_values(inner, "item_slots"))) == F.size(inner)
+    two = F.size(F.array_distinct(_values(names, "slots"))) == F.size(names)
+
+    def fits(edge: Column) -> Column:
+        """An end's slot against all others of its value, and of other names."""
+        possible = _possible(edge)
+        alike = F.forall(
+            pairs,
+            lambda p: (p["item_slots"] != edge["item_slots"])
+            | F.arrays_overlap(_possible(p), possible),
+        )
+        # Only a run of one word is known to be the name and nothing else.
+        alone = edge["item_slots"].startswith(f"{NAME}:") & (F.size(possible) == 1)
+        other = F.forall(
+            pairs,
+            lambda p: (p["item_slots"] == edge["item_slots"])
+            | (F.size(_possible(p)) != 1)
+            | (p["slots"] != edge["slots"]),
+        )
+        return alike & (~alone | other)
+
+    return function & two & F.forall(edges, fits)
 
 
 def _covered(positions: Column, length: Column) -> Column:
