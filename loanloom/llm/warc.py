@@ -34,6 +34,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 _LINE_END_FRAME = struct.pack("<II", SKIPPABLE_FIRST, 1)
 _NO_ID = "none"
 _PIECE = 16 << 10
+#: Bytes that a record may decode to.
+MAX_RECORD_BYTES = 1 << 30
 
 
 # -- one archive -----------------------------------------------------------------
@@ -58,10 +60,14 @@ def train_dictionary(samples: list[bytes], size: int) -> bytes | None:
         return None
 
 
-def read_frames(archive: bytes) -> Iterator[tuple[int, bytes | None, str | None]]:
+def read_frames(
+    archive: bytes, max_record_bytes: int = MAX_RECORD_BYTES
+) -> Iterator[tuple[int, bytes | None, str | None]]:
     """Start of each record's frame, its decoded bytes, or what is wrong with it.
 
     After a frame whose end can't be found nothing more can be read; the error says so.
+    So it is with a record above ``max_record_bytes``, whether its frame states the
+    size or not: no more than that is ever decoded.
     """
     view, at, loaded = memoryview(archive), 0, None
     while at < len(view):
@@ -85,12 +91,19 @@ def read_frames(archive: bytes) -> Iterator[tuple[int, bytes | None, str | None]
             yield at, None, "not a frame"
             return
         one = zstd.ZstdDecompressor(dict_data=loaded).decompressobj()
-        parts, end = [], at
+        parts, end, decoded = [], at, 0
         try:
+            if zstd.frame_content_size(view[at : at + 18]) > max_record_bytes:
+                yield at, None, "record too large"
+                return
             # In pieces: what is left of the last one after the frame is copied.
             while not one.eof and end < len(view):
                 parts.append(one.decompress(view[end : end + _PIECE]))
                 end = min(end + _PIECE, len(view))
+                decoded += len(parts[-1])
+                if decoded > max_record_bytes:
+                    yield at, None, "record too large"
+                    return
         except zstd.ZstdError as broken:
             yield at, None, f"bad frame: {broken}"
             return
@@ -172,7 +185,9 @@ def with_revisits(
     )
 
 
-def _writer(date: str, dictionary_bytes: int, sample_bytes: int, level: int) -> Callable:
+def _writer(
+    date: str, dictionary_bytes: int, sample_bytes: int, level: int, archive_bytes: int
+) -> Callable:
     def build(page_id, url, payload: bytes, digest: bytes, refers_to) -> bytes:
         kind = "response" if refers_to is None else "revisit"
         headers = [
@@ -192,41 +207,59 @@ def _writer(date: str, dictionary_bytes: int, sample_bytes: int, level: int) ->
             return record_bytes(headers, http)
         return record_bytes(headers, http + payload)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        records = (
-            build(*row)
-            for batch in batches
-            for row in zip(*(c.to_pylist() for c in batch.columns))
-        )
+    def archive(records: Iterator[bytes]) -> Iterator[bytes]:
+        """Frames of one archive, until it is full or no record is left."""
         # The dictionary is learned from the first records of this archive.
         sample, held = [], 0
         for record in records:
             sample.append(record)
             held += len(record)
-            if held >= sample_bytes:
+            if held >= min(sample_bytes, archive_bytes):
                 break
         if not sample:
             return
         learned = train_dictionary([r[:65536] for r in sample], dictionary_bytes)
-        out = [dictionary_frame(learned) + _LINE_END_FRAME] if learned else []
+        written = 0
+        if learned:
+            yield dictionary_frame(learned) + _LINE_END_FRAME
         data = zstd.ZstdCompressionDict(learned) if learned else None
         compressor = zstd.ZstdCompressor(level=level, dict_data=data)
+        for record in sample:
+            yield (frame := compressor.compress(record) + _LINE_END_FRAME)
+            written += len(frame)
+        while written < archive_bytes and (record := next(records, None)) is not None:
+            yield (frame := compressor.compress(record) + _LINE_END_FRAME)
+            written += len(frame)
 
-        def frames():
-            for record in sample:
-                yield compressor.compress(record)
-            for record in records:
-                yield compressor.compress(record)
-
-        size = sum(map(len, out))
-        for frame in frames():
-            out.append(frame + _LINE_END_FRAME)
-            size += len(frame)
-            if size > 4_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
-                out, size = [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records = (
+            build(*row)
+            for batch in batches
+            for row in zip(*(c.to_pylist() for c in batch.columns))
+        )
+        number, out, size = 0, [], 0
+
+        def packed() -> pa.RecordBatch:
+            places, at, frames = zip(*out)
+            types = (pa.int32(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip((places, at, frames), types)],
+                names=["archive", "position", "frame"],
+            )
+
+        while True:
+            count = 0
+            for count, frame in enumerate(archive(records), 1):
+                out.append((number, count, frame))
+                size += len(frame)
+                if size > 4_000_000:
+                    yield packed()
+                    out, size = [], 0
+            if not count:
+                break
+            number += 1
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+            yield packed()
 
     return run
 
@@ -245,8 +278,13 @@ def write_warc(
     dictionary_bytes: int = 16 << 10,
     sample_bytes: int = 1 << 20,
     level: int = 3,
+    archive_bytes: int = 256 << 20,
 ) -> None:
-    """Writes one archive per partition, one record per row.
+    """Writes archives of about ``archive_bytes`` each, one record per row.
+
+    A partition fills one archive after the other, each with a dictionary of its own;
+    only a single record can make one much larger. They lie in folders by their number
+    in the partition.
 
     Null payloads count as empty. Of rows with one payload of at least
     ``min_revisit_bytes`` those with the smallest id are responses and all others
@@ -256,11 +294,14 @@ def write_warc(
     Only id, ``url`` and payload are read.
     """
     rows = with_revisits(pages, id_col, payload_col, min_revisit_bytes)
-    run = _writer(date, dictionary_bytes, sample_bytes, level)
-    frames = rows.mapInArrow(run, "frame binary")
+    run = _writer(date, dictionary_bytes, sample_bytes, level, archive_bytes)
+    frames = rows.mapInArrow(run, "archive int, position long, frame binary")
     (
-        frames.select(F.col("frame").cast("string"))
+        # In the order of the archive, which the writer needs of its folders anyway.
+        frames.sortWithinPartitions("archive", "position")
+        .select(F.col("frame").cast("string"), "archive")
         .write.mode("overwrite")
+        .partitionBy("archive")
         .option("compression", "none")
         .option("lineSep", "\n")
         .option("maxRecordsPerFile", 0)
@@ -275,7 +316,7 @@ _READ = (
 )
 
 
-def _reader(keep_payload: bool) -> Callable:
+def _reader(keep_payload: bool, max_record_bytes: int) -> Callable:
     def row(archive: str, at: int, record: bytes | None, error: str | None) -> tuple:
         headers: dict[str, str] = {}
         block = b""
@@ -325,7 +366,8 @@ def _reader(keep_payload: bool) -> Callable:
             for k in range(batch.num_rows):
                 archive = batch.column(0)[k].as_py()
                 rows, held = [], 0
-                for at, record, error in read_frames(batch.column(1)[k].as_py()):
+                content = batch.column(1)[k].as_py()
+                for at, record, error in read_frames(content, max_record_bytes):
                     rows.append(row(archive, at, record, error))
                     held += len(rows[-1][7] or b"") + 500
                     if held > 4_000_000:
@@ -342,19 +384,21 @@ def read_warc(
     path: str,
     keep_payload: bool = True,
     max_archive_bytes: int = 1 << 30,
+    max_record_bytes: int = MAX_RECORD_BYTES,
 ) -> DataFrame:
     """One row per frame of the archives under ``path``, bad ones with their ``error``.
 
     Checked are frames, version line, header lines, required headers, record type,
     length and payload digest. Size and digest are those of the decoded payload; a
-    revisit repeats those of the record it refers to. An archive is one value in
-    memory, so one above ``max_archive_bytes`` stops the job.
+    revisit repeats those of the record it refers to. Spark reads a binary file as one
+    value, so one above ``max_archive_bytes`` stops the job; ``write_warc`` makes none.
+    A folder without archives, and an empty file, give no rows.
     """
     files = spark.read.format("binaryFile").load(path)
     too_large = F.concat(F.lit("archive is too large: "), F.col("path"))
     content = F.when(F.col("length") > max_archive_bytes, F.raise_error(too_large))
     return files.select("path", content.otherwise(F.col("content")).alias("content")).mapInArrow(
-        _reader(keep_payload), _READ
+        _reader(keep_payload, max_record_bytes), _READ
     )
 
 
