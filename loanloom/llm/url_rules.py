@@ -8,9 +8,10 @@ fits decides.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cached_property
+from string import ascii_lowercase, ascii_uppercase
 from typing import NamedTuple
 
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,30 +33,27 @@ class Rule(NamedTuple):
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def split_url(url: str | None) -> tuple[str, str]:
+def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host after the first ``://`` in lower case, and path; both empty without one."""
-    start = -1 if url is None else url.find("://")
-    if start < 0:
-        return "", ""
-    start += 3
-    end = len(url)
-    for mark in "?#":
-        at = url.find(mark, start)
-        end = at if 0 <= at < end else end
-    slash = url.find("/", start, end)
-    if slash < 0:
-        return url[start:end].translate(_LOWER), ""
-    return url[start:slash].translate(_LOWER), url[slash:end]
+    begin = F.instr(url, "://")
+    rest = F.when(begin > 0, F.substr(url, begin + 3)).otherwise("")
+    address = F.regexp_extract(rest, "^[^?#]*", 0)
+    slash = F.instr(address, "/")
+    host = F.when(slash > 0, F.substr(address, F.lit(1), slash - 1)).otherwise(address)
+    path = F.when(slash > 0, F.substr(address, slash)).otherwise("")
+    return F.translate(host, ascii_uppercase, ascii_lowercase), path
 
 
 class _Node:
-    __slots__ = ("hosts", "segments", "tails")
+    __slots__ = ("hosts", "segments", "tails", "lengths")
 
     def __init__(self):
         self.hosts: dict[str, _Node] = {}
         self.segments: dict[str, _Node] = {}
-        #: Prefixes of the next segment that end a rule here, longest first.
-        self.tails: list[tuple[str, int, str, str]] = []
+        #: Prefixes of the next segment that end a rule here, and their lengths, the
+        #: longest first.
+        self.tails: dict[str, tuple[int, str, str]] = {}
+        self.lengths: list[int] = []
 
 
 class RuleTrie:
@@ -74,7 +72,11 @@ class RuleTrie:
             for segment in segments:
                 node = node.segments.setdefault(segment, _Node())
             text = host + rule.path
-            node.tails.append((tail, len(text), text, rule.verdict))
+            if node.tails.get(tail, ("",) * 3)[2] != BLOCK:
+                node.tails[tail] = (len(text), text, rule.verdict)
+            if len(tail) not in node.lengths:
+                node.lengths.append(len(tail))
+                node.lengths.sort(reverse=True)
 
     def match(self, host: str, path: str) -> tuple[int, int, bool, str, str] | None:
         """Length, last host label, whether it blocks, text and verdict of the winner."""
@@ -87,17 +89,35 @@ class RuleTrie:
                 break
             node = at
             for segment in segments:
-                for tail, size, text, verdict in node.tails:
-                    if segment.startswith(tail):
+                for length in node.lengths:
+                    # A longer prefix of one segment is a longer rule.
+                    tail = node.tails.get(segment[:length]) if length <= len(segment) else None
+                    if tail:
+                        size, text, verdict = tail
                         found = (size, depth, verdict == BLOCK, text, verdict)
                         if best is None or found[:3] > best[:3]:
                             best = found
+                        break
                 node = node.segments.get(segment)
                 if node is None:
                     break
         return best
 
 
+class RuleList:
+    """Rules as tasks receive them; the trie is built once in each worker process."""
+
+    def __init__(self, rules: list[Rule]):
+        self.rules = [tuple(rule) for rule in rules]
+
+    def __getstate__(self) -> dict:
+        return {"rules": self.rules}
+
+    @cached_property
+    def trie(self) -> RuleTrie:
+        return RuleTrie(Rule(*rule) for rule in self.rules)
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Iterable[Rule],
@@ -125,17 +145,18 @@ def judge_urls(
         blocks[-1].append(rule)
         held += size
     context = pages.sparkSession.sparkContext
-    parts = _parts(F.col(f"`{url_col}`"))
+    url = F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit(""))
+    host, path = host_and_path(url)
     best = None
     for block in blocks:
-        shared = context.broadcast([tuple(rule) for rule in block])
-        found = _matcher(shared)(parts["host"], parts["path"])
+        shared = context.broadcast(RuleList(block))
+        found = _matcher(shared)(host, path)
         best = found if best is None else F.greatest(best, found)
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     judged = pages.select(
         *[F.col(f"`{c}`") for c in kept],
-        parts["host"].alias("host"),
-        parts["path"].alias("path"),
+        host.alias("host"),
+        path.alias("path"),
         best.alias("_match"),
     )
     return judged.select(
@@ -147,20 +168,11 @@ def judge_urls(
     )
 
 
-def _parts(url: Column) -> Column:
-    @F.pandas_udf("host string, path string")
-    def parts(urls: pd.Series) -> pd.DataFrame:
-        found = [split_url(u) for u in urls]
-        return pd.DataFrame(found, columns=["host", "path"])
-
-    return parts(url)
-
-
 def _matcher(shared):
     # The fields stand in the order in which a longer match beats a shorter one.
     @F.pandas_udf("size int, labels int, blocks boolean, rule string, verdict string")
     def matched(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        trie = RuleTrie(Rule(*rule) for rule in shared.value)
+        trie = shared.value.trie
         none = (None,) * 5
         names = ["size", "labels", "blocks", "rule", "verdict"]
         for hosts, paths in batches:
