@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 from loanloom.llm.common import checkpointed, training_row
 
 UNDECIDED = "und"
-#: A run of letters.
-LETTERS = r"[^\W\d_]+"
+#: A run of letters and of numbers that are no digits, such as fractions.
+_WORDS = re.compile(r"[^\W\d_]+")
 
 # First code point of each stretch of letters and its script.
 SCRIPTS = (
@@ -40,13 +40,14 @@ SCRIPTS = (
 )
 NAMES = sorted({name for _, name in SCRIPTS})
 
-#: n-grams of these lengths, hashed into this many buckets each.
-ORDERS, BUCKETS = (1, 2, 3, 4), 1 << 14
+#: n-grams of these lengths, hashed into this many buckets each; into half as many, and
+#: again, where a model of all languages would exceed its bytes.
+ORDERS, BITS, LEAST_BITS, MODEL_BYTES = (1, 2, 3, 4), 14, 10, 128 << 20
 #: A language owns a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.02
 SWITCH_PENALTY = 12.0
-#: Words worked at once, and words whose scores are remembered.
-WORDS_AT_ONCE, REMEMBERED = 400_000, 300_000
+#: Words worked at once, and bytes of words' scores that are remembered.
+WORDS_AT_ONCE, REMEMBERED_BYTES = 400_000, 64 << 20
 
 _FIRST = [first for first, _ in SCRIPTS]
 _SCRIPT = [NAMES.index(name) for _, name in SCRIPTS]
@@ -56,12 +57,30 @@ def script_of(letter: str) -> int:
     return _SCRIPT[bisect_right(_FIRST, ord(letter)) - 1]
 
 
-def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def letter_runs(text: str) -> list[str]:
+    """The words of a text: its runs of letters, and of nothing but letters."""
+    found = _WORDS.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    spaced = ("".join(c if c.isalpha() else " " for c in word) for word in found)
+    return [part for word in spaced for part in word.split()]
+
+
+def model_bits(languages: int) -> int:
+    """Bits of a bucket with so many languages."""
+    bits = BITS
+    while bits > LEAST_BITS and (len(ORDERS) << bits) * languages * 4 > MODEL_BYTES:
+        bits -= 1
+    return bits
+
+
+def gram_buckets(words: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Per character of the words, joined by line feeds, one bucket per n-gram order.
 
     Returns (characters, orders) and each word's first row. The line feed before and
     after a word marks its ends; n-grams that reach over one get the empty bucket.
     """
+    buckets = 1 << bits
     codes = np.frombuffer(("\n" + "\n".join(words) + "\n").encode("utf-32-le"), np.uint32)
     codes = codes.astype(np.uint64)
     breaks = codes == 10
@@ -83,8 +102,10 @@ def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         elif n > 1:
             # Not the two ends of neighbouring words alone.
             whole &= ~(stops[:lanes] & stops[n - 1 : n - 1 + lanes] & (n == 2))
-        bucket = (mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - 14)
-        rows[:, column] = np.where(whole, bucket.astype(np.int64) + column * BUCKETS, len(ORDERS) * BUCKETS)
+        bucket = (mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)
+        rows[:, column] = np.where(
+            whole, bucket.astype(np.int64) + column * buckets, len(ORDERS) * buckets
+        )
     return rows, starts
 
 
@@ -93,9 +114,10 @@ class Model:
 
     def __init__(self, languages: list[str], weights: np.ndarray, allowed: np.ndarray):
         self.languages, self.weights, self.allowed = languages, weights, allowed
+        self.bits = (len(weights) // len(ORDERS)).bit_length() - 1
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        rows, starts = gram_buckets(words)
+        rows, starts = gram_buckets(words, self.bits)
         total = self.weights[rows[:, 0]]
         for column in range(1, rows.shape[1]):
             total = total + self.weights[rows[:, column]]
@@ -104,17 +126,18 @@ class Model:
         return np.where(self.allowed[scripts], scores, scores - 1e4)
 
 
-def learned(counts: pa.Table, letters: pa.Table) -> Model | None:
+def learned(counts: pa.Table, letters: pa.Table, bits: int = BITS) -> Model | None:
     """A model from (lang, bucket, n) and (lang, script, n); None without languages."""
+    buckets = 1 << bits
     languages = sorted(set(letters["lang"].to_pylist()))
     if not languages:
         return None
     at = {lang: i for i, lang in enumerate(languages)}
-    table = np.full((len(ORDERS) * BUCKETS + 1, len(languages)), 0.5)
+    table = np.full((len(ORDERS) * buckets + 1, len(languages)), 0.5, np.float32)
     lang = np.array([at[x] for x in counts["lang"].to_pylist()], np.int64)
     table[counts["bucket"].to_numpy(), lang] += counts["n"].to_numpy()
     for order in range(len(ORDERS)):
-        part = slice(order * BUCKETS, (order + 1) * BUCKETS)
+        part = slice(order * buckets, (order + 1) * buckets)
         table[part] = np.log(table[part] / table[part].sum(axis=0))
     table[-1] = 0
     # Only differences between languages matter.
@@ -131,12 +154,16 @@ def learned(counts: pa.Table, letters: pa.Table) -> Model | None:
 # -- Viterbi ---------------------------------------------------------------------
 
 
-def best_paths(scores: np.ndarray, starts: np.ndarray, penalty: float) -> np.ndarray:
+def best_paths(
+    scores: np.ndarray, words: np.ndarray, starts: np.ndarray, penalty: float
+) -> np.ndarray:
     """Best language of every word; texts follow one another, ``starts`` their words.
 
-    All texts advance together, one word a step, the longest first.
+    ``words`` are rows of ``scores``. All texts advance together, one word a step, the
+    longest first. Of the way back a word takes one bit a language: whether it stayed
+    or came from the best of the word before.
     """
-    total, languages = scores.shape
+    total, languages = len(words), scores.shape[1]
     sizes = np.diff(np.append(starts, total))
     order = np.argsort(-sizes, kind="stable")
     order = order[sizes[order] > 0]
@@ -144,22 +171,23 @@ def best_paths(scores: np.ndarray, starts: np.ndarray, penalty: float) -> np.nda
     steps = int(size[0]) if len(size) else 0
     # Texts still running at each step.
     running = np.searchsorted(-size, -np.arange(1, steps + 1), side="right")
-    came = np.empty((total, languages), np.int16)
-    own = np.arange(languages, dtype=np.int16)
+    stayed = np.empty((total, (languages + 7) // 8), np.uint8)
+    came = np.empty(total, np.int32)
     best = np.zeros((len(first), languages))
     for t in range(steps):
         n = running[t]
         at = first[:n] + t
         if t == 0:
-            best[:n] = scores[at]
+            best[:n] = scores[words[at]]
             continue
         before = best[:n]
         top = before.argmax(axis=1)
         switched = before[np.arange(n), top] - penalty
         stay = before >= switched[:, None]
-        came[at] = np.where(stay, own, top[:, None].astype(np.int16))
-        best[:n] = np.where(stay, before, switched[:, None]) + scores[at]
-    path = np.empty(total, np.int16)
+        stayed[at] = np.packbits(stay, axis=1)
+        came[at] = top
+        best[:n] = np.where(stay, before, switched[:, None]) + scores[words[at]]
+    path = np.empty(total, np.int32)
     state = best.argmax(axis=1)
     for t in range(steps - 1, -1, -1):
         n = running[t]
@@ -167,7 +195,8 @@ def best_paths(scores: np.ndarray, starts: np.ndarray, penalty: float) -> np.nda
         now = state[:n]
         path[at] = now
         if t:
-            state[:n] = came[at, now]
+            same = stayed[at, now >> 3] >> (7 - (now & 7)) & 1
+            state[:n] = np.where(same == 1, now, came[at])
     return path
 
 
@@ -181,10 +210,11 @@ class Labeller:
 
     def label(self, texts: list[str]) -> Iterator[tuple[str, float, str]]:
         """Language, its share of letters, and spans as lang:first word:end word."""
-        found = [re.findall(LETTERS, t) for t in texts]
+        found = [letter_runs(t) for t in texts]
         words = [w.lower() for f in found for w in f]
         new = list(set(words).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED and self.known:
+        held = REMEMBERED_BYTES // (4 * len(self.model.languages))
+        if len(self.known) + len(new) > held and self.known:
             self.known, self.scores = {}, self.scores[:0]
             new = list(set(words))
         if new:
@@ -194,7 +224,7 @@ class Labeller:
         rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         sizes = np.array([len(f) for f in found], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        path = best_paths(self.scores[rows], starts, self.penalty)
+        path = best_paths(self.scores, rows, starts, self.penalty)
         letters = np.fromiter(map(len, words), np.int64, len(words))
         names = self.model.languages
         for start, size in zip(starts.tolist(), sizes.tolist()):
@@ -221,19 +251,18 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     rows_per_language: int = 600,
-    max_languages: int = 64,
+    most_broadcast: int = 1_000_000,
 ) -> Model | None:
-    """A model from at most ``rows_per_language`` texts of each language.
+    """A model of every language from at most ``rows_per_language`` texts of each.
 
-    These are the first by a hash of the id; of more than ``max_languages`` languages
-    the most frequent are learned. Ids whose crc32 modulo 3 is 1, null ids and null
-    languages are never learned from.
+    These are the first by a hash of the id. Ids whose crc32 modulo 3 is 1, null ids and
+    null languages are never learned from. The model has four bytes per language and
+    bucket; with hundreds of languages buckets get fewer, languages never.
     """
     usable = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
     ).filter(F.col("lang").isNotNull() & training_row(F.col("id")))
-    frequent = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang")
     order = [F.xxhash64("id"), F.col("id")]
     # First by piece of a language, so that no task ranks the whole of a frequent one.
     piece = Window.partitionBy("lang", "piece").orderBy(*order)
@@ -245,11 +274,13 @@ def fit(
         .filter(F.col("nth") <= rows_per_language)
         .withColumn("nth", F.row_number().over(whole))
         .filter(F.col("nth") <= rows_per_language)
-        .join(F.broadcast(frequent.limit(max_languages).select("lang")), "lang")
         .select("id", "lang")
     )
-    # Bounded by rows per language times languages.
-    chosen = F.broadcast(chosen)
+    rows, languages = chosen.agg(F.count("*"), F.count_distinct("lang")).first()
+    bits = model_bits(languages)
+    # Rows per language times languages; beyond the bound the join shuffles.
+    if rows <= most_broadcast:
+        chosen = F.broadcast(chosen)
     sample = (
         docs.select(
             F.col(f"`{id_col}`").cast("long").alias("doc"),
@@ -264,12 +295,12 @@ def fit(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = [w.lower() for w in re.findall(LETTERS, text or "")]
+                words = [w.lower() for w in letter_runs(text or "")]
                 if not words:
                     continue
-                rows, _ = gram_buckets(words)
+                rows, _ = gram_buckets(words, bits)
                 buckets, n = np.unique(rows, return_counts=True)
-                whole = buckets < len(ORDERS) * BUCKETS
+                whole = buckets < len(ORDERS) << bits
                 buckets, n = buckets[whole], n[whole]
                 scripts = np.zeros(len(NAMES), np.int64)
                 for w in words:
@@ -297,7 +328,7 @@ def fit(
     letters = letters.append_column(
         "script", pa.array(-1 - np.array(letters["bucket"].to_pylist(), np.int64))
     )
-    return learned(counted.filter(pa.array(~below)), letters)
+    return learned(counted.filter(pa.array(~below)), letters, bits)
 
 
 def identify_languages(
