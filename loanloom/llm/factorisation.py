@@ -259,6 +259,24 @@ def quality_score(
     )
 
 
+def good_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    metadata_col: str = "n_chars",
+    max_rows: int = 6000,
+) -> DataFrame:
+    """The rows that score 0.5 or more, with their columns as they are.
+
+    The score stands beside the row, so that columns of any name keep their values.
+    """
+    machine = fit(docs, labels, id_col, text_col, metadata_col, max_rows=max_rows)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    score = quality_score(docs, machine, text_col, metadata_col)
+    return docs.select(row.alias("row"), score.alias("score")).where("score >= 0.5").select("row.*")
+
+
 def classify_quality(
     docs: DataFrame,
     labels: DataFrame,
