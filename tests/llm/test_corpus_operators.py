@@ -98,6 +98,86 @@ def test_leaks_of_items_full_of_slots(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(n, n) for n in range(len(SLOTTED))]
 
 
+#: Items, the same with other values, and with values that contradict each other.
+ASKED = [
+    ("Tom has 5 apples and gives 2 of them to his friend. How many apples are left for Tom?",
+     "{} has 9 apples and gives 4 of them to his friend. How many apples are left for {}?"),
+    ("France lies in the west. What is the capital city of France?",
+     "{} lies in the west. What is the capital city of {}?"),
+    ("A ticket costs 30 dollars and a meal costs 12 dollars for each guest of Maria, what do two guests pay?",
+     "A ticket costs $45 and a meal costs 7$ for each guest of {}, what do two guests pay?"),
+]
+BEFORE = ["", "Problem: ", "Question ", "He said. ", "From Rome\n", "Here, dear Reader, "]
+BEHIND = ["", " Answer: Six", " Madrid is the answer.", "\nSolution", " Six"]
+
+
+def test_leaks_beside_capitalised_words(spark):
+    """Whatever stands before and behind, also names without any mark between."""
+    filler = "und so geht es weiter mit vielen worten die nichts damit zu tun haben "
+    good, bad = [], []
+    for n, (_, asked) in enumerate(ASKED):
+        for before in BEFORE:
+            for behind in BEHIND:
+                for start, end in (("", ""), (filler, ""), ("", filler), (filler, filler)):
+                    values = [["Anna", "Anna"], ["Anna Maria", "Anna Maria"], ["Anna", "Otto"]]
+                    for own, rows in zip(values, (good, good, bad)):
+                        text = asked.format(*own)
+                        rows.append((n, f"{start}{before}{text}{behind} {end}"))
+    # Only items that say a name twice can contradict themselves.
+    bad = [(n, t) for n, t in bad if ASKED[n][1].count("{}") > 1]
+    docs = [(i, t) for i, (_, t) in enumerate(good + bad)]
+    found = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(n, i) for n, (i, _) in enumerate(ASKED)], "item_id long, text string"),
+    ).collect()
+    wanted = {(i, n) for i, (n, _) in enumerate(good)}
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    assert got - wanted == set() and [docs[i][1] for i, _ in sorted(wanted - got)] == []
+    assert not any(r["exact"] for r in found)
+
+
+def test_signs_are_units():
+    split = decontamination.split_tokens
+    assert split("$30 or 30 € or 12.5% of $ 7") == "30 $ or 30 € or 12.5 % of 7 $".split()
+    assert {decontamination.unit_of(w) for w in ("$", "dollar", "dollars")} == {"dollar"}
+    assert decontamination.unit_of("metres") == decontamination.unit_of("meter") == "meter"
+
+
+def test_recall_of_the_benchmark_with_other_names(spark):
+    """Every benchmark item with new names, at the start, middle and end of documents."""
+    items = queries.table(spark, FOLDER.replace("0.001", "0.1"), "benchmark")
+    rows = [(r["item_id"], r["text"]) for r in items.collect()]
+    words = {w for _, t in rows for w in decontamination.split_tokens(t) if w.islower()}
+    texts = [r["text"] for r in queries.table(spark, FOLDER, "documents").collect()]
+    texts = [t for t in texts if t and len(t.split()) > 60]
+    draw = np.random.default_rng(5)
+    docs, changed = [], []
+    for item, text in rows:
+        new = {}
+
+        def other(found, new=new):
+            word = found[0]
+            if word.lower() in words:
+                return word
+            if word not in new:
+                new[word] = "".join(draw.choice(list("bdfgklmnprst"), 5)).capitalize()
+            return new[word]
+
+        told = re.sub(r"\b[A-Z][a-z]+\b", other, text)
+        if not new:
+            continue
+        changed.append(item)
+        for place in range(3):
+            around = texts[int(draw.integers(len(texts)))].split(" ")
+            at = [0, len(around) // 2, len(around)][place]
+            docs.append((3 * item + place, " ".join([*around[:at], told, *around[at:]])))
+    found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items)
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    hit = [(d, d // 3) in got for d, _ in docs]
+    assert len(changed) > 100
+    assert sum(hit) >= 0.95 * len(hit), (sum(hit), len(hit))
+
+
 def test_leaks_in_scripts_without_spaces(spark):
     items = [
         (1, "这只小猫昨天在河边看见了一条很大的红鱼"),
@@ -186,6 +266,33 @@ def test_archives_keep_payloads(spark, tmp_path):
             assert bytes(record["payload"]).decode() == html
 
 
+def test_archives_end_at_a_size(spark, tmp_path):
+    draw = random.Random(2)
+    rows = [(i, f"http://h/{i}", "".join(draw.choices("abcdefgh <>/", k=3000))) for i in range(200)]
+    rows.append((200, "http://h/large", "".join(draw.choices("abcdefgh", k=100_000))))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    warc.write_warc(pages, str(tmp_path / "w"), archive_bytes=20_000, dictionary_bytes=2048)
+    files = sorted(p.stat().st_size for p in (tmp_path / "w").rglob("part-*"))
+    assert len(files) > 10 and files[-2] < 30_000
+    with pytest.raises(Exception, match="archive is too large"):
+        warc.read_warc(spark, str(tmp_path / "w"), max_archive_bytes=files[-1] - 1).collect()
+    found = warc.read_warc(spark, str(tmp_path / "w"), max_archive_bytes=files[-1]).collect()
+    assert {warc_id(r): bytes(r["payload"]).decode() for r in found} == {i: t for i, _, t in rows}
+    assert not any(r["error"] for r in found)
+    starts = {(r["archive"], r["position"]) for r in found}
+    assert len(starts) == len(rows) and len({a for a, _ in starts}) == len(files)
+
+
+def test_records_above_the_limit_are_not_decoded():
+    record = one_record(block=b"x" * 100_000)
+    stated = zstandard.ZstdCompressor().compress(record)
+    stream = zstandard.ZstdCompressor().compressobj()
+    unstated = stream.compress(record) + stream.flush()
+    for frame in (stated, unstated):
+        assert [(b, e) for _, b, e in warc.read_frames(frame, 50_000)] == [(None, "record too large")]
+        assert [(b, e) for _, b, e in warc.read_frames(frame, 200_000)] == [(record, None)]
+
+
 def warc_id(record):
     return int(record["record_id"].split(":")[2].rstrip(">"))
 
@@ -245,6 +352,24 @@ def test_shard_files_are_pruned_by_dimension(spark, tmp_path):
 # -- 4: URL rules ------------------------------------------------------------------
 
 
+def test_many_rules_of_a_host_cost_no_more_than_few():
+    import time
+
+    def seconds(count):
+        rules = [url_rules.Rule(url_rules.BLOCK, "example.org", f"/{'p' * (i % 40)}{i}") for i in range(count)]
+        trie = url_rules.RuleTrie(rules)
+        urls = [("www.example.org", f"/{'p' * (i % 40)}{i}/x") for i in range(4000)]
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            for host, path in urls:
+                trie.match(host, path)
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    assert seconds(10_000) < 2 * seconds(100) + 0.02
+
+
 def plain_judge(url, rules, default):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     rest = re.split(r"[?#]", rest, maxsplit=1)[0]
@@ -482,7 +607,7 @@ def test_best_paths_against_all_sequences():
     sizes = [0, 5, 1, 0, 4]
     scores = draw.normal(0, 2, (sum(sizes), 3))
     starts = np.cumsum([0, *sizes[:-1]])
-    path = best = language_id.best_paths(scores, starts, 1.5)
+    path = best = language_id.best_paths(scores, np.arange(len(scores)), starts, 1.5)
     for start, size in zip(starts, sizes):
         own = scores[start : start + size]
 
@@ -494,6 +619,53 @@ def test_best_paths_against_all_sequences():
             assert math.isclose(best, total(path[start : start + size].tolist()))
 
 
+def test_only_letters_are_words():
+    assert language_id.letter_runs("½ ² ① Ⅷ 12 _ a½b c² ªº naïve") == ["a", "b", "c", "ªº", "naïve"]
+    model = language_id.learned(*_tables({"en": "the of and", "es": "que los una"}))
+    labeller = language_id.Labeller(model, 12.0)
+    assert list(labeller.label(["½ ² ①", "Ⅷ", "the ½ of"])) == [
+        ("und", 0.0, ""), ("und", 0.0, ""), ("en", 1.0, "en:0:2"),
+    ]
+
+
+def _tables(texts):
+    """Counts of n-grams and of letters by script, as ``fit`` gathers them."""
+    import pyarrow as pa
+
+    counts, letters = [], []
+    for lang, text in texts.items():
+        words = language_id.letter_runs(text)
+        rows, _ = language_id.gram_buckets(words)
+        for bucket, n in zip(*np.unique(rows, return_counts=True)):
+            if bucket < len(language_id.ORDERS) << language_id.BITS:
+                counts.append((lang, int(bucket), int(n)))
+        letters.append((lang, language_id.script_of(words[0][0]), len("".join(words))))
+    tables = []
+    for rows, name in ((counts, "bucket"), (letters, "script")):
+        tables.append(pa.table(dict(zip(("lang", name, "n"), map(list, zip(*rows))))))
+    return tables
+
+
+def test_all_of_seventy_languages_in_four_scripts(spark, monkeypatch):
+    """Invented languages of 40 words each; every one is learned and found again."""
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 70 * 4 * (len(language_id.ORDERS) << 13))
+    alphabets = ["abcdefghijklmnop", "абвгдежзиклмнопр", "αβγδεζηθικλμνξοπ", "אבגדהוזחטיכלמנסע"]
+    draw = random.Random(9)
+    rows = []
+    for n in range(70):
+        words = ["".join(draw.choices(alphabets[n % 4], k=draw.randrange(3, 8))) for _ in range(40)]
+        rows += [(len(rows) + i, " ".join(draw.choices(words, k=50)), f"l{n:02}") for i in range(12)]
+    # A frequent language must not push others out.
+    rows += [(10_000 + i, " ".join(draw.choices(words, k=50)), "l69") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert len(model.languages) == 70 and model.bits == 13 == language_id.model_bits(70)
+    found = language_id.identify_languages(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+    held_out = [r for r in found.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    assert len({r["lang"] for r in held_out}) > 65
+    assert sum(r["lang"] == r["lang_pred"] for r in held_out) >= 0.97 * len(held_out)
+
+
 def test_languages_held_out_and_mixed(spark):
     docs = queries.table(spark, FOLDER.replace("0.001", "0.01"), "documents")
     model = language_id.fit(docs)
