@@ -15,44 +15,58 @@ from pyspark.sql import functions as F
 from loanloom.llm import decontamination, factorisation, hilbert, mixing, simhash
 from loanloom.llm.common import shared_folder
 
-#: Near copies: texts that share 80 in 100 of their five-word shingles. These differ in
-#: 78 of 512 bits on average, give or take 8, so a radius of 112 leaves out next to
-#: none; the candidates are verified by their shingles. Keys of 15 bits in 64 tables
-#: bring together over 99 in 100 of them, nearer ones surely.
-SHINGLE, PARTS, RADIUS, PERCENT = 5, 8, 112, 80
-KEYS = simhash.sampled_keys(64 * PARTS, 15, 64)
+#: Near copies, as the operator's contract has them: four-word shingles, and at most four
+#: of 64 bits apart, which its tables find without a miss.
+SHINGLE, RADIUS = 4, 4
 SHARDS, BITS = 40, 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out what the factorisation machine holds for low quality."""
+    """Leaves out what the factorisation machine holds for low quality.
+
+    Null texts count as empty; rows alike share their fate, and columns of any name keep
+    their values. Without labels every score is a half, and all rows stay.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = factorisation.classify_quality(docs, labels)
-    return scored.filter("predicted = 1").select(*_columns(docs))
+    return factorisation.good_documents(docs, labels)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near copies."""
-    components = simhash.copy_components(
-        docs, keys=KEYS, radius=RADIUS, shingle=SHINGLE, parts=PARTS, percent=PERCENT
-    )
+    """Keeps the smallest id of each group of near copies.
+
+    Groups are what links of near fingerprints reach. Texts without words, null ones
+    too, are one group; of several rows with the smallest id one stays, and a null id
+    ranks last. All columns are kept.
+    """
+    components = simhash.simhash_components(docs, shingle=SHINGLE, radius=RADIUS)
     return simhash.one_of_each(docs, components)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents that hold a benchmark item, also with other values."""
+    """Leaves out documents that hold a benchmark item, also with other values.
+
+    Null and empty texts hold none; rows alike go together, a null id does not matter.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.without_leaks(docs, decontamination.leaks(docs, items))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their source takes them."""
+    """Documents as often as the mix of their source takes them.
+
+    Texts without words have no size and go; a null source is one of the sources; rows
+    alike are taken each on its own.
+    """
     report, _ = mixing.mix(docs)
     return mixing.resampled(docs, report)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds ``curve``, ``shard`` and ``slot``."""
+    """Adds ``curve``, ``shard`` and ``slot``, in the place of columns of these names.
+
+    Nulls have a cell of their own in every dimension; ties are ordered by id, source,
+    language and length, rows alike in these in any order. A table without rows gives none.
+    """
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     dimensions = [
         hilbert.by_value(F.col("source"), BITS),
@@ -64,10 +78,6 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(docs, dimensions, order, SHARDS, BITS)
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality),
     ("near_copies", near_copies),
