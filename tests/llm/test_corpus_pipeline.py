@@ -5,6 +5,7 @@ import re
 
 import corpus_pipeline
 import pytest
+import xxhash
 from corpus_fixtures import FOLDER, odd  # noqa: F401
 from loanloom.llm import queries, simhash
 from pyspark.sql import functions as F
@@ -47,95 +48,68 @@ def test_quality_keeps_good_rows(spark):
     assert sum(i in kept for i in bad) <= 0.1 * len(bad)
 
 
-def shingles(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+def plain_fingerprint(text):
+    """Contract of the operator, spelled out."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(
+        1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)
+    )
 
 
-def test_near_copies_against_shingles(spark, tmp_path):
-    folder = FOLDER.replace("0.001", "0.01")
-    docs = queries.table(spark, folder, "documents").filter("n_chars > 400").limit(200).collect()
-    changed, expected = [], []
-    for n, r in enumerate(docs):
-        words = r["text"].split(" ")
-        for at in range(0, max(1, len(words) // 100)):
-            words[(at * 97 + 3) % len(words)] = "changed"
-        text = " ".join(words)
-        one, two = shingles(r["text"]), shingles(text)
-        if len(one & two) / len(one | two) >= 0.85:
-            changed.append((100_000 + n, text, r["lang"], r["source"], len(text)))
-            expected.append(100_000 + n)
-    rows = [tuple(r) for r in docs] + [tuple(docs[0])] + changed
-    table = spark.createDataFrame(rows, queries.table(spark, folder, "documents").schema)
-    found = STAGES["near_copies"](spark, written(spark, table, tmp_path, "near"), folder)
-    ids = [r["doc_id"] for r in found.collect()]
-    assert len(ids) == len(set(ids))
-    caught = sum(i not in set(ids) for i in expected)
-    assert len(expected) > 100 and caught >= 0.95 * len(expected)
-    # What goes has a near copy that stays or went for one: no unrelated text is lost.
-    every = {r[0]: shingles(r[1]) for r in rows}
-    for gone in set(every) - set(ids):
-        assert any(
-            len(every[gone] & s) / len(every[gone] | s) >= 0.5 for i, s in every.items() if i != gone
-        )
-
-
-def test_near_copies_are_verified(spark, tmp_path):
+def test_near_copies_against_all_pairs(spark, tmp_path):
+    """Groups by all pairs of fingerprints; the smallest id of each stays, whole."""
     draw = random.Random(5)
-    words = [f"w{i}" for i in range(4000)]
-    texts, near = {}, set()
-    for n in range(60):
-        own = draw.choices(words, k=200)
-        texts[n] = " ".join(own)
-        for copy, changes in ((1000 + n, 4), (2000 + n, 6)):
-            other = list(own)
-            for k in range(changes):
-                other[10 + 30 * k] = f"x{copy}"
-            texts[copy] = " ".join(other)
-        near.add(1000 + n)
-    # One passage many times, and something else behind it: equal bits, other texts.
-    passage = " ".join(draw.choices(words, k=12)) + " "
-    for n in range(3000, 3004):
-        texts[n] = passage * 60 + " ".join(draw.choices(words, k=60))
-    rows = [(n, t, "en", "a", len(t)) for n, t in texts.items()]
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    docs = written(spark, spark.createDataFrame(rows, schema), tmp_path, "verified")
-    kept = {r["doc_id"] for r in STAGES["near_copies"](spark, docs, FOLDER).collect()}
-    sets = {n: shingles(t) for n, t in texts.items()}
-    for n in range(60):
-        one, two, three = sets[n], sets[1000 + n], sets[2000 + n]
-        assert len(one & two) / len(one | two) >= 0.8
-        assert max(len(three & s) / len(three | s) for s in (one, two)) < 0.8
-    assert set(texts) - kept == near
-
-
-def test_verified_groups_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "CHECKED", 7)
-    draw = random.Random(6)
-    base = [f"w{i}" for i in range(100)]
-    texts = [" ".join("z" if draw.random() < 0.02 else w for w in base) for _ in range(120)]
-    texts = sorted(set(texts))
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    keyed = docs.select("text", F.xxhash64("text").alias("text_key"))
-    groups = keyed.select("text_key", F.lit(1).cast("long").alias("group"))
-    links = simhash.verified_links(docs, groups, "text", 5, 80)
-    labels = {r["node"]: r["label"] for r in simhash.component_labels(links).collect()}
-    key = {r["text"]: r["text_key"] for r in keyed.collect()}
-    forest = simhash.Forest(len(texts))
-    sets = [shingles(t) for t in texts]
-    for i, one in enumerate(sets):
+    folder = FOLDER.replace("0.001", "0.01")
+    table = queries.table(spark, folder, "documents")
+    rows = [tuple(r) for r in table.filter("n_chars > 2000").limit(150).collect()]
+    for r in list(rows):
+        words = r[1].split(" ")
+        for _ in range(draw.randrange(4)):
+            words[draw.randrange(len(words))] = "changed"
+        rows.append((100_000 + r[0], " ".join(words), *r[2:]))
+    rows += [rows[0], (None, rows[1][1], "en", "a", 1), (7, "", None, None, 0), (None, None, None, None, None)]
+    rows += [(500_000 + i, f"one two three four {i}", "en", "a", 20) for i in range(30)]
+    prints = [plain_fingerprint(r[1]) for r in rows]
+    part = list(range(len(rows)))
+
+    def root(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for i in range(len(rows)):
         for j in range(i):
-            if len(one & sets[j]) * 5 >= 4 * len(one | sets[j]):
-                forest.link([i], [j])
-    roots = forest.roots().tolist()
-    parts = {}
-    for root, text in zip(roots, texts):
-        parts.setdefault(root, set()).add(key[text])
-    found = {}
-    for k in key.values():
-        found.setdefault(labels.get(k, k), set()).add(k)
-    assert sorted(map(sorted, found.values())) == sorted(map(sorted, parts.values()))
-    assert len(parts) > 1 and max(map(len, parts.values())) > 14
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
+                part[root(i)] = root(j)
+    groups = {}
+    for i, r in enumerate(rows):
+        groups.setdefault(root(i), []).append((r[0] is None, r[0] or 0))
+    docs = written(spark, spark.createDataFrame(rows, table.schema), tmp_path, "near")
+    found = STAGES["near_copies"](spark, docs, folder).collect()
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in found)
+    assert kept == sorted(min(g) for g in groups.values())
+    assert 100 < len(groups) < len(rows) - 50
+    assert {tuple(r) for r in found} <= set(rows)
+
+
+def test_one_large_group_of_near_copies(spark, tmp_path):
+    """Twenty thousand texts of one group: rows stay linear, one text stays."""
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for n in range(20_000):
+        words = list(base)
+        words[n % 400] = f"x{n}"
+        rows.append((n, " ".join(words)))
+    docs = written(spark, spark.createDataFrame(rows, "doc_id long, text string"), tmp_path, "large")
+    found = simhash.simhash_components(docs)
+    groups = found.groupBy("component_id").count().orderBy(F.desc("count")).collect()
+    assert groups[0]["component_id"] == 0 and groups[0]["count"] > 19_000
+    links = simhash.near_links(found.select("fp").distinct(), simhash.block_keys(64, 6, 2), 4)
+    assert links.count() <= 2 * 15 * found.select("fp").distinct().count()
 
 
 def test_leaks_go(spark):
