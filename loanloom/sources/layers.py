@@ -1,19 +1,27 @@
 """Stored tables: one folder per layer, replaced in full on every write.
 
-A write goes to a version folder of its own and only then becomes the table, by one
-small file that names it. A job that fails leaves the table as it was, and readers that
-were planned on the version before can still finish; older versions are removed.
+A write goes to a version folder of its own and only then becomes the table, by a
+pointer that names it. Pointers are numbered and never changed: the next number is
+created only if no file of that name exists, so of two writers one takes it and the other
+the number after, and a reader sees a whole pointer or the one before. A job that fails
+leaves the table as it was. Removed are versions that older pointers name, never one that
+is still being written; readers that were planned on the version before can finish.
+
+Listing and creating pointers goes through the JVM's file systems (``_files``), which a
+Spark Connect session does not offer; nothing else here does.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Names a table's present version; hidden from readers of the folder.
-POINTER = "_current"
+#: Pointers to versions, by number; hidden from readers of the folder.
+POINTER = "_pointer-"
+#: Pointers whose versions stay: the present one and the one before.
+KEPT = 2
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,6 +42,7 @@ class Layers:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self._owned = root is None
+        self._bucketed: list[str] = []
         self.root = root or f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
 
     def path(self, layer: str, name: str) -> str:
@@ -41,10 +50,9 @@ class Layers:
 
     def current(self, layer: str, name: str) -> str:
         """Folder of the table's present version."""
-        version = self._current(layer, name)
-        if version is None:
-            raise FileNotFoundError(f"no table {layer}.{name} in {self.root}")
-        return f"{self.path(layer, name)}/{version}"
+        for _, version in self._pointers(layer, name):
+            return f"{self.path(layer, name)}/{version}"
+        raise FileNotFoundError(f"no table {layer}.{name} in {self.root}")
 
     def write(
         self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()
@@ -54,19 +62,60 @@ class Layers:
         A stored table survives lost executors, is pruned by column and gives the
         planner its true size.
         """
-        if partition_by:
-            # Rebalancing gathers each value's rows but splits large ones, so the
-            # write makes neither tiny files nor one huge task.
-            writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-        else:
-            writer = df.write
         version = f"v-{uuid.uuid4().hex}"
-        writer.parquet(f"{self.path(layer, name)}/{version}")
-        before = self._current(layer, name)
-        self._point(layer, name, version)
-        self._remove_others(layer, name, {version, before})
+
+        def save(rows: DataFrame) -> None:
+            writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
+            writer.parquet(f"{self.path(layer, name)}/{version}")
+
+        # Rebalancing gathers each value's rows but splits large ones, so the
+        # write makes neither tiny files nor one huge task.
+        dealt = df.hint("rebalance", *partition_by) if partition_by else df
+        self._replace(dealt, layer, name, version, save)
         return self.read(df.schema, layer, name)
 
+    def write_bucketed(
+        self, df: DataFrame, layer: str, name: str, key: str, buckets: int | None = None
+    ) -> DataFrame:
+        """Like ``write``, dealt and sorted by the key into buckets.
+
+        Tables of one bucket count join, group and window by the key without another
+        shuffle. The count is the session's shuffle partitions unless given. One file a
+        bucket, so no key may hold a large share of the rows: sum them first.
+        """
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        version = f"v-{uuid.uuid4().hex}"
+
+        def save(rows: DataFrame) -> None:
+            (
+                rows.write.bucketBy(buckets, key)
+                .sortBy(key)
+                .option("path", f"{self.path(layer, name)}/{version}")
+                .format("parquet")
+                .saveAsTable(self._table(version))
+            )
+
+        # A bucket is what the hash puts into one partition, so each makes one file.
+        self._replace(df.repartition(buckets, key), layer, name, version, save)
+        self._bucketed.append(self._table(version))
+        return self.spark.table(self._table(version))
+
+    def _replace(
+        self, df: DataFrame, layer: str, name: str, version: str, save: Callable
+    ) -> None:
+        try:
+            self._written(df, name, save)
+        except BaseException:
+            # What a writer that is killed leaves behind is named by no pointer.
+            files, folder = self._files(f"{self.path(layer, name)}/{version}")
+            files.delete(folder, True)
+            raise
+        self._publish(layer, name, version)
+
+    def _written(self, df: DataFrame, name: str, save: Callable[[DataFrame], None]) -> None:
+        """Runs the job that writes a table's rows, dealt as they are written."""
+        save(df)
+
     def read(self, schema, layer: str, name: str) -> DataFrame:
         return (
             self.spark.read.schema(schema)
@@ -76,40 +125,70 @@ class Layers:
 
     def close(self) -> None:
         """Removes the tables, unless their folder was given by the caller."""
+        for table in self._bucketed:
+            # The catalog's entry only: the files are the folder's.
+            self.spark.sql(f"drop table if exists {table}")
+        self._bucketed.clear()
         if self._owned:
             files, root = self._files(self.root)
             files.delete(root, True)
 
+    @staticmethod
+    def _table(version: str) -> str:
+        return f"stored_{version.removeprefix('v-')}"
+
     def _files(self, path: str):
         """The path and its file system, as the cluster is configured for it."""
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
         return hadoop.getFileSystem(configuration), hadoop
 
-    def _pointer(self, layer: str, name: str) -> str:
-        return f"{self.path(layer, name)}/{POINTER}"
-
-    def _current(self, layer: str, name: str) -> str | None:
-        files, pointer = self._files(self._pointer(layer, name))
-        if not files.exists(pointer):
-            return None
-        stream = files.open(pointer)
+    def _numbers(self, layer: str, name: str) -> list[int]:
+        """Numbers of all pointers, the latest first."""
+        files, folder = self._files(self.path(layer, name))
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        numbers = [n.removeprefix(POINTER) for n in names if n.startswith(POINTER)]
+        return sorted((int(n) for n in numbers if n.isdigit()), reverse=True)
+
+    def _pointer(self, layer: str, name: str, number: int) -> str:
+        return f"{self.path(layer, name)}/{POINTER}{number:012d}"
+
+    def _pointers(self, layer: str, name: str):
+        """Number and version of the whole pointers, the latest first."""
+        for number in self._numbers(layer, name):
+            files, pointer = self._files(self._pointer(layer, name, number))
+            stream = files.open(pointer)
+            try:
+                if files.getFileStatus(pointer).getLen():
+                    yield number, stream.readUTF()
+            finally:
+                stream.close()
+
+    def _publish(self, layer: str, name: str, version: str) -> None:
+        """Makes the version the table's present one, then removes outdated ones."""
+        number = max(self._numbers(layer, name), default=0) + 1
+        while not self._claim(layer, name, number, version):
+            number += 1
+        files, folder = self._files(self.path(layer, name))
+        for old, outdated in list(self._pointers(layer, name))[KEPT:]:
+            for gone in (f"{folder}/{outdated}", self._pointer(layer, name, old)):
+                files.delete(self._files(gone)[1], True)
+
+    def _claim(self, layer: str, name: str, number: int, version: str) -> bool:
+        """Creates the pointer of a number; false if it is taken."""
+        files, pointer = self._files(self._pointer(layer, name, number))
+        if files.exists(pointer):
+            return False
         try:
-            return stream.readUTF()
-        finally:
-            stream.close()
-
-    def _point(self, layer: str, name: str, version: str) -> None:
-        files, pointer = self._files(self._pointer(layer, name))
-        stream = files.create(pointer, True)
+            stream = files.create(pointer, False)
+        except Exception as error:
+            if "already exists" in str(error):
+                return False
+            raise
         try:
             stream.writeUTF(version)
         finally:
             stream.close()
-
-    def _remove_others(self, layer: str, name: str, kept: set[str | None]) -> None:
-        files, folder = self._files(self.path(layer, name))
-        for status in files.listStatus(folder):
-            path = status.getPath()
-            if path.getName() != POINTER and path.getName() not in kept:
-                files.delete(path, True)
+        return True

@@ -62,6 +62,56 @@ def test_layers_keep_the_table_when_a_write_fails(spark):
     assert not Path(layers.root).exists()
 
 
+def test_readers_pass_over_a_pointer_without_content(spark, tmp_path):
+    """A writer that died between creating its pointer and writing it."""
+    layers = Layers(spark, str(tmp_path))
+    old = layers.write(spark.range(3), "silver", "t")
+    (tmp_path / "silver" / "t" / f"_pointer-{2:012d}").touch()
+    assert layers.read(old.schema, "silver", "t").count() == 3
+    new = layers.write(spark.range(5), "silver", "t")
+    assert new.count() == 5 and layers.read(old.schema, "silver", "t").count() == 5
+
+
+def test_two_writers_leave_each_other_alone(spark, tmp_path):
+    """One writes and publishes while the other's job still runs."""
+    one, two = Layers(spark, str(tmp_path)), Layers(spark, str(tmp_path))
+    one.write(spark.range(1), "silver", "t")
+    publish = one._publish
+
+    def late(layer, name, version):
+        for n in (2, 3, 4):
+            two.write(spark.range(n), "silver", "t")
+        publish(layer, name, version)
+
+    one._publish = late
+    last = one.write(spark.range(7), "silver", "t")
+    assert last.count() == 7 and two.read(last.schema, "silver", "t").count() == 7
+    # The number that both wanted is taken once.
+    two._numbers = lambda layer, name: [4]
+    two.write(spark.range(9), "silver", "t")
+    del two._numbers
+    assert two.read(last.schema, "silver", "t").count() == 9
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark):
+    layers = Layers(spark)
+    rows = spark.range(1000).selectExpr("id % 100 as k", "id as v")
+    left = layers.write_bucketed(rows, "silver", "a", "k")
+    right = layers.write_bucketed(rows, "silver", "b", "k")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sums = left.groupBy("k").agg({"v": "sum"}).join(right, "k")
+    assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+    assert sums.count() == 1000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(list(Path(layers.current("silver", "a")).glob("part-*"))) <= 8
+    assert spark.read.parquet(layers.current("silver", "b")).count() == 1000
+    tables = list(layers._bucketed)
+    layers.close()
+    assert not any(spark.catalog.tableExists(t) for t in tables)
+    assert not Path(layers.root).exists()
+
+
 def test_close_leaves_a_given_folder(spark, tmp_path):
     layers = Layers(spark, str(tmp_path))
     layers.write(spark.range(3), "silver", "t")
