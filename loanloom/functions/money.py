@@ -11,20 +11,42 @@ MONEY = "decimal(18,2)"
 USD = "decimal(18,6)"
 
 
-#: Full shapes of what a strict cast takes.
-STRICT = {
-    "bigint": r"^[+-]?[0-9]+$",
-    "int": r"^[+-]?[0-9]+$",
-    "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
-    MONEY: r"^[+-]?[0-9]+([.][0-9]*)?$",
-    USD: r"^[+-]?[0-9]+([.][0-9]*)?$",
-}
+def _only_ascii(value: Column) -> Column:
+    return F.octet_length(value) == F.length(value)
+
+
+def _shaped(value: Column, kind: str) -> Column:
+    """Whether trimmed text has the type's full shape, for text that the cast takes.
+
+    Only shapes that a cast takes beyond the full one need to be told apart, by plain
+    comparisons: short dates and dates with a rest, exponents, a missing whole part.
+    """
+    if kind in ("bigint", "int"):
+        return F.lit(True)
+    if kind == "date":
+        return (
+            (F.length(value) == 10)
+            & (F.substring(value, 5, 1) == "-")
+            & (F.substring(value, 8, 1) == "-")
+            & F.substring(value, 10, 1).between("0", "9")
+        )
+    return (
+        _only_ascii(value)
+        & ~F.contains(value, F.lit("e"))
+        & ~F.contains(value, F.lit("E"))
+        & F.substring(F.ltrim(value, F.lit("+-")), 1, 1).between("0", "9")
+    )
 
 
 def readable(text: Column, kind: str) -> Column:
-    """The value of trimmed text of the type's full shape; anything else is null."""
+    """The value of trimmed text of the type's full shape; anything else is null.
+
+    ``bigint``, ``int``: a sign and digits. ``date``: yyyy-MM-dd. Decimals: a sign,
+    digits, and a point with further digits or none.
+    """
     value = F.trim(text)
-    return F.when(value.rlike(STRICT[kind]), value.try_cast(kind))
+    read = value.try_cast(kind)
+    return read if kind in ("bigint", "int") else F.when(_shaped(value, kind), read)
 
 
 def strict(text: Column, kind: str) -> Column:
@@ -32,9 +54,8 @@ def strict(text: Column, kind: str) -> Column:
 
     Whether the session has ANSI mode on makes no difference. Null stays null.
     """
-    value = readable(text, kind)
-    broken = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text))
-    return F.when(text.isNull() | value.isNotNull(), value).otherwise(broken.cast(kind))
+    broken = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(kind)
+    return F.coalesce(readable(text, kind), F.when(text.isNotNull(), broken))
 
 
 def parse_money(text: Column) -> Column:
@@ -48,8 +69,13 @@ def parse_grouped_money(text: Column) -> Column:
 
 
 def from_minor_units(text: Column) -> Column:
-    """Whole cents as text → decimal; unreadable text is an error."""
-    return (text.cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
+    """Whole cents as text → decimal; text that is not a whole number is an error.
+
+    A fraction of a cent or an exponent is refused, whatever the session's ANSI mode.
+    """
+    cents = F.trim(text).try_cast("bigint").cast("decimal(20,0)")
+    broken = F.raise_error(F.concat(F.lit("not whole cents: "), text)).cast(MONEY)
+    return F.coalesce((cents / F.lit(100)).try_cast(MONEY), F.when(text.isNotNull(), broken))
 
 
 def to_usd(amount: Column, units_per_usd: Column, as_type: str = USD) -> Column:
