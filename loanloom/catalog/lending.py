@@ -14,22 +14,24 @@ from loanloom.sources.layers import Layers
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# The loaded extracts of each session and folder. Queries share them as they would
-# share source tables; everything computed from them is computed per query.
+# The loaded extracts of each session and folder, and the tables stored from them.
+# Queries share both as those of one build share its silver layer.
 _BRONZE: dict[tuple[str, str], RawTables] = {}
+_LENDING: dict[tuple[str, str], Lending] = {}
 
 
 _OPENED: list[Layers] = []
 
 
 def opened(spark: SparkSession) -> Layers:
-    """A folder for one query's own tables, until ``release``."""
+    """A folder for queries' tables, until ``release``."""
     _OPENED.append(Layers(spark))
     return _OPENED[-1]
 
 
 def release() -> None:
     """Removes the tables that queries stored so far; their results must be read by then."""
+    _LENDING.clear()
     while _OPENED:
         _OPENED.pop().close()
 
@@ -42,7 +44,10 @@ def extracts(spark: SparkSession, folder: str) -> RawTables:
 
 
 def lending(spark: SparkSession, folder: str) -> Lending:
-    return Lending(extracts(spark, folder), CUTOFF, opened(spark))
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LENDING:
+        _LENDING[key] = Lending(extracts(spark, folder), CUTOFF, opened(spark))
+    return _LENDING[key]
 
 
 def _table(name: str) -> Query:

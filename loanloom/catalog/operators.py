@@ -15,17 +15,19 @@ from loanloom.functions.money import (
     parse_money,
     ratio,
     readable,
+    strict,
     to_usd,
 )
 from loanloom.functions.text import blank_to_null
 from loanloom.operators import quality
 from loanloom.operators.allocation import (
-    allocate,
+    allocation_of,
     completed_at,
     due_ranges,
     effective_at,
     effective_span,
     received_by_month_end,
+    received_of,
 )
 from loanloom.operators.allocation import month_end_calendar as calendar_of
 from loanloom.operators.change_log import (
@@ -76,12 +78,9 @@ def bronze_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 def layer_write_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The month-end table stored by cutoff, replaced, and one month read back."""
     tables = lending(spark, folder)
-    loans, history = tables.stored_loan, tables.stored_payment_history
-    installments = tables.raw["raw_installments"]
-    earlier = date(1998, 12, 31)
-    first = plans.int_installment_status(loans, installments, history, earlier)
+    first = plans.int_installment_status(tables.ledger_at(date(1998, 12, 31)))
     tables.layers.write(first, "silver", "int_installment_status", ["cutoff_date"])
-    full = plans.int_installment_status(loans, installments, history, CUTOFF)
+    full = plans.int_installment_status(tables.ledger)
     stored = tables.layers.write(
         full, "silver", "int_installment_status", ["cutoff_date"]
     )
@@ -158,10 +157,12 @@ def dpd_bucket(spark: SparkSession, folder: str) -> DataFrame:
 def sentinel_resolution(spark: SparkSession, folder: str) -> DataFrame:
     raw = lending(spark, folder).raw
     events = plans.typed_application_events(raw["raw_applications_cdc"])
-    last = latest_state(
-        events, ["application_id"], ["event_at_utc", "ingested_at_utc", "op"]
-    ).select("application_id", "customer_id")
-    master = raw["raw_customers"].select(F.col("customer_id").cast("bigint"))
+    last = latest_state(events, ["application_id"], plans.EVENT_ORDER).select(
+        "application_id", "customer_id"
+    )
+    master = raw["raw_customers"].select(
+        strict(F.col("customer_id"), "bigint").alias("customer_id")
+    )
     known = known_id_per_key(
         events, "application_id", "customer_id", plans.UNKNOWN_CUSTOMER, master
     )
@@ -289,30 +290,18 @@ def effective_spans(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def fifo_settlement(spark: SparkSession, folder: str) -> DataFrame:
     """Instant at which each installment was completed, as of the cutoff."""
-    tables = lending(spark, folder)
-    ids = tables.stored_loan.select("loan_id")
-    plan = due_ranges(
-        plans.typed_installments(tables.raw["raw_installments"])
-        .distinct()
-        .join(ids, "loan_id", "left_semi")
-    )
-    spans = effective_at(tables.stored_payment_history, CUTOFF)
-    return completed_at(plan, plan, spans, ids, one_epoch=True).select(
+    book = lending(spark, folder).ledger
+    return completed_at(book.plan, book, one_epoch=True).select(
         "loan_id", "installment_number", "settlement_at_utc"
     )
 
 
 @query
 def fifo_allocation(spark: SparkSession, folder: str) -> DataFrame:
-    tables = lending(spark, folder)
-    return allocate(
-        tables.stored_loan,
-        plans.typed_installments(tables.raw["raw_installments"]),
-        tables.stored_payment_history,
-        CUTOFF,
-        final_only=True,
-        with_settlement=False,
-    ).select("loan_id", "installment_number", "amount_due", "paid_amount")
+    status = allocation_of(
+        lending(spark, folder).ledger, final_only=True, with_settlement=False
+    )
+    return status.select("loan_id", "installment_number", "amount_due", "paid_amount")
 
 
 @query
@@ -566,13 +555,7 @@ def dq_fifo_conservation(spark: SparkSession, folder: str) -> DataFrame:
     surplus = (loan % 97 == 0) & (number == 1)
     reopened = (loan % 89 == 0) & (number == 1)
     negative = (loan % 83 == 0) & (number == 2)
-    status = allocate(
-        tables.stored_loan,
-        plans.typed_installments(tables.raw["raw_installments"]),
-        tables.stored_payment_history,
-        CUTOFF,
-        with_settlement=False,
-    ).withColumns(
+    status = allocation_of(tables.ledger, with_settlement=False).withColumns(
         {
             "paid_amount": F.when(surplus, paid + 1)
             .when(reopened, 0)
@@ -584,9 +567,7 @@ def dq_fifo_conservation(spark: SparkSession, folder: str) -> DataFrame:
             .otherwise(left),
         }
     )
-    return quality.fifo_violations(
-        status, tables.stored_loan, tables.stored_payment_history, CUTOFF
-    )
+    return quality.fifo_violations(status, received_of(tables.ledger))
 
 
 @query

@@ -12,10 +12,16 @@ reversals of the loan. Loans without reversals, nearly all of them, have one.
 Hot loans: payments are summed per loan and day (or month) before any window, so
 a window never holds more than one loan's calendar, whatever its payment count.
 Amounts must not be negative, which the quality checks verify.
+
+Everything starts from a *ledger*: plan and paid days of the valid loans. Stored in
+buckets by loan, all that follows per loan (windows, sums, joins) runs where the rows
+lie, and payments are read and summed once for all consumers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -97,10 +103,12 @@ def received_by_month_end(payments: DataFrame, cutoff: date) -> DataFrame:
 
     Payments with the same span are summed before they are repeated.
     """
-    sums = (
-        effective_span(payments, cutoff)
-        .groupBy("loan_id", "counts_from", "counts_until")
-        .agg(F.sum("amount").alias("amount"))
+    return _received(effective_span(payments, cutoff), cutoff)
+
+
+def _received(spans: DataFrame, cutoff: date) -> DataFrame:
+    sums = spans.groupBy("loan_id", "counts_from", "counts_until").agg(
+        F.sum("amount").alias("amount")
     )
     return (
         _each_month_end(sums, cutoff)
@@ -109,22 +117,113 @@ def received_by_month_end(payments: DataFrame, cutoff: date) -> DataFrame:
     )
 
 
-def total_steps(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
+def paid_days(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
+    """Payments summed per loan, day and span, for the given loans.
+
+    ``first_at`` and ``last_at`` bound the instants merged into a day. The sums come
+    before the loans, so a hot loan is at most its calendar by then.
+    """
+    return (
+        spans.groupBy("loan_id", "paid_date", "counts_from", "counts_until")
+        .agg(
+            F.sum("amount").cast("decimal(28,2)").alias("amount"),
+            F.min("paid_at_utc").alias("first_at"),
+            F.max("paid_at_utc").alias("last_at"),
+        )
+        .join(loan_ids, "loan_id", "left_semi")
+    )
+
+
+def paid_instants(spans: DataFrame, days: DataFrame) -> DataFrame:
+    """Payments summed per instant and span, for days whose payments differ in instant."""
+    mixed = (
+        days.groupBy("loan_id", "paid_date")
+        .agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+        .where("first_at < last_at")
+        .select("loan_id", "paid_date")
+    )
+    return (
+        spans.select("loan_id", "paid_date", "paid_at_utc", "counts_until", "amount")
+        .join(mixed, ["loan_id", "paid_date"], "left_semi")
+        .groupBy("loan_id", "paid_date", "counts_until", "paid_at_utc")
+        .agg(F.sum("amount").cast("decimal(28,2)").alias("amount"))
+    )
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """What allocation needs of the valid loans, each table ready to meet the others.
+
+    ``loans``: loan_id, disbursement_date. ``plan``: installments with their due range.
+    ``days``: see ``paid_days``. ``instants``: see ``paid_instants``.
+    """
+
+    loans: DataFrame
+    plan: DataFrame
+    days: DataFrame
+    instants: DataFrame
+    cutoff: date
+
+    def of(self, installments: Column) -> Ledger:
+        """The ledger with some installments only; their due ranges stay."""
+        return Ledger(
+            self.loans, self.plan.where(installments), self.days, self.instants, self.cutoff
+        )
+
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def ledger(
+    loans: DataFrame,
+    installments: DataFrame,
+    payments: DataFrame,
+    cutoff: date,
+    bucketed: Callable[[DataFrame, str], DataFrame] = _as_is,
+    stored: Callable[[DataFrame, str], DataFrame] = _as_is,
+) -> Ledger:
+    """The ledger through a cutoff; the callables may store its tables.
+
+    ``loans`` needs loan_id and disbursement_date, ``installments`` the typed
+    plan, ``payments`` the settled history with reversal instants. Plan and days hold no
+    more than a plan and a calendar of one loan, so buckets by loan suit them; instants
+    of a hot loan may be many and are left as they come.
+    """
+    ids = loans.select("loan_id")
+    plan = due_ranges(installments.distinct().join(ids, "loan_id", "left_semi"))
+    known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
+    spans = effective_span(known, cutoff)
+    days = bucketed(paid_days(spans, ids), "paid_days")
+    return Ledger(
+        loans.select("loan_id", "disbursement_date"),
+        bucketed(plan, "due_ranges"),
+        days,
+        stored(paid_instants(spans, days), "paid_instants"),
+        cutoff,
+    )
+
+
+def received_of(book: Ledger) -> DataFrame:
+    """Effective payment total per valid loan and month-end."""
+    return _received(book.days, book.cutoff)
+
+
+def total_steps(days: DataFrame) -> DataFrame:
     """Total paid per loan as steps ``[step_from, step_to)`` over month-ends.
 
     Begins with a zero step before the first arrival. ``epoch_from`` is the
-    loan's latest reversal month up to the step. Payments are summed per loan and
-    month before they meet the loans, so a hot loan is a few rows by then.
+    loan's latest reversal month up to the step.
     """
     arrival = F.struct(
         F.col("counts_from").alias("month"), F.col("amount"), F.lit(False).alias("gone")
     )
     reversal = F.struct(
         F.col("counts_until").alias("month"),
-        (-F.col("amount")).cast("decimal(18,2)").alias("amount"),
+        (-F.col("amount")).cast("decimal(28,2)").alias("amount"),
         F.lit(True).alias("gone"),
     )
-    changes = spans.select(
+    changes = days.select(
         "loan_id",
         F.inline(
             F.when(F.col("counts_until").isNull(), F.array(arrival)).otherwise(
@@ -132,10 +231,8 @@ def total_steps(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
             )
         ),
     )
-    monthly = (
-        changes.groupBy("loan_id", "month")
-        .agg(F.sum("amount").alias("change"), F.bool_or("gone").alias("gone"))
-        .join(loan_ids, "loan_id", "left_semi")
+    monthly = changes.groupBy("loan_id", "month").agg(
+        F.sum("amount").alias("change"), F.bool_or("gone").alias("gone")
     )
     order = Window.partitionBy("loan_id").orderBy("month")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -195,28 +292,15 @@ def _per_epoch(daily: DataFrame) -> DataFrame:
     )
 
 
-def daily_ranges(
-    spans: DataFrame, loan_ids: DataFrame, one_epoch: bool = False
-) -> DataFrame:
+def daily_ranges(days: DataFrame, one_epoch: bool = False) -> DataFrame:
     """Running paid ranges ``(paid_before, paid_after]`` per loan, epoch and day.
 
-    ``first_at`` and ``last_at`` bound the instants merged into a day. Payments
-    are merged per loan and day before they meet the loans. ``one_epoch`` says
-    that no span ends, as at a single month-end.
+    ``one_epoch`` says that no span ends, as at a single month-end.
     """
-    daily = (
-        spans.groupBy("loan_id", "paid_date", "counts_from", "counts_until")
-        .agg(
-            F.sum("amount").alias("amount"),
-            F.min("paid_at_utc").alias("first_at"),
-            F.max("paid_at_utc").alias("last_at"),
-        )
-        .join(loan_ids, "loan_id", "left_semi")
-    )
     if one_epoch:
-        in_epoch = daily.withColumn("epoch_from", F.expr(ALWAYS))
+        in_epoch = days.withColumn("epoch_from", F.expr(ALWAYS))
     else:
-        in_epoch = _per_epoch(daily)
+        in_epoch = _per_epoch(days)
     so_far = (
         Window.partitionBy("loan_id", "epoch_from")
         .orderBy("paid_date")
@@ -229,23 +313,19 @@ def daily_ranges(
 
 
 def completed_at(
-    due: DataFrame,
-    plan: DataFrame,
-    spans: DataFrame,
-    loan_ids: DataFrame,
-    one_epoch: bool = False,
-    how: str = "inner",
+    due: DataFrame, book: Ledger, one_epoch: bool = False, how: str = "inner"
 ) -> DataFrame:
     """Add when each installment was completed, once per epoch of its loan.
 
-    ``due`` has loan_id, due_end and any other columns of the installments in
-    ``plan``. Finds the day whose paid range covers the installment's end. If
+    ``due`` has loan_id, due_end and any other columns of installments in the ledger's
+    plan. Finds the day whose paid range covers the installment's end. If
     payments of different instants share that day, the instant is looked up among
-    the day's payments; only such days are read at full detail. Adds epoch_from,
+    the day's instants; only such days have any. Adds epoch_from,
     counts_from and settlement_at_utc; ``how="left"`` keeps installments that were
-    never completed.
+    never completed. With ``one_epoch`` only what still counts at the cutoff does.
     """
-    days = daily_ranges(spans, loan_ids, one_epoch)
+    paid = book.days.where("counts_until is null") if one_epoch else book.days
+    days = daily_ranges(paid, one_epoch)
     covers = (
         (F.col("loan_id") == F.col("_day_loan"))
         & (F.col("paid_before") < F.col("due_end"))
@@ -253,7 +333,7 @@ def completed_at(
     )
     crossed = due.join(days.withColumnRenamed("loan_id", "_day_loan"), covers, how)
     day_key = ["loan_id", "epoch_from", "paid_date"]
-    ends = plan.select(F.col("loan_id").alias("_day_loan"), "due_end")
+    ends = book.plan.select(F.col("loan_id").alias("_day_loan"), "due_end")
     mixed = (
         days.where("first_at < last_at")
         .join(ends, covers, "left_semi")
@@ -264,10 +344,12 @@ def completed_at(
         .orderBy("paid_at_utc")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    counting = "counts_until is null"
+    if not one_epoch:
+        counting += " or counts_until > epoch_from"
     instants = (
-        spans.select("loan_id", "paid_date", "paid_at_utc", "counts_until", "amount")
-        .join(mixed, ["loan_id", "paid_date"])
-        .where("counts_until is null or counts_until > epoch_from")
+        book.instants.join(mixed, ["loan_id", "paid_date"])
+        .where(counting)
         .groupBy(*day_key, "paid_before", "paid_at_utc")
         .agg(F.sum("amount").alias("amount"))
         .withColumn("upto", F.col("paid_before") + F.sum("amount").over(so_far))
@@ -328,23 +410,18 @@ def _month_ends_of_step(rows: DataFrame) -> DataFrame:
     ).withColumn("cutoff_date", F.last_day("_month"))
 
 
-def balances_by_month_end(
-    loans: DataFrame, installments: DataFrame, payments: DataFrame, cutoff: date
-) -> DataFrame:
+def balances_of(book: Ledger) -> DataFrame:
     """Unpaid balance and days past due (``dpd``) per loan and month-end.
 
     A balance holds for a whole step, and the days past due count from the first due
     date still open. So installments are summed per step, and only then are months
     spread: no row per month and installment ever exists.
     """
-    ids = loans.select("loan_id")
-    plan = due_ranges(installments.distinct().join(ids, "loan_id", "left_semi"))
-    known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
-    steps = total_steps(effective_span(known, cutoff), ids)
+    steps = total_steps(book.days)
     remaining = (F.col("amount_due") - paid_part()).cast("decimal(18,2)")
     per_step = (
-        steps_of_loans(loans, steps, F.last_day("disbursement_date"), cutoff)
-        .join(plan, "loan_id")
+        steps_of_loans(book.loans, steps, F.last_day("disbursement_date"), book.cutoff)
+        .join(book.plan, "loan_id")
         .withColumn("remaining", remaining)
         .groupBy("loan_id", "step_from", "step_to")
         .agg(
@@ -361,6 +438,13 @@ def balances_by_month_end(
     )
 
 
+def balances_by_month_end(
+    loans: DataFrame, installments: DataFrame, payments: DataFrame, cutoff: date
+) -> DataFrame:
+    """``balances_of`` these tables."""
+    return balances_of(ledger(loans, installments, payments, cutoff))
+
+
 def allocate(
     loans: DataFrame,
     installments: DataFrame,
@@ -368,19 +452,23 @@ def allocate(
     cutoff: date,
     final_only: bool = False,
     with_settlement: bool = True,
+) -> DataFrame:
+    """``allocation_of`` the ledger of these tables."""
+    book = ledger(loans, installments, payments, cutoff)
+    return allocation_of(book, final_only, with_settlement)
+
+
+def allocation_of(
+    book: Ledger, final_only: bool = False, with_settlement: bool = True
 ) -> DataFrame:
     """Installment status per month-end, loan and installment.
 
-    ``loans`` needs loan_id and disbursement_date, ``installments`` the typed
-    plan, ``payments`` the settled history with reversal instants. With
-    ``final_only`` just the cutoff is produced and no calendar is expanded.
+    With ``final_only`` just the cutoff is produced and no calendar is expanded.
     """
-    ids = loans.select("loan_id")
-    plan = due_ranges(installments.distinct().join(ids, "loan_id", "left_semi"))
-    known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
+    cutoff = book.cutoff
     if final_only:
-        spans = effective_at(known, cutoff)
-        steps = spans.groupBy("loan_id").agg(
+        counting = book.days.where("counts_until is null")
+        steps = counting.groupBy("loan_id").agg(
             F.sum("amount").cast("decimal(28,2)").alias("total_paid")
         ).select(
             "loan_id",
@@ -390,22 +478,19 @@ def allocate(
             F.expr(ALWAYS).alias("epoch_from"),
         )
     else:
-        spans = effective_span(known, cutoff)
-        steps = total_steps(spans, ids)
+        steps = total_steps(book.days)
     first = F.lit(cutoff) if final_only else F.last_day("disbursement_date")
-    spread = steps_of_loans(loans, steps, first, cutoff)
-    status = spread.join(plan, "loan_id").withColumn("paid_amount", paid_part())
+    spread = steps_of_loans(book.loans, steps, first, cutoff)
+    status = spread.join(book.plan, "loan_id").withColumn("paid_amount", paid_part())
     if not with_settlement:
         status = status.withColumn("settlement_at_utc", F.lit(None).cast("timestamp_ntz"))
     elif final_only:
         # One step and one epoch per loan: look up from the status rows themselves.
-        status = completed_at(
-            status.drop("epoch_from"), plan, spans, ids, one_epoch=True, how="left"
-        )
+        status = completed_at(status.drop("epoch_from"), book, one_epoch=True, how="left")
     else:
         key = ["loan_id", "epoch_from", "installment_number"]
-        due = plan.select("loan_id", "installment_number", "due_end")
-        done = completed_at(due, plan, spans, ids).drop("due_end")
+        due = book.plan.select("loan_id", "installment_number", "due_end")
+        done = completed_at(due, book).drop("due_end")
         visible = F.col("counts_from") <= F.col("step_from")
         status = status.join(done, key, "left").withColumn(
             "settlement_at_utc", F.when(visible, F.col("settlement_at_utc"))

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.operators.allocation import received_by_month_end
-
 
 class QualityError(ValueError):
     """A table broke a rule that its reader insists on."""
@@ -181,11 +178,11 @@ def reconcile(**sides: DataFrame) -> DataFrame:
     return rows.withColumn("agrees", F.col("expected") == F.col("actual"))
 
 
-def fifo_violations(
-    status: DataFrame, loans: DataFrame, history: DataFrame, cutoff: date
-) -> DataFrame:
+def fifo_violations(status: DataFrame, received: DataFrame) -> DataFrame:
     """Loans and month-ends where the allocation lost money or broke the order.
 
+    ``received`` has what counts of each valid loan's payments at each month-end.
+
     ``row``: a negative amount, paid + remaining ≠ due, or a later installment
     paid while an earlier one is open. ``total``: the allocated sum is not the
     smaller of what is due and what was effectively paid.
@@ -207,11 +204,7 @@ def fifo_violations(
         F.sum("amount_due").alias("_due"),
         F.sum("paid_amount").alias("_paid"),
     )
-    received = (
-        received_by_month_end(history, cutoff)
-        .join(loans.select("loan_id"), "loan_id", "left_semi")
-        .withColumnRenamed("amount", "_received")
-    )
+    paid_in = received.withColumnRenamed("amount", "_received")
     expected = F.least("_due", F.coalesce("_received", F.lit(0)))
     off = F.abs(F.col("_paid") - expected) > 0.005
     row = F.col("_bad") | F.coalesce(
@@ -220,6 +213,6 @@ def fifo_violations(
     rules = F.array_compact(
         F.array(F.when(row, F.lit("row")), F.when(off, F.lit("total")))
     )
-    return per_loan.join(received, ["cutoff_date", "loan_id"], "left").select(
+    return per_loan.join(paid_in, ["cutoff_date", "loan_id"], "left").select(
         "cutoff_date", "loan_id", F.explode(rules).alias("rule")
     )

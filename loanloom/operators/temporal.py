@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,19 +42,93 @@ def interval_join(
     ).drop("_version_key")
 
 
-def daily_series(
-    series: DataFrame, keys: Sequence[str], day: str, value: str
+#: Values of all curves that tasks may receive, some 32 MB; more are joined in salts.
+MOST_VALUES = 2_000_000
+SALTS = 64
+
+
+@dataclass(frozen=True)
+class Curves:
+    """Per key a value for every day from its first to its last published one.
+
+    ``rows`` has the key columns, ``_first`` day and ``_values`` by days from there, so a
+    row is looked up by its distance. A curve is as long as its calendar, however many
+    rows look it up; ``size`` counts the values of all of them.
+    """
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    value: str
+    size: int
+
+
+def curves(
+    series: DataFrame,
+    keys: Sequence[str],
+    day: str,
+    value: str,
+    stored: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> Curves:
+    """The sparse dated series as curves; of several values of a day the largest counts.
+
+    ``stored`` may write the curves, which are then computed once. Days are made unique
+    first, so what is gathered per key is at most its calendar.
+    """
+    points = (
+        series.where(F.col(day).isNotNull())
+        .groupBy(*keys, F.col(day).alias("_day"))
+        .agg(F.max(value).alias("_value"))
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("_day", "_value"))).alias("_points"))
+    )
+
+    def until_next(point: Column, place: Column) -> Column:
+        next_day = F.get(F.col("_points"), place + 1)["_day"]
+        days = F.coalesce(F.datediff(next_day, point["_day"]), F.lit(1))
+        return F.array_repeat(point["_value"], days)
+
+    filled = F.flatten(F.transform("_points", until_next))
+    rows = stored(
+        points.select(
+            *keys, F.get("_points", F.lit(0))["_day"].alias("_first"), filled.alias("_values")
+        )
+    )
+    size = rows.agg(F.sum(F.size("_values"))).first()[0] or 0
+    return Curves(rows, tuple(keys), value, size)
+
+
+def look_up(
+    rows: DataFrame,
+    found: Curves,
+    keys: Sequence[str],
+    day: str | Column,
+    most_values: int = MOST_VALUES,
 ) -> DataFrame:
-    """Fill a sparse dated series so every calendar day has its latest value.
+    """Left join of the curve's value on each row's day, or the last one before it.
 
-    Covers each key's first through last published day. Size is keys × days and
-    does not depend on the rows that look values up.
+    ``keys`` are the row columns in the order of the curves' keys. Rows before the first
+    publication, without a day, or with an unknown key, get null. Curves whose counted
+    size allows it are sent to all tasks, whatever the session's threshold; others are
+    repeated for some salts, so that a key with most rows is many keys.
     """
-    points = series.groupBy(*keys, day).agg(F.max(value).alias(value))
-    order = Window.partitionBy(*keys).orderBy(day)
-    upto = F.coalesce(F.date_sub(F.lead(day).over(order), 1), F.col(day))
-    return points.withColumn("_upto", upto).select(
-        *keys, F.explode(F.sequence(day, "_upto")).alias(day), value
+    named = [f"_key_{i}" for i in range(len(keys))]
+    listed = found.rows.select(
+        *[F.col(c).alias(n) for c, n in zip(found.keys, named)], "_first", "_values"
+    )
+    on = [F.col(left) == F.col(right) for left, right in zip(keys, named)]
+    probe = rows
+    if found.size <= most_values:
+        listed = F.broadcast(listed)
+    else:
+        probe = rows.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+        listed = listed.withColumn(
+            "_of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        ).withColumn("_of_salt", F.col("_of_salt").cast("long"))
+        on.append(F.col("_salt") == F.col("_of_salt"))
+    at = F.datediff(F.col(day) if isinstance(day, str) else day, F.col("_first"))
+    value = F.get("_values", F.least(at, F.size("_values") - 1))
+    return probe.join(listed, on, "left").select(
+        *[F.col(c) for c in rows.columns], F.when(at >= 0, value).alias(found.value)
     )
 
 
@@ -67,39 +142,11 @@ def asof_join(
 ) -> DataFrame:
     """Left join of the latest ``value`` dated on or before each row's date.
 
-    Turned into equality joins so a row probes one entry instead of scanning its
-    key's history: one join on (key, day) inside the published range and one on
-    the key alone for dates after the last publication. Rows before the first
-    publication, or with an unknown key, get null. ``keys`` maps row columns to
-    series columns.
+    ``keys`` maps row columns to series columns. The series is made into curves and
+    counted at once, see ``curves`` and ``look_up``.
     """
-    names = list(keys.values())
-    day = F.col(row_date) if isinstance(row_date, str) else row_date
-    daily = daily_series(series, names, series_date, value).select(
-        *[F.col(c).alias(f"_d_{c}") for c in names],
-        F.col(series_date).alias("_d_day"),
-        F.col(value).alias("_d_value"),
-    )
-    last = series.groupBy(*names).agg(
-        F.max(F.struct(series_date, value)).alias("_last")
-    )
-    last = last.select(
-        *[F.col(c).alias(f"_l_{c}") for c in names],
-        F.col(f"_last.{series_date}").alias("_l_day"),
-        F.col(f"_last.{value}").alias("_l_value"),
-    )
-    probe = rows.withColumn("_day", day)
-    on_day = [F.col(left) == F.col(f"_d_{right}") for left, right in keys.items()]
-    on_key = [F.col(left) == F.col(f"_l_{right}") for left, right in keys.items()]
-    found = F.coalesce(
-        F.col("_d_value"),
-        F.when(F.col("_day") >= F.col("_l_day"), F.col("_l_value")),
-    )
-    return (
-        probe.join(daily, [*on_day, F.col("_day") == F.col("_d_day")], "left")
-        .join(last, on_key, "left")
-        .select(*[F.col(c) for c in rows.columns], found.alias(value))
-    )
+    found = curves(series, list(keys.values()), series_date, value)
+    return look_up(rows, found, list(keys), row_date)
 
 
 def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

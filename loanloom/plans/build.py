@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.operators import quality as q
-from loanloom.operators.allocation import balances_by_month_end
+from loanloom.operators.allocation import Ledger, balances_of, received_of
 from loanloom.plans import answers
 from loanloom.plans import lending as plans
 from loanloom.sources.bronze import read_extracts
@@ -93,9 +93,14 @@ def row_rules() -> dict[str, dict[str, Column]]:
     return rules
 
 
+def breaches(rules: Mapping[str, Column]) -> list[Column]:
+    """Rows that break each rule, as aggregates by the rule's name."""
+    return [F.count_if(rule).alias(name) for name, rule in rules.items()]
+
+
 def broken_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows that break each rule, counted in one pass over the table."""
-    counts = df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    counts = df.agg(*breaches(rules))
     pairs = [
         F.struct(F.lit(name).alias("rule"), F.col(f"`{name}`").alias("n_violations"))
         for name in rules
@@ -104,7 +109,7 @@ def broken_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 
 def checks(
-    tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], cutoff: date
+    tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], book: Ledger
 ) -> dict[str, DataFrame]:
     """Violations of the declared rules that need several rows or tables, by rule name."""
     found: dict[str, DataFrame] = {}
@@ -119,70 +124,88 @@ def checks(
     )
     found["reversals resolve"] = q.reversal_violations(events.distinct())
     found["fifo conserves"] = q.fifo_violations(
-        tables["int_installment_status"],
-        tables["fct_loan"],
-        tables["int_payment_history"],
-        cutoff,
+        tables["int_installment_status"], received_of(book)
     )
     return found
 
 
-def violation_counts(
-    tables: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], cutoff: date
-) -> DataFrame:
-    """Violations of every declared rule; rules on single rows take one scan a table."""
+def violation_counts(violations: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each named check."""
     counts = [
         df.agg(F.count("*").alias("n_violations")).select(
             F.lit(name).alias("rule"), "n_violations"
         )
-        for name, df in checks(tables, raw, cutoff).items()
+        for name, df in violations.items()
     ]
-    counts += [broken_rows(tables[name], rules) for name, rules in row_rules().items()]
     return reduce(DataFrame.unionByName, counts)
 
 
+class CheckedLayers(Layers):
+    """Stored tables whose rules on single rows are counted by the job that writes them.
+
+    ``broken`` has the counts of the tables written so far.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        super().__init__(spark, root)
+        self.broken: dict[str, int] = {}
+
+    def _written(self, df: DataFrame, name: str, save: Callable[[DataFrame], None]) -> None:
+        rules = row_rules().get(name)
+        if not rules:
+            return super()._written(df, name, save)
+        seen = Observation(f"rules of {name}")
+        save(df.observe(seen, *breaches(rules)))
+        found = seen.get
+        # A table without rows reports nothing.
+        self.broken |= {rule: found.get(rule) or 0 for rule in rules}
+
+
 def store_tables(
     raw: Mapping[str, DataFrame], layers: Layers, cutoff: date
-) -> dict[str, DataFrame]:
+) -> tuple[dict[str, DataFrame], Ledger]:
     """Replace all silver and gold tables; each is computed from stored ones."""
     t = plans.Lending(raw, cutoff, layers)
+    loans, history = t.stored_loan, t.stored_payment_history
     tables: dict[str, DataFrame] = {
         "fct_application": t.stored_application,
-        "fct_loan": plans.fct_loan(raw["raw_loans"], t.stored_application, t.fx),
-        "int_payment_history": t.stored_payment_history,
-        "dim_customer": t.dim_customer,
-        "dim_merchant": t.dim_merchant,
+        "fct_loan": loans,
+        "int_payment_history": history,
+        "dim_customer": layers.write(t.dim_customer, "silver", "dim_customer"),
+        "dim_merchant": layers.write(t.dim_merchant, "silver", "dim_merchant"),
+        "fct_payment": layers.write(
+            plans.fct_payment(history, loans), "silver", "fct_payment"
+        ),
     }
-    for name in ("fct_loan", "dim_customer", "dim_merchant"):
-        tables[name] = layers.write(tables[name], "silver", name)
-    loans, history = tables["fct_loan"], tables["int_payment_history"]
-    tables["fct_payment"] = layers.write(
-        plans.fct_payment(history, loans), "silver", "fct_payment"
-    )
     status = layers.write(
-        plans.int_installment_status(loans, raw["raw_installments"], history, cutoff),
+        plans.int_installment_status(t.ledger),
         "silver",
         "int_installment_status",
         ["cutoff_date"],
     )
-    final = layers.write(
-        plans.final_status(status, cutoff), "silver", "fct_installment_status"
-    )
-    # From the payments: the month-end table is far larger than its balances.
-    balances = balances_by_month_end(
-        loans, plans.typed_installments(raw["raw_installments"]), history, cutoff
+    final = layers.write_bucketed(
+        plans.final_status(status, cutoff), "silver", "fct_installment_status", "loan_id"
     )
+    # From the paid days: the month-end table is far larger than its balances.
     daily = plans.merchant_day_metrics(
-        tables["fct_application"], loans, final, balances, t.fx, cutoff
+        tables["fct_application"],
+        loans,
+        final.where("installment_number = 1"),
+        balances_of(t.ledger),
+        t.rates,
+        cutoff,
     )
-    gold = {
-        "agg_merchant_monthly": plans.agg_merchant_monthly(daily, tables["dim_merchant"]),
-        "dm_loan_delinquency_snapshot": plans.dm_loan_delinquency_snapshot(
-            final, loans, t.fx, cutoff
+    report = plans.agg_merchant_monthly(daily, tables["dim_merchant"])
+    snapshot = plans.dm_loan_delinquency_snapshot(final, loans, t.rates, cutoff)
+    tables |= {
+        "int_installment_status": status,
+        "fct_installment_status": final,
+        "agg_merchant_monthly": layers.write(report, "gold", "agg_merchant_monthly"),
+        "dm_loan_delinquency_snapshot": layers.write_bucketed(
+            snapshot, "gold", "dm_loan_delinquency_snapshot", "loan_id"
         ),
     }
-    tables |= {"int_installment_status": status, "fct_installment_status": final}
-    return tables | {n: layers.write(df, "gold", n) for n, df in gold.items()}
+    return tables, t.ledger
 
 
 def all_answers(
@@ -207,17 +230,18 @@ def build(
 
     Returns the violation count of every rule; the caller decides what to refuse.
     """
-    layers = Layers(spark, target)
+    layers = CheckedLayers(spark, target)
     raw = {
         name: layers.write(df, "bronze", name)
         for name, df in read_extracts(spark, source).items()
     }
-    tables = store_tables(raw, layers, cutoff)
+    tables, book = store_tables(raw, layers, cutoff)
     for name, df in all_answers(tables, cutoff, cohort).items():
         order = ["gmv_rank"] if name.startswith("q6") else []
         export_answer(df, layers.path("exports", name), order)
     for name in ("agg_merchant_monthly", "dm_loan_delinquency_snapshot"):
         export_table(tables[name], layers.path("exports", name), GRAIN[name])
     # One row per rule.
-    counts = violation_counts(tables, raw, cutoff).collect()
-    return {row["rule"]: row["n_violations"] for row in counts}
+    counts = violation_counts(checks(tables, raw, book)).collect()
+    layers.close()
+    return {row["rule"]: row["n_violations"] for row in counts} | layers.broken

@@ -7,7 +7,7 @@ than one consumer reads.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 from functools import cached_property
 
@@ -32,14 +32,20 @@ from loanloom.functions.money import (
     to_usd,
 )
 from loanloom.functions.text import blank_to_null
-from loanloom.operators.allocation import allocate, balances_by_month_end
+from loanloom.operators.allocation import Ledger, allocation_of, balances_of, ledger
 from loanloom.operators.change_log import (
     known_id_per_key,
     latest_state,
     repair_sentinel,
     survivor,
 )
-from loanloom.operators.temporal import asof_join, interval_join, version_intervals
+from loanloom.operators.temporal import (
+    Curves,
+    curves,
+    interval_join,
+    look_up,
+    version_intervals,
+)
 from loanloom.sources.layers import Layers
 
 # Fixed values of the source data.
@@ -149,6 +155,13 @@ def typed_fx(raw: DataFrame) -> DataFrame:
     )
 
 
+def fx_curves(
+    fx: DataFrame, stored: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> Curves:
+    """Daily rates by currency."""
+    return curves(fx, ["currency"], "rate_date", "fx_units_per_usd", stored)
+
+
 # Entities
 
 
@@ -223,18 +236,11 @@ def valid_loans(raw_loans: DataFrame, applications: DataFrame) -> DataFrame:
     return typed_loans(raw_loans).join(approved, "application_id")
 
 
-def fct_loan(raw_loans: DataFrame, applications: DataFrame, fx: DataFrame) -> DataFrame:
+def fct_loan(raw_loans: DataFrame, applications: DataFrame, rates: Curves) -> DataFrame:
     loans = valid_loans(raw_loans, applications).withColumn(
         "disbursement_date", local_date(F.col("disbursed_at_utc"))
     )
-    rated = asof_join(
-        loans,
-        fx,
-        {"currency": "currency"},
-        "disbursement_date",
-        "rate_date",
-        "fx_units_per_usd",
-    )
+    rated = look_up(loans, rates, ["currency"], "disbursement_date")
     return rated.select(
         "loan_id",
         "application_id",
@@ -296,27 +302,19 @@ def fct_payment(history: DataFrame, loans: DataFrame) -> DataFrame:
 # Installment status
 
 
-def int_installment_status(
-    loans: DataFrame, raw_installments: DataFrame, history: DataFrame, cutoff: date
-) -> DataFrame:
+def int_installment_status(book: Ledger) -> DataFrame:
     """Status of every installment at every month-end through the cutoff."""
-    return allocate(
-        loans, typed_installments(raw_installments), history, require_month_end(cutoff)
-    )
+    return allocation_of(book)
 
 
-def fct_installment_status(
-    loans: DataFrame, raw_installments: DataFrame, history: DataFrame, cutoff: date
-) -> DataFrame:
+def fct_installment_status(book: Ledger) -> DataFrame:
     """Status at the cutoff only."""
-    status = allocate(
-        loans,
-        typed_installments(raw_installments),
-        history,
-        require_month_end(cutoff),
-        final_only=True,
-    )
-    return final_status(status, cutoff)
+    return final_status(allocation_of(book, final_only=True), book.cutoff)
+
+
+def first_installment_status(book: Ledger) -> DataFrame:
+    """Status at the cutoff of each loan's first installment, without the others."""
+    return fct_installment_status(book.of(F.col("installment_number") == 1))
 
 
 def final_status(status: DataFrame, cutoff: date) -> DataFrame:
@@ -357,7 +355,7 @@ def first_payment_flags(first: DataFrame, cutoff: date) -> DataFrame:
 
 
 def dm_loan_delinquency_snapshot(
-    final: DataFrame, loans: DataFrame, fx: DataFrame, cutoff: date
+    final: DataFrame, loans: DataFrame, rates: Curves, cutoff: date
 ) -> DataFrame:
     """Balance, days past due and bucket per loan at the cutoff."""
     owned = loan_balances(final).join(
@@ -366,14 +364,7 @@ def dm_loan_delinquency_snapshot(
         ),
         "loan_id",
     )
-    rated = asof_join(
-        owned,
-        fx.where(F.col("rate_date") <= F.lit(cutoff)),
-        {"currency": "currency"},
-        F.lit(cutoff),
-        "rate_date",
-        "fx_units_per_usd",
-    )
+    rated = look_up(owned, rates, ["currency"], F.lit(cutoff))
     return rated.select(
         "loan_id",
         "customer_id",
@@ -392,16 +383,17 @@ def dm_loan_delinquency_snapshot(
 def merchant_day_metrics(
     applications: DataFrame,
     loans: DataFrame,
-    final: DataFrame,
+    first: DataFrame,
     balances: DataFrame,
-    fx: DataFrame,
+    rates: Curves,
     cutoff: date,
 ) -> DataFrame:
     """All merchant metrics summed per merchant and business date.
 
-    ``balances`` is one row per loan and month-end. The date is the application, disbursement or snapshot date. Summing here,
-    before any merchant version is looked up, leaves a hot merchant with at most
-    one row per day and metric.
+    ``first`` is the first installments' status at the cutoff, ``balances`` one row per
+    loan and month-end. The date is the application, disbursement or snapshot date.
+    Summing here, before any merchant version is looked up, leaves a hot merchant with
+    at most one row per day and metric.
     """
     counted = applications.groupBy(
         "merchant_id", local_date(F.col("created_at_utc")).alias("day")
@@ -412,9 +404,9 @@ def merchant_day_metrics(
     disbursed = loans.groupBy("merchant_id", F.col("disbursement_date").alias("day")).agg(
         F.count("*").alias("n_loans"), F.sum("principal_usd").alias("gmv_usd")
     )
-    first = first_payment_flags(final.where("installment_number = 1"), cutoff)
+    flags = first_payment_flags(first, cutoff)
     defaults = (
-        first.join(loans.select("loan_id", "merchant_id", "disbursement_date"), "loan_id")
+        flags.join(loans.select("loan_id", "merchant_id", "disbursement_date"), "loan_id")
         .groupBy("merchant_id", F.col("disbursement_date").alias("day"))
         .agg(
             F.count_if("eligible").alias("fpd30_eligible"),
@@ -422,14 +414,7 @@ def merchant_day_metrics(
         )
     )
     owned = balances.join(loans.select("loan_id", "merchant_id", "currency"), "loan_id")
-    balance = asof_join(
-        owned,
-        fx,
-        {"currency": "currency"},
-        "cutoff_date",
-        "rate_date",
-        "fx_units_per_usd",
-    ).select(
+    balance = look_up(owned, rates, ["currency"], "cutoff_date").select(
         "merchant_id",
         F.col("cutoff_date").alias("day"),
         "dpd",
@@ -491,7 +476,8 @@ class Lending:
     """The tables over one set of text extracts, for one cutoff.
 
     ``raw`` maps extract names to frames. Tables that several others read are
-    stored once per instance; the rest stay lazy.
+    stored once per instance; the rest stay lazy. Loans, plan and paid days are stored
+    in buckets by loan, so what follows per loan needs no shuffle.
     """
 
     def __init__(self, raw: Mapping[str, DataFrame], cutoff: date, layers: Layers):
@@ -502,10 +488,22 @@ class Lending:
     def _silver(self, name: str, df: DataFrame) -> DataFrame:
         return self.layers.write(df, "silver", name)
 
+    def _by_loan(self, name: str, df: DataFrame) -> DataFrame:
+        return self.layers.write_bucketed(df, "silver", name, "loan_id")
+
+    def store(self) -> None:
+        """Stores the tables that others read now; otherwise each is at its first use."""
+        for name in ("stored_application", "stored_loan", "stored_payment_history", "ledger"):
+            getattr(self, name)
+
     @cached_property
     def fx(self) -> DataFrame:
         return typed_fx(self.raw["raw_fx_rates"])
 
+    @cached_property
+    def rates(self) -> Curves:
+        return fx_curves(self.fx, lambda df: self._silver("fx_curves", df))
+
     @cached_property
     def dim_customer(self) -> DataFrame:
         return dim_customer(self.raw["raw_customers"])
@@ -526,11 +524,12 @@ class Lending:
 
     @cached_property
     def fct_loan(self) -> DataFrame:
-        return fct_loan(self.raw["raw_loans"], self.fct_application, self.fx)
+        return fct_loan(self.raw["raw_loans"], self.fct_application, self.rates)
 
     @cached_property
     def stored_loan(self) -> DataFrame:
-        return self._silver("fct_loan", self.fct_loan)
+        loans = fct_loan(self.raw["raw_loans"], self.stored_application, self.rates)
+        return self._by_loan("fct_loan", loans)
 
     @cached_property
     def int_payment_history(self) -> DataFrame:
@@ -545,49 +544,48 @@ class Lending:
         return fct_payment(self.int_payment_history, self.fct_loan)
 
     @cached_property
-    def int_installment_status(self) -> DataFrame:
-        return int_installment_status(
+    def ledger(self) -> Ledger:
+        return self.ledger_at(self.cutoff)
+
+    def ledger_at(self, cutoff: date) -> Ledger:
+        """The ledger through a month-end, stored."""
+        suffix = f"{cutoff:%Y%m%d}"
+        return ledger(
             self.stored_loan,
-            self.raw["raw_installments"],
+            typed_installments(self.raw["raw_installments"]),
             self.stored_payment_history,
-            self.cutoff,
+            require_month_end(cutoff),
+            bucketed=lambda df, name: self._by_loan(f"{name}_{suffix}", df),
+            stored=lambda df, name: self._silver(f"{name}_{suffix}", df),
         )
 
+    @cached_property
+    def int_installment_status(self) -> DataFrame:
+        return int_installment_status(self.ledger)
+
     @cached_property
     def fct_installment_status(self) -> DataFrame:
-        return fct_installment_status(
-            self.stored_loan,
-            self.raw["raw_installments"],
-            self.stored_payment_history,
-            self.cutoff,
-        )
+        return fct_installment_status(self.ledger)
+
+    @cached_property
+    def first_installment_status(self) -> DataFrame:
+        return first_installment_status(self.ledger)
 
     @cached_property
     def dm_loan_delinquency_snapshot(self) -> DataFrame:
-        final = allocate(
-            self.stored_loan,
-            typed_installments(self.raw["raw_installments"]),
-            self.stored_payment_history,
-            self.cutoff,
-            final_only=True,
-            with_settlement=False,
+        final = allocation_of(self.ledger, final_only=True, with_settlement=False)
+        return dm_loan_delinquency_snapshot(
+            final, self.stored_loan, self.rates, self.cutoff
         )
-        return dm_loan_delinquency_snapshot(final, self.stored_loan, self.fx, self.cutoff)
 
     @cached_property
     def merchant_day_metrics(self) -> DataFrame:
-        balances = balances_by_month_end(
-            self.stored_loan,
-            typed_installments(self.raw["raw_installments"]),
-            self.stored_payment_history,
-            self.cutoff,
-        )
         return merchant_day_metrics(
             self.stored_application,
             self.stored_loan,
-            self.fct_installment_status,
-            balances,
-            self.fx,
+            self.first_installment_status,
+            balances_of(self.ledger),
+            self.rates,
             self.cutoff,
         )
 

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from loanloom.operators import quality as q
-from loanloom.operators.allocation import allocate
+from loanloom.operators.allocation import allocate, ledger, received_of
 from loanloom.operators.temporal import version_intervals
 from pyspark.sql import functions as F
 from test_operators import CUTOFF, frames
@@ -78,14 +78,16 @@ def test_fifo_conservation(spark):
     )
     loans, plan, payments = frames(spark, case)
     status = allocate(loans, plan, payments, CUTOFF, final_only=True)
-    assert q.fifo_violations(status, loans, payments, CUTOFF).isEmpty()
+    received = received_of(ledger(loans, plan, payments, CUTOFF))
+    assert q.fifo_violations(status, received).isEmpty()
     # The second installment paid while the first is open.
     swapped = status.withColumn(
         "paid_amount",
         F.when(F.col("loan_id") == 1, 15 - F.col("paid_amount")).otherwise(F.col("paid_amount")),
     ).withColumn("remaining_amount", F.col("amount_due") - F.col("paid_amount"))
-    found = q.fifo_violations(swapped, loans, payments, CUTOFF).collect()
+    found = q.fifo_violations(swapped, received).collect()
     assert [(r.loan_id, r.rule) for r in found] == [(1, "row")]
     lost = payments.withColumn("amount", F.col("amount") + 1)
-    found = q.fifo_violations(status, loans, lost, CUTOFF).collect()
+    received = received_of(ledger(loans, plan, lost, CUTOFF))
+    found = q.fifo_violations(status, received).collect()
     assert [(r.loan_id, r.rule) for r in found] == [(1, "total")]
