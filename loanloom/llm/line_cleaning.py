@@ -81,27 +81,34 @@ WORDS_AT_ONCE = 300_000
 
 _WORDS = re.compile(WORD)
 _FINISHED = re.compile(rf"[{re.escape(ENDS)}][{re.escape(CLOSERS)}]*{SPACE}*\Z")
-_NOTICE = re.compile("|".join(map(re.escape, PHRASES)))
+_MARKS = re.compile(f"[{re.escape(PUNCTUATION + SEPARATORS)}]")
 _NO_MARKS = {ord(c): None for c in PUNCTUATION}
-_NO_SYMBOLS = {ord(c): None for c in SYMBOLS}
-_NO_BARS = {ord(c): None for c in SEPARATORS}
-_NO_SPACE = {c: None for c in (32, *range(9, 14))}
+#: White space to ``str.split`` that is part of a word here.
+_IN_WORDS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def has_notice(text: str) -> bool:
+    low = text.lower()
+    return any(phrase in low for phrase in PHRASES)
 
 
 def line_fault(line: str, words: list[str], following: str) -> str | None:
     """The rule that a line with words breaks: punctuation, navigation or boilerplate."""
-    bars = len(line) - len(line.translate(_NO_BARS))
+    found = _MARKS.findall(line)
+    bars = sum(c in SEPARATORS for c in found)
     if bars >= BARS and len(words) <= WORDS_TO_A_BAR * bars:
         return "navigation"
     if len(words) <= MENU_WORDS:
         bare = {w.translate(_NO_MARKS).lower() for w in words} - {""}
         if bare and bare <= MENU:
             return "navigation"
-    if len(words) <= NOTICE_WORDS and _NOTICE.search(line.lower()):
+    if len(words) <= NOTICE_WORDS and has_notice(line):
         return "boilerplate"
-    marks = len(line) - len(line.translate(_NO_MARKS))
+    marks = sum(c in PUNCTUATION for c in found)
     if marks >= MARKS and 5 * marks > sum(map(len, words)):
         return "punctuation"
+    if found and found[-1] in ENDS and line[-1] == found[-1]:
+        return None
     if not _FINISHED.search(line):
         goes_on = len(words) >= CONTINUED and following and category(following[0]) == "Ll"
         if not goes_on:
@@ -124,7 +131,8 @@ class Cleaned:
 def clean_text(text: str) -> tuple[list[str], Cleaned]:
     """All words of a text, and what line-first cleaning makes of it."""
     lines = text.split("\n")
-    split = [_WORDS.findall(line) for line in lines]
+    words_of = _WORDS.findall if _IN_WORDS.search(text) else str.split
+    split = [words_of(line) for line in lines]
     words = [w for of_line in split for w in of_line]
     seen: set[str] = set()
     repeated = lost = 0
@@ -146,8 +154,8 @@ def clean_text(text: str) -> tuple[list[str], Cleaned]:
             repeated += line in seen
             seen.add(line)
     cleaned = Cleaned(
-        word_chars=len(text.translate(_NO_SPACE)),
-        n_symbols=len(text) - len(text.translate(_NO_SYMBOLS)),
+        word_chars=sum(map(len, words)),
+        n_symbols=sum(map(text.count, SYMBOLS)),
         n_dup_lines=repeated,
         faults=faults,
         lost_chars=lost,
