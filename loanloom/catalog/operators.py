@@ -315,13 +315,14 @@ def running_due_ranges(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def running_paid_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """Running totals of the payments that count at the cutoff."""
-    history = lending(spark, folder).int_payment_history
+    tables = lending(spark, folder)
+    counting = effective_at(tables.stored_payment_history, CUTOFF)
     return running_total(
-        effective_at(history, CUTOFF),
+        counting.select("loan_id", "source_system", "payment_id", "paid_at_utc", "amount"),
         ["loan_id"],
         ["paid_at_utc", "source_system", "payment_id"],
         "amount",
-        F.to_date("paid_at_utc"),
+        lambda df: tables.layers.write(df, "silver", "paid_pieces"),
         "paid_before",
         "paid_after",
     ).select("loan_id", "source_system", "payment_id", "paid_before", "paid_after")

@@ -78,10 +78,28 @@ def decisions_invalid_rows(spark: SparkSession, folder: str) -> DataFrame:
 def triage_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The report written as JSON and its result rows read back."""
     rows = results(spark, folder)
-    path = opened(spark).path("gold", "report")
-    write_report(rows, rules.summarize(rows), path)
-    schema = rows.drop("received_at").schema
-    return flat(spark.read.schema(schema).json(f"{path}/results"))
+    return flat(_report(spark, rows).drop("position"))
+
+
+@query
+def report_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each message stands in the written report, and when it arrived."""
+    rows = results(spark, folder)
+    arrived = rows.select("id", "received_at")
+    return _report(spark, rows).select("id", "position").join(arrived, "id")
+
+
+def _report(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    layers = opened(spark)
+    path = layers.path("gold", "report")
+    write_report(
+        rows,
+        rules.summarize(rows),
+        path,
+        lambda df: layers.write(df, "gold", "results_in_order"),
+    )
+    schema = rows.drop("received_at").withColumn("position", F.lit(1).cast("long")).schema
+    return spark.read.schema(schema).json(f"{path}/results")
 
 
 @query
@@ -89,7 +107,7 @@ def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Messages scored by a fixed scorer, then triaged."""
     messages = samples.conversation_messages(spark, folder)
     scored = rules.score_messages(messages, samples.length_scorer())
-    done = rules.triage(messages, records.parse_decisions(scored), BOOK)
+    done = rules.triage_decided(records.parse_decisions(scored), BOOK)
     return flat(done).select(
         "id", "technical_status", "main_reason", "priority", "action", "queue", "error_type"
     )

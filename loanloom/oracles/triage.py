@@ -224,6 +224,11 @@ TRIAGE_SQL: dict[str, str] = {
         FROM m_messages
         WHERE c % 30 NOT IN (1, 2) AND ({_KIND} IN (4, 5, 6) OR c % 30 IN (0, 3))""",
     "triage_json_roundtrip": "SELECT * FROM m_results",
+    "report_positions": """
+        SELECT id, row_number() OVER (ORDER BY moment, id) AS position,
+               strftime(moment, '%Y-%m-%dT%H:%M:%S') AS received_at
+        FROM (SELECT id, TIMESTAMP '2024-01-01' + to_hours(c) + to_minutes(t) AS moment
+              FROM m_messages)""",
     "triage_report": """
         SELECT count(*) AS message_count, true AS complete, count(*) AS total_messages,
                count(*) FILTER (length(body) % 13 > 0) AS business_results,

@@ -12,9 +12,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanloom.functions.lists import (
     all_within,
@@ -26,7 +27,7 @@ from loanloom.functions.lists import (
 from loanloom.functions.money import ratio
 from loanloom.functions.text import contains_any, has_word
 from loanloom.plans import triage_vocabulary as v
-from loanloom.sources.messages import ENTITIES_SCHEMA
+from loanloom.sources.messages import DECISION_SCHEMA, ENTITIES_SCHEMA
 
 RESULT_COLUMNS = (
     "id",
@@ -87,30 +88,42 @@ def _texts(values) -> Column:
 
 
 def score_messages(messages: DataFrame, scorer: Callable[[str], dict]) -> DataFrame:
-    """Apply a scorer to each text: (id, decision as JSON, scorer_error).
+    """The messages with ``decision`` as JSON and ``scorer_error``.
 
-    Only id and text reach the Python workers, so sender data never leaves. A
-    scorer that raises costs one row, and only its exception's type is kept.
+    Only the text reaches the Python workers, so sender data never leaves, and what they
+    return stays beside its message: nothing is joined. A scorer that raises costs one
+    row, and only its exception's type is kept.
     """
+    return messages.select(
+        "*", scored_text(F.col("text"), scorer).alias("_scored")
+    ).select(*messages.columns, "_scored.*")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def scored_text(text: Column, scorer: Callable[[str], dict]) -> Column:
+    """``decision`` and ``scorer_error`` of each text.
+
+    A scorer may answer differently each time, so Spark must neither call it twice nor
+    move it past a filter.
+    """
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             decisions: list[str | None] = []
             errors: list[str | None] = []
-            for text in batch["text"]:
+            for value in batch.to_pylist():
                 try:
-                    decisions.append(json.dumps(scorer(text), ensure_ascii=False))
+                    decisions.append(json.dumps(scorer(value), ensure_ascii=False))
                     errors.append(None)
                 except Exception as exc:  # noqa: BLE001
                     decisions.append(None)
                     errors.append(type(exc).__name__)
-            yield pd.DataFrame(
-                {"id": batch["id"], "decision": decisions, "scorer_error": errors}
-            )
+            columns = [pa.array(decisions, pa.string()), pa.array(errors, pa.string())]
+            yield pa.StructArray.from_arrays(columns, ["decision", "scorer_error"])
 
-    return messages.select("id", "text").mapInPandas(
-        run, "id string, decision string, scorer_error string"
-    )
+    # Spark reads the kind of function off these.
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    scored = F.arrow_udf(run, "decision string, scorer_error string")
+    return scored.asNondeterministic()(text)
 
 
 # Validity
@@ -277,8 +290,18 @@ def triage(messages: DataFrame, decisions: DataFrame, book: ReplyBook) -> DataFr
         for name, kind in (("scorer_error", "string"), ("well_formed", "boolean"))
         if name not in decisions.columns
     }
-    proposed = decisions.withColumns({**extras, "_scored": F.lit(True)})
+    fields = T.DataType.fromDDL(DECISION_SCHEMA).fieldNames()
+    known = {"id", *fields, "scorer_error", "well_formed"}
+    named = decisions.select(*[c for c in decisions.columns if c in known])
+    proposed = named.withColumns({**extras, "_scored": F.lit(True)})
     scored = messages.select("id", "received_at", "text").join(proposed, "id", "left")
+    return triage_decided(scored, book)
+
+
+def triage_decided(scored: DataFrame, book: ReplyBook) -> DataFrame:
+    """``triage`` of messages that stand beside their decision already."""
+    if "_scored" not in scored.columns:
+        scored = scored.withColumn("_scored", F.lit(True))
     failure = (
         F.when(F.col("_scored").isNull(), "ValueError")
         .when(F.col("scorer_error").isNotNull(), F.col("scorer_error"))

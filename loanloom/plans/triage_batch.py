@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.plans.triage import ReplyBook, score_messages, summarize, triage
+from loanloom.plans.triage import ReplyBook, score_messages, summarize, triage_decided
 from loanloom.sources.export import write_report
 from loanloom.sources.layers import Layers
 from loanloom.sources.messages import parse_decisions, parse_messages, require_valid
@@ -38,10 +38,10 @@ def report_batch(
     messages: DataFrame, layers: Layers, scorer: Callable[[str], dict], book: ReplyBook
 ) -> DataFrame:
     """Scores checked messages and writes decisions, results and the report."""
-    scored = layers.write(
+    decided = layers.write(
         parse_decisions(score_messages(messages, scorer)), "silver", "decisions"
     )
-    results = layers.write(triage(messages, scored, book), "gold", "results")
+    results = layers.write(triage_decided(decided, book), "gold", "results")
     message_count = messages.agg(F.count("*")).scalar()
     summary = (
         summarize(results)
@@ -49,5 +49,10 @@ def report_batch(
         .withColumn("complete", F.col("message_count") == F.col("total_messages"))
     )
     summary = layers.write(summary, "gold", "summary")
-    write_report(results, summary, f"{layers.root}/report")
+    write_report(
+        results,
+        summary,
+        f"{layers.root}/report",
+        lambda df: layers.write(df, "gold", "results_in_order"),
+    )
     return summary

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.instants import parse_utc
+from loanloom.operators.running import Stored, with_position
 from loanloom.sources.bronze import write_csv
 
 
@@ -22,13 +23,21 @@ def export_table(df: DataFrame, path: str, grain: Sequence[str]) -> None:
     write_csv(df.orderBy(*grain), path)
 
 
-def write_report(results: DataFrame, summary: DataFrame, path: str) -> None:
+def in_order_of_arrival(results: DataFrame, stored: Stored) -> DataFrame:
+    """Adds each result's ``position`` in the report: by instant, stamp as written, id."""
+    moment = parse_utc(F.col("received_at"))
+    order = [moment.asc_nulls_first(), F.col("received_at"), F.col("id")]
+    return with_position(results, order, stored)
+
+
+def write_report(
+    results: DataFrame, summary: DataFrame, path: str, stored: Stored
+) -> None:
     """Result rows by the instant of arrival and a one-row summary, as JSON lines.
 
-    Null fields are written and text keeps its accents.
+    Each row carries its ``position``. Null fields are written and text keeps its accents.
     """
-    moment = parse_utc(F.col("received_at"))
-    ordered = results.orderBy(moment, "received_at", "id").drop("received_at")
+    ordered = in_order_of_arrival(results, stored).orderBy("position").drop("received_at")
     ordered.write.mode("overwrite").option("ignoreNullFields", "false").json(
         f"{path}/results"
     )

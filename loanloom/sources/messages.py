@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanloom.functions.instants import parse_utc
 from loanloom.functions.text import is_blank
@@ -52,30 +53,40 @@ _DECISION_SHAPE = _shape(
 )
 
 
-def _has_shape(json: Column, shape: str) -> Column:
-    found = F.schema_of_variant(F.try_parse_json(json))
+def _has_shape(parsed: Column, shape: str) -> Column:
+    found = F.schema_of_variant(parsed)
     return F.coalesce(found.rlike(f"^{shape}$"), F.lit(False))
 
 
+def _fields(parsed: Column, schema: str) -> list[Column]:
+    """The fields of a parsed line; one that is missing or of another type is null."""
+    struct = T.DataType.fromDDL(schema)
+    return [
+        F.try_variant_get(parsed, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+        for f in struct.fields
+    ]
+
+
 def parse_messages(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add the message fields and ``problem``: null, or the first broken rule."""
-    line = F.col(column)
-    fields = lines.withColumn("_m", F.from_json(line, MESSAGE_SCHEMA))
+    kept = [c for c in lines.columns if c != column]
+    json = F.col("_json")
+    # A line is parsed once; everything else is read off the variant.
+    fields = lines.select(*kept, F.try_parse_json(column).alias("_json")).select(
+        *kept, "_json", F.struct(*_fields(json, MESSAGE_SCHEMA)).alias("_m")
+    )
     m = F.col("_m")
-    is_json = F.try_parse_json(line).isNotNull()
     blank = is_blank(m["id"]) | is_blank(m["from"]) | is_blank(m["text"])
     stamp = m["received_at"]
     dated = stamp.rlike(r"^\d{4}-") & parse_utc(stamp).isNotNull()
     problem = (
-        F.when(~is_json, "json")
-        .when(~_has_shape(line, _MESSAGE_SHAPE), "schema")
+        F.when(json.isNull(), "json")
+        .when(~_has_shape(json, _MESSAGE_SHAPE), "schema")
         .when(blank, "blank")
         .when(~m["channel"].isin(*CHANNELS), "channel")
         .when(~dated, "received_at")
     )
-    return fields.withColumn("problem", problem).select(
-        *[F.col(c) for c in lines.columns if c != column], "_m.*", "problem"
-    )
+    return fields.withColumn("problem", problem).select(*kept, "_m.*", "problem")
 
 
 def invalid_messages(parsed: DataFrame) -> DataFrame:
@@ -117,9 +128,8 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_decisions(records: DataFrame, column: str = "decision") -> DataFrame:
     """Replace a JSON column by typed decision fields and ``well_formed``."""
-    json = F.col(column)
-    return (
-        records.withColumn("_d", F.from_json(json, DECISION_SCHEMA))
-        .withColumn("well_formed", _has_shape(json, _DECISION_SHAPE))
-        .select(*[c for c in records.columns if c != column], "_d.*", "well_formed")
+    kept = [c for c in records.columns if c != column]
+    json = F.col("_json")
+    return records.select(*kept, F.try_parse_json(column).alias("_json")).select(
+        *kept, *_fields(json, DECISION_SCHEMA), _has_shape(json, _DECISION_SHAPE).alias("well_formed")
     )

@@ -4,12 +4,14 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from loanloom.sources.layers import Layers
 from pyspark.sql import functions as F
 
 from loanloom.operators.allocation import allocate, balances_by_month_end, effective_by_month_end
 from loanloom.operators.change_log import known_id_per_key, latest_state, repair_sentinel
 from loanloom.operators.quality import table_diff
-from loanloom.operators.running import running_total
+from loanloom.operators import temporal
+from loanloom.operators.running import in_pieces, running_total, with_position
 from loanloom.operators.temporal import asof_join, interval_join, version_intervals
 from loanloom.plans.lending import final_status
 
@@ -77,6 +79,70 @@ def test_latest_state_and_sentinel(planned):
     assert rows(got) == [(1, 5, 3, 1), (2, None, 1, 1), (3, None, 3, 1), (4, 8, 1, 1)]
 
 
+def pieces_of(spark):
+    layers = Layers(spark)
+    return lambda df: layers.write(df, "silver", "pieces")
+
+
+def test_pieces_bound_a_hot_day(spark):
+    """Nine rows in ten are one key's of one day; no piece is twice the mean."""
+    df = spark.range(20_000).selectExpr(
+        "if(id % 10 = 0, concat('k', id % 70), 'hot') as k",
+        "if(id % 10 = 0, id % 9, 5) as t",
+        "id",
+        "id % 7 as v",
+    )
+    stored = pieces_of(spark)
+    order = [F.col("k"), F.col("t"), F.col("id")]
+    # So few rows would be put into one or two pieces.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    counted = in_pieces(df, order, stored).groupBy("_piece").count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in counted]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    got = running_total(df, ["k"], ["t", "id"], "v", stored).where("k = 'hot'").orderBy("id")
+    total = 0
+    for r in got.collect():
+        assert (r["before"], r["after"]) == (total, total + r["v"])
+        total += r["v"]
+
+
+def test_positions(planned):
+    rng = random.Random(4)
+    data = [(rng.randrange(50) or None, i) for i in range(500)]
+    df = planned.createDataFrame(data, "t int, id int").repartition(5)
+    order = [F.col("t").asc_nulls_last(), F.col("id")]
+    got = with_position(df, order, pieces_of(planned)).collect()
+    expected = sorted(data, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert sorted((r.position, r.t, r.id) for r in got) == [
+        (n, *r) for n, r in enumerate(expected, 1)
+    ]
+    assert with_position(df.limit(0), order, pieces_of(planned)).count() == 0
+
+
+def test_asof_without_broadcast_spreads_a_hot_key(planned, monkeypatch):
+    """Beyond the counted size each key is joined by salts, with equal results."""
+    monkeypatch.setattr(temporal, "SALTS", 8)
+    series = planned.createDataFrame(
+        [("a", date(2024, 1, d), float(d)) for d in (2, 5, 9)] + [("b", date(2024, 1, 3), 7.0)],
+        "k string, d date, v double",
+    )
+    left = planned.range(4000).selectExpr(
+        "if(id % 10 = 0, 'b', if(id = 7, 'c', if(id = 9, null, 'a'))) as key",
+        "date_add(date'2023-12-30', cast(id % 20 as int)) as day",
+        "id",
+    ).repartition(4)
+    found = temporal.curves(series, ["k"], "d", "v")
+    assert found.size == 9
+    small = temporal.look_up(left, found, ["key"], "day")
+    salted = temporal.look_up(left, found, ["key"], "day", most_values=0)
+    assert rows(small) == rows(salted)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    salts = left.withColumn("s", F.monotonically_increasing_id() % 8).groupBy("key", "s").count()
+    assert salts.agg(F.max("count")).first()[0] < 2 * 3600 / 8
+
+
 def test_running_total_matches_plain_sum(planned):
     rng = random.Random(3)
     # One key holds most rows, and many rows share an instant.
@@ -85,7 +151,7 @@ def test_running_total_matches_plain_sum(planned):
         for i in range(400)
     ]
     df = planned.createDataFrame(data, "k string, t int, id int, v int")
-    got = running_total(df, ["k"], ["t", "id"], "v", F.floor(F.col("t") / 10))
+    got = running_total(df, ["k"], ["t", "id"], "v", pieces_of(planned))
     expected, sums = [], defaultdict(int)
     for k, t, i, value in sorted(data, key=lambda r: (r[0], r[1], r[2])):
         expected.append((k, t, i, value, sums[k], sums[k] + value))

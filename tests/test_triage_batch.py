@@ -3,8 +3,11 @@
 import json
 
 import pytest
-from loanloom.plans.triage_batch import run_triage
+from loanloom.plans.triage import score_messages, triage_decided
+from loanloom.plans.triage_batch import report_batch, run_triage
 from loanloom.samples.triage import BOOK, length_scorer
+from loanloom.sources.layers import Layers
+from loanloom.sources.messages import parse_decisions
 
 
 def line(number, **changes):
@@ -46,10 +49,24 @@ def test_scored_once_and_ordered_by_instant(spark, tmp_path):
     assert len(calls.read_text().splitlines()) == 3
     files = sorted((tmp_path / "out" / "report" / "results").glob("part-*.json"))
     rows = [json.loads(x) for f in files for x in f.read_text().splitlines()]
-    assert [r["id"] for r in rows] == ["m3", "m1", "m2"]
+    assert [(r["id"], r["position"]) for r in rows] == [("m3", 1), ("m1", 2), ("m2", 3)]
     assert len(calls.read_text().splitlines()) == 3
 
 
+def test_scoring_joins_nothing(planned, tmp_path):
+    calls = tmp_path / "calls"
+    rows = [(f"m{n}", "2024-01-01T10:00:00", "hola " + "x" * n) for n in range(40)]
+    messages = planned.createDataFrame(rows, "id string, received_at string, text string")
+    decided = parse_decisions(score_messages(messages, counting(calls)))
+    results = triage_decided(decided, BOOK)
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+    assert plan.count("parse_json") <= 1
+    layers = Layers(planned, str(tmp_path / "out"))
+    report_batch(messages, layers, counting(calls), BOOK).collect()
+    assert sorted(calls.read_text().splitlines()) == sorted(t for _, _, t in rows)
+
+
 @pytest.mark.parametrize("bad", ["{", line(1), line(2, channel="fax")])
 def test_bad_input_is_refused_before_scoring(spark, tmp_path, bad):
     (tmp_path / "in").mkdir()
