@@ -12,6 +12,8 @@ Everything is a column expression; nothing runs in Python.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -56,42 +58,116 @@ BINS, BIN_STEP = 400, 0.05
 # -- spans -----------------------------------------------------------------------
 
 
+#: Matches whose places are added up at one time, before the blocks are.
+BLOCK = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is used there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def spans(text: Column, pattern: str, keep=None) -> Column:
     """Leftmost non-overlapping matches as structs of start, end (code points), token.
 
     The matches and the pieces between them come from the same pattern, so adding up
-    lengths gives the positions. ``keep`` may drop matches by their text, after the
-    scan.
+    lengths gives the positions: within blocks of matches first, then over the blocks,
+    so that the work grows with the matches and not with their square. ``keep`` may drop
+    matches by their text, after the scan.
     """
     none = F.array().cast("array<struct<start:long,end:long,token:string>>")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    placed = F.aggregate(
-        F.zip_with(between, found, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit"))),
-        F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")),
-        lambda s, x: F.when(
-            x["hit"].isNull(), s
-        ).otherwise(
-            F.struct(
-                (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-                F.concat(
-                    s["out"],
-                    F.array(
-                        F.struct(
-                            (s["at"] + F.length(x["gap"])).alias("start"),
-                            (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"),
-                            x["hit"].alias("token"),
-                        )
-                    ),
-                ).alias("out"),
-            )
-        ),
-        lambda s: s["out"],
+    pieces = F.zip_with(
+        between, found, lambda gap, hit: F.struct(F.length(gap).cast("long").alias("gap"), hit.alias("hit"))
     )
+
+    def step(s: Column, x: Column) -> Column:
+        start = s["at"] + x["gap"]
+        end = start + F.length(x["hit"])
+        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("token"))
+        moved = F.struct(end.alias("at"), F.concat(s["out"], F.array(span)).alias("out"))
+        return F.when(x["hit"].isNull(), s).otherwise(moved)
+
+    def block(part: Column) -> Column:
+        begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
+        return F.aggregate(part, begin, step)
+
+    def blocks_of(pieces: Column) -> Column:
+        last = F.floor((F.size(pieces) - 1) / BLOCK).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: block(F.slice(pieces, i * BLOCK + 1, F.lit(BLOCK))),
+        )
+
+    def joined(blocks: Column) -> Column:
+        zero = F.lit(0).cast("long")
+        starts = F.aggregate(
+            blocks,
+            F.struct(zero.alias("at"), F.array(zero).alias("out")),
+            lambda s, x: F.struct(
+                (s["at"] + x["at"]).alias("at"),
+                F.concat(s["out"], F.array(s["at"] + x["at"])).alias("out"),
+            ),
+            lambda s: F.slice(s["out"], F.lit(1), F.size(s["out"]) - 1),
+        )
+        moved = F.zip_with(
+            blocks,
+            starts,
+            lambda x, at: F.transform(
+                x["out"],
+                lambda m: F.struct(
+                    (m["start"] + at).alias("start"),
+                    (m["end"] + at).alias("end"),
+                    m["token"].alias("token"),
+                ),
+            ),
+        )
+        return F.flatten(moved)
+
+    placed = let(let(pieces, blocks_of), joined)
     placed = F.when(text.rlike(pattern), placed).otherwise(none)
     return F.filter(placed, lambda x: keep(x["token"])) if keep else placed
 
 
+def _count_below(values: Column, limit: Column) -> Column:
+    """How many of the ascending values are below the limit, by bisection."""
+    steps = F.ceil(F.log2(F.size(values) + 1.0)).cast("int")
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        below = F.get(values, middle) < limit
+        open_ = s["low"] < s["high"]
+        return F.struct(
+            F.when(open_ & below, middle + 1).otherwise(s["low"]).alias("low"),
+            F.when(open_ & ~below, middle).otherwise(s["high"]).alias("high"),
+        )
+
+    begin = F.struct(F.lit(0).alias("low"), F.size(values).alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), steps), begin, halve, lambda s: s["low"])
+    return F.when(F.size(values) == 0, F.lit(0)).otherwise(found)
+
+
+def apart(tokens: Column, known: Column) -> Column:
+    """The tokens that overlap none of the known spans, which stand in order and apart.
+
+    A token overlaps some if more of them start before its end than end up to its start.
+    """
+
+    def free(edges: Column) -> Column:
+        return F.filter(
+            tokens,
+            lambda t: _count_below(edges["starts"], t["end"])
+            == _count_below(edges["ends"], t["start"] + 1),
+        )
+
+    edges = F.struct(
+        F.transform(known, lambda s: s["start"]).alias("starts"),
+        F.transform(known, lambda s: s["end"]).alias("ends"),
+    )
+    return F.when(F.size(known) == 0, tokens).otherwise(let(edges, free))
+
+
 def assigned_value(token: Column) -> Column:
     return F.regexp_extract(token, ASSIGN, 1)
 
@@ -287,13 +363,9 @@ def scan_secrets(
         *[s.alias(k) for s, k in zip(base_spans(F.col("text")), KINDS)],
         spans(F.col("text"), CANDIDATE).alias("tokens"),
     )
-    taken = F.concat(*[F.col(k) for k in KINDS[:3]])
-    free = F.filter(
-        F.col("tokens"),
-        lambda t: ~F.exists(
-            taken, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])
-        ),
-    )
+    free = F.col("tokens")
+    for kind in KINDS[:3]:
+        free = apart(free, F.col(kind))
     scored = F.transform(
         free,
         lambda t: F.struct(

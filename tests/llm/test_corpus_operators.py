@@ -597,6 +597,81 @@ def test_discovery_limits_follow_the_step_up_rule(spark):
     assert limits == {1: 0}
 
 
+def plain_battery(token):
+    """The three tests and Fisher's sum, spelled out."""
+
+    def tail(z):
+        slope = max(min(z * 1.5976 + z**3 * 0.07056, 300.0), -300.0)
+        return 1 / (1 + math.exp(slope))
+
+    chars = token.rstrip("=")
+    n = len(chars)
+    name, _, k = next(e for e in secret_scan.ENCODINGS if re.search(e[1], token))
+    pairs = sum(c * (c - 1) / 2 for c in map(chars.count, set(chars)))
+    two, three = n * (n - 1) / 2, n * (n - 1) * (n - 2) / 6
+    squared, cubed = secret_scan.LETTERS_SQUARED, secret_scan.LETTERS_CUBED
+    mean = two * squared
+    spread = two * (squared - squared**2) + three * 6 * (cubed - squared**2)
+    uniform = tail((mean + max(two / k - mean, 0) - pairs) / math.sqrt(max(spread, 1e-6)))
+
+    kinds = [0 if c in LOWER else 1 if c in UPPER else 2 if c in DIGITS else 3 for c in chars]
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
+    share = secret_scan.CLASS_CHANGES
+    runs = tail((changes - (n - 1) * share) / max(math.sqrt((n - 1) * share * (1 - share)), 1e-6))
+
+    vowels = [c.lower() in "aeiou" for c in chars]
+    part = sum(vowels) / n
+    variance = part * (1 - part)
+    both = sum(a and b for a, b in zip(vowels, vowels[1:]))
+    serial = (both / (n - 1) - part * part) / variance if variance > 0 else 0.0
+    correlated = tail((serial - secret_scan.VOWEL_SERIAL) * math.sqrt(n) / secret_scan.VOWEL_SPREAD)
+
+    logs = -sum(math.log(max(p, 1e-12)) for p in (uniform, runs, correlated))
+    return name, math.exp(-logs) * (1 + logs + logs * logs / 2)
+
+
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+def test_battery_against_plain(spark):
+    draw = random.Random(8)
+    words = "there is another way of writing things down that everyone knows about".split()
+    tokens = []
+    for alphabet in (DIGITS, DIGITS + "abcdef", UPPER + "234567", LOWER + UPPER + DIGITS,
+                     LOWER + UPPER + DIGITS + "+/", LOWER + UPPER + DIGITS + "-_+", LOWER):
+        tokens += ["".join(draw.choices(alphabet, k=draw.randrange(20, 90))) for _ in range(250)]
+    tokens += ["".join(draw.choices(words, k=6)) for _ in range(250)] + ["a" * 30, "ab" * 20, "A1" * 15 + "=="]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    found = df.select("t", secret_scan.encoding(F.col("t")), secret_scan.language_p(F.col("t"))).collect()
+    assert len(found) == 2003
+    for token, encoding, p in found:
+        name, expected = plain_battery(token)
+        assert secret_scan.ENCODINGS[encoding][0] == name
+        assert math.isclose(p, expected, rel_tol=1e-6, abs_tol=1e-30), token
+
+
+def test_many_matches_of_one_text(spark):
+    """Places over several blocks of matches, and tokens beside known forms."""
+    draw = random.Random(9)
+    parts = []
+    for i in range(1500):
+        parts.append(draw.choice(["é wort\n", " ", "x" * 25 + " ", "f" * 24 + "é", f"token=abcdef{i} ", "😀"]))
+    text = "".join(parts)
+    df = spark.createDataFrame([(text,), ("",), ("f" * 24,)], "t string")
+    rows = df.select(
+        secret_scan.spans(F.col("t"), secret_scan.HEX).alias("hex"),
+        secret_scan.spans(F.col("t"), secret_scan.CANDIDATE).alias("tokens"),
+    )
+    rows = rows.select("*", secret_scan.apart(F.col("tokens"), F.col("hex")).alias("free")).collect()
+    for own, row in zip((text, "", "f" * 24), rows):
+        plain = {}
+        for name, pattern in (("hex", secret_scan.HEX), ("tokens", secret_scan.CANDIDATE)):
+            plain[name] = [(m.start(), m.end(), m[0]) for m in re.finditer(pattern, own)]
+            assert [tuple(s) for s in row[name]] == plain[name]
+        free = [t for t in plain["tokens"] if not any(s[0] < t[1] and t[0] < s[1] for s in plain["hex"])]
+        assert [tuple(s) for s in row["free"]] == free
+
+
 # -- 8: languages ------------------------------------------------------------------
 
 
