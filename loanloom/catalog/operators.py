@@ -41,6 +41,7 @@ from loanloom.operators.temporal import (
     asof_join,
     interval_join,
     key_spine,
+    look_up,
     version_intervals,
 )
 from loanloom.plans import lending as plans
@@ -176,14 +177,7 @@ def sentinel_resolution(spark: SparkSession, folder: str) -> DataFrame:
 def money_convert(spark: SparkSession, folder: str) -> DataFrame:
     """Valid payments in USD at the payment date's rate."""
     tables = lending(spark, folder)
-    rated = asof_join(
-        tables.fct_payment,
-        tables.fx,
-        {"currency": "currency"},
-        "paid_date",
-        "rate_date",
-        "fx_units_per_usd",
-    )
+    rated = look_up(tables.fct_payment, tables.rates, ["currency"], "paid_date")
     return rated.select(
         "source_system",
         "payment_id",
@@ -275,13 +269,14 @@ def asof_fx(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def effective_at_cutoff(spark: SparkSession, folder: str) -> DataFrame:
     """What counts at each month-end, summed per loan before months are spread."""
-    return received_by_month_end(lending(spark, folder).int_payment_history, CUTOFF)
+    history = lending(spark, folder).stored_payment_history
+    return received_by_month_end(history, CUTOFF)
 
 
 @query
 def effective_spans(spark: SparkSession, folder: str) -> DataFrame:
     """Per payment the first month-end at which it counts and the one at which it stops."""
-    spans = effective_span(lending(spark, folder).int_payment_history, CUTOFF)
+    spans = effective_span(lending(spark, folder).stored_payment_history, CUTOFF)
     return spans.select(
         "source_system", "payment_id", "loan_id", "amount", "counts_from", "counts_until"
     )
@@ -508,7 +503,7 @@ def dq_between_0_and_1(spark: SparkSession, folder: str) -> DataFrame:
     """Loans whose effective payments exceed the principal."""
     tables = lending(spark, folder)
     paid = (
-        effective_at(tables.int_payment_history, CUTOFF)
+        effective_at(tables.stored_payment_history, CUTOFF)
         .groupBy("loan_id")
         .agg(F.sum("amount").alias("paid"))
     )

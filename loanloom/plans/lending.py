@@ -541,7 +541,7 @@ class Lending:
 
     @cached_property
     def fct_payment(self) -> DataFrame:
-        return fct_payment(self.int_payment_history, self.fct_loan)
+        return fct_payment(self.int_payment_history, self.stored_loan)
 
     @cached_property
     def ledger(self) -> Ledger:
