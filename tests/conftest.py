@@ -9,6 +9,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 FOLDER = "/root/testdata/sf0.001"
 
 
+def pytest_addoption(parser):
+    parser.addoption("--quick", action="store_true", help="leave out the slow tests")
+
+
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: takes some ten seconds or more")
+
+
+def pytest_collection_modifyitems(config, items):
+    if config.getoption("--quick"):
+        items[:] = [item for item in items if "slow" not in item.keywords]
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from loanloom.session import local_session

@@ -1,4 +1,5 @@
 import duckdb
+import pytest
 
 from compare import compare, connect
 from conftest import FOLDER
@@ -10,6 +11,7 @@ from loanloom.sources.bronze import EXTRACTS, write_csv
 from loanloom.sources.layers import Layers
 
 
+@pytest.mark.slow
 def test_build_from_csv(spark, tmp_path):
     """CSV files in, stored tables and exports out, with the same results."""
     source, target = str(tmp_path / "extracts"), str(tmp_path / "lake")

@@ -26,6 +26,7 @@ def test_driver_registers_them_all():
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
+@pytest.mark.slow
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     assert compare(QUERIES[name](spark, FOLDER), con, SQL[name]) == ""
