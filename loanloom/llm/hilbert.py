@@ -191,6 +191,10 @@ def hilbert_shards(
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """Parquet files by shard, rows in slot order, for pruning by any dimension."""
+    """Parquet files by shard, rows in slot order, for pruning by any dimension.
+
+    What stood at the path is replaced; rows alike keep a slot each, other columns come
+    along as they are, and a table without rows writes no file.
+    """
     dealt = sharded.repartition("shard").sortWithinPartitions("shard", "slot")
     dealt.write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -259,7 +259,9 @@ def mix(
 def resampled(docs: DataFrame, report: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows as often as the mix takes them, to the nearest whole time.
 
-    Rows alike in id, source and text take the report's copies in any order.
+    Rows alike in id, source and text take the report's copies in any order. Texts
+    without words, null ones too, have no size and go; null ids and null sources are
+    values like any other. All columns come back as they are; no rows give none.
     """
     key = ["_id", "_source", "_place"]
     times = report.filter("size > 0").select(

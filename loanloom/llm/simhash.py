@@ -385,7 +385,9 @@ def _linker(radius: int, lanes_at_once: int = 1 << 15) -> Callable:
 
 
 def near_links(prints: DataFrame, keys: list[list[int]], radius: int) -> DataFrame:
-    """Links (a, b) of distinct fingerprints ``fp`` that keep all connections.
+    """Links (a, b) of distinct fingerprints ``fp``, none null, that keep all connections.
+
+    ``prints`` has each fingerprint once; a single one, or none, has no links.
 
     Within a bucket only links that join two parts are kept, never all pairs. A bucket
     with more than ``CHUNK`` fingerprints is compared as pairs of chunks, each a task's
