@@ -46,8 +46,8 @@ ORDERS, BITS, LEAST_BITS, MODEL_BYTES = (1, 2, 3, 4), 14, 10, 128 << 20
 #: A language owns a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.02
 SWITCH_PENALTY = 12.0
-#: Words worked at once, and bytes of words' scores that are remembered.
-WORDS_AT_ONCE, REMEMBERED_BYTES = 400_000, 64 << 20
+#: Words worked at once; words whose scores are remembered, and the scores' bytes.
+WORDS_AT_ONCE, REMEMBERED, REMEMBERED_BYTES = 400_000, 300_000, 64 << 20
 
 _FIRST = [first for first, _ in SCRIPTS]
 _SCRIPT = [NAMES.index(name) for _, name in SCRIPTS]
@@ -213,7 +213,7 @@ class Labeller:
         found = [letter_runs(t) for t in texts]
         words = [w.lower() for f in found for w in f]
         new = list(set(words).difference(self.known))
-        held = REMEMBERED_BYTES // (4 * len(self.model.languages))
+        held = min(REMEMBERED, REMEMBERED_BYTES // (4 * len(self.model.languages)))
         if len(self.known) + len(new) > held and self.known:
             self.known, self.scores = {}, self.scores[:0]
             new = list(set(words))
