@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import compress, islice
 from zlib import crc32
 
 import numpy as np
@@ -86,6 +87,14 @@ _SIGNED = re.compile(_SIGN).search
 # -- tokens ------------------------------------------------------------------------
 
 
+class _Numbered(dict):
+    """Tokens by number; a new one gets the next."""
+
+    def __missing__(self, token: str) -> int:
+        number = self[token] = len(self)
+        return number
+
+
 class Tokens:
     """Kinds and hashes of tokens; remembers the words it has seen.
 
@@ -99,61 +108,53 @@ class Tokens:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.hashes: list[int] = []
-        self.kinds: list[int] = []
-        self.units: list[bool] = []
-        self.short: list[bool] = []
-        self.arrays: tuple | None = None
+        self.known = _Numbered()
+        self.arrays = tuple(np.zeros(0, t) for t in (np.uint64, np.int8, bool, bool))
 
     def _in_lexicon(self, word: str) -> bool:
         at = crc32(word.encode()) & ((1 << LEXICON_BITS) - 1)
         return bool(self.lexicon[at >> 3] >> (at & 7) & 1)
 
-    def _learn(self, token: str) -> None:
-        word = token.lower()
+    def _kind(self, token: str, word: str) -> int:
         if token[0].isdigit() or word in NUMBER_WORDS:
-            kind = NUMBER
-        elif token[0].isupper() and token[1:].islower() and not self._in_lexicon(word):
-            kind = NAME
-        elif token in MARKS:
-            kind = MARK
-        else:
-            kind = LITERAL
-        self.known[token] = len(self.hashes)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
-        self.kinds.append(kind)
-        self.units.append(word in UNITS or word in SIGNS)
-        self.short.append(len(token) <= 2 or word == "mrs")
+            return NUMBER
+        if token in MARKS:
+            return MARK
+        if token == word or not (token[0].isupper() and token[1:].islower()):
+            return LITERAL
+        return LITERAL if self._in_lexicon(word) else NAME
+
+    def _learn(self, tokens: list[str]) -> None:
+        """Hash, kind, and whether it is a unit or short, of each new token."""
+        words = [t.lower() for t in tokens]
+        learned = (
+            np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)),
+            np.fromiter(map(self._kind, tokens, words), np.int8, len(words)),
+            np.fromiter((w in UNITS or w in SIGNS for w in words), bool, len(words)),
+            np.fromiter((len(w) <= 2 or w == "mrs" for w in words), bool, len(words)),
+        )
+        self.arrays = tuple(np.concatenate(pair) for pair in zip(self.arrays, learned))
 
     def read(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Places of the tokens that are no marks, their hashes and kinds, and whether a
         mark stands before them. A point behind a short word abbreviates it."""
-        new = set(tokens).difference(self.known)
-        if len(self.known) + len(new) > self.MOST:
+        if len(self.known) > self.MOST:
             self._forget()
-            new = set(tokens)
-        for token in new:
-            self._learn(token)
-        if new or self.arrays is None:
-            self.arrays = (
-                np.array(self.hashes, np.uint64),
-                np.array(self.kinds, np.int8),
-                np.array(self.units, bool),
-                np.array(self.short, bool),
-            )
-        hashes, kinds, units, short = self.arrays
+        before = len(self.known)
         at = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        if len(self.known) > before:
+            self._learn(list(islice(self.known, before, None)))
+        hashes, kinds, units, short = self.arrays
         mark = kinds[at] == MARK
         kept = np.flatnonzero(~mark)
         if (point := self.known.get(".")) is not None:
             mark[1:] &= ~((at[1:] == point) & short[at[:-1]])
-        before = np.append(False, mark)[kept]
+        parted = np.append(False, mark)[kept]
         at = at[kept]
         kind = kinds[at]
         behind = np.append(False, kind[:-1] == NUMBER)
         kind = np.where(units[at] & behind, np.int8(UNIT), kind)
-        return kept, hashes[at], kind, before
+        return kept, hashes[at], kind, parted
 
 
 def split_tokens(text: str) -> list[str]:
@@ -296,7 +297,9 @@ def read_texts(reader: Tokens, texts: list[str]) -> tuple[list[str], list[Window
     tokens = [t for f in found for t in f]
     kept, hashes, kinds, parted = reader.read(tokens)
     text = np.repeat(np.arange(len(texts)), [len(f) for f in found])[kept]
-    tokens = [tokens[i] for i in kept.tolist()]
+    plain = np.zeros(len(tokens), bool)
+    plain[kept] = True
+    tokens = list(compress(tokens, plain.tolist()))
     sizes = np.bincount(text, minlength=len(texts))
     forms = [Windows(form, hashes, kinds, parted, text) for form in (PLAIN, TEMPLATE)]
     return tokens, forms, sizes
@@ -637,7 +640,12 @@ def _covered(positions: Column, length: Column) -> Column:
 def without_leaks(
     docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows that hold no benchmark item, with all their columns."""
+    """The rows that hold no benchmark item, with all their columns as they are.
+
+    A row goes if its id and text are those of a pair in ``found``; rows alike go
+    together, a null id is matched like any other, null texts are never found. Without
+    pairs all rows stay; a table without rows gives none.
+    """
     flagged = found.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
