@@ -182,22 +182,26 @@ def ledger(
     cutoff: date,
     bucketed: Callable[[DataFrame, str], DataFrame] = _as_is,
     stored: Callable[[DataFrame, str], DataFrame] = _as_is,
+    plan: DataFrame | None = None,
 ) -> Ledger:
     """The ledger through a cutoff; the callables may store its tables.
 
     ``loans`` needs loan_id and disbursement_date, ``installments`` the typed
     plan, ``payments`` the settled history with reversal instants. Plan and days hold no
     more than a plan and a calendar of one loan, so buckets by loan suit them; instants
-    of a hot loan may be many and are left as they come.
+    of a hot loan may be many and are left as they come. The plan is the same at every
+    cutoff; ``plan`` gives the one of an earlier ledger.
     """
     ids = loans.select("loan_id")
-    plan = due_ranges(installments.distinct().join(ids, "loan_id", "left_semi"))
+    if plan is None:
+        due = installments.distinct().join(ids, "loan_id", "left_semi")
+        plan = bucketed(due_ranges(due), "due_ranges")
     known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
     spans = effective_span(known, cutoff)
     days = bucketed(paid_days(spans, ids), "paid_days")
     return Ledger(
         loans.select("loan_id", "disbursement_date"),
-        bucketed(plan, "due_ranges"),
+        plan,
         days,
         stored(paid_instants(spans, days), "paid_instants"),
         cutoff,

@@ -484,6 +484,7 @@ class Lending:
         self.raw = raw
         self.cutoff = require_month_end(cutoff)
         self.layers = layers
+        self._plan: DataFrame | None = None
 
     def _silver(self, name: str, df: DataFrame) -> DataFrame:
         return self.layers.write(df, "silver", name)
@@ -550,14 +551,17 @@ class Lending:
     def ledger_at(self, cutoff: date) -> Ledger:
         """The ledger through a month-end, stored."""
         suffix = f"{cutoff:%Y%m%d}"
-        return ledger(
+        book = ledger(
             self.stored_loan,
             typed_installments(self.raw["raw_installments"]),
             self.stored_payment_history,
             require_month_end(cutoff),
             bucketed=lambda df, name: self._by_loan(f"{name}_{suffix}", df),
             stored=lambda df, name: self._silver(f"{name}_{suffix}", df),
+            plan=self._plan,
         )
+        self._plan = book.plan
+        return book
 
     @cached_property
     def int_installment_status(self) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 POINTER = "_pointer-"
 #: Pointers whose versions stay: the present one and the one before.
 KEPT = 2
+#: Files of different values that one task keeps open; with more values it sorts the rest.
+OPEN_FILES = 128
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -60,18 +62,31 @@ class Layers:
         """Replace the table and read it back, which also cuts the lineage.
 
         A stored table survives lost executors, is pruned by column and gives the
-        planner its true size.
+        planner its true size. With ``partition_by`` rows are written where they lie, one
+        file a task and value: they are neither shuffled nor sorted, so the write takes no
+        more disk than the table. How large the files are follows from the tasks.
         """
         version = f"v-{uuid.uuid4().hex}"
 
         def save(rows: DataFrame) -> None:
-            writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
+            writer = rows.write.option("compression", "zstd")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
             writer.parquet(f"{self.path(layer, name)}/{version}")
 
-        # Rebalancing gathers each value's rows but splits large ones, so the
-        # write makes neither tiny files nor one huge task.
-        dealt = df.hint("rebalance", *partition_by) if partition_by else df
-        self._replace(dealt, layer, name, version, save)
+        def save_by_value(rows: DataFrame) -> None:
+            open_files = "spark.sql.maxConcurrentOutputFileWriters"
+            before = self.spark.conf.get(open_files, None)
+            self.spark.conf.set(open_files, str(OPEN_FILES))
+            try:
+                save(rows)
+            finally:
+                if before is None:
+                    self.spark.conf.unset(open_files)
+                else:
+                    self.spark.conf.set(open_files, before)
+
+        self._replace(df, layer, name, version, save_by_value if partition_by else save)
         return self.read(df.schema, layer, name)
 
     def write_bucketed(
@@ -91,6 +106,7 @@ class Layers:
                 rows.write.bucketBy(buckets, key)
                 .sortBy(key)
                 .option("path", f"{self.path(layer, name)}/{version}")
+                .option("compression", "zstd")
                 .format("parquet")
                 .saveAsTable(self._table(version))
             )

@@ -126,3 +126,26 @@ def test_answer_is_one_ordered_file(spark, tmp_path):
     files = list(path.glob("part-*"))
     assert len(files) == 1
     assert files[0].read_text().split() == ["id", *map(str, range(20))]
+
+
+def test_partitioned_write_neither_shuffles_nor_sorts(spark, monkeypatch):
+    """What a partitioned table takes of disk is the table, whatever its size."""
+    layers, plans = Layers(spark), []
+    save = Layers._written
+
+    def seen(self, df, name, how):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        save(self, df, name, how)
+
+    monkeypatch.setattr(Layers, "_written", seen)
+    open_files = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(open_files)
+    rows = spark.range(0, 3000, 1, 3).selectExpr("id", "cast(id % 150 as int) as month")
+    stored = layers.write(rows, "silver", "t", ["month"])
+    assert "Repartition" not in plans[0] and "Rebalance" not in plans[0]
+    assert spark.conf.get(open_files) == before
+    # More values than files that may be open at once.
+    assert stored.count() == 3000 and stored.where("month = 149").count() == 20
+    folder = Path(layers.current("silver", "t"))
+    assert len(list(folder.glob("month=7/part-*"))) == 3
+    layers.close()
