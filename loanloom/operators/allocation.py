@@ -101,20 +101,58 @@ def effective_by_month_end(payments: DataFrame, cutoff: date) -> DataFrame:
 def received_by_month_end(payments: DataFrame, cutoff: date) -> DataFrame:
     """Effective payment total per loan and month-end.
 
-    Payments with the same span are summed before they are repeated.
+    Months are spread last: a total holds from one change to the next.
     """
     return _received(effective_span(payments, cutoff), cutoff)
 
 
 def _received(spans: DataFrame, cutoff: date) -> DataFrame:
-    sums = spans.groupBy("loan_id", "counts_from", "counts_until").agg(
-        F.sum("amount").alias("amount")
+    return month_ends_of_step(received_steps(spans, cutoff)).select(
+        "loan_id", "cutoff_date", "amount"
     )
-    return (
-        _each_month_end(sums, cutoff)
-        .groupBy("loan_id", "cutoff_date")
-        .agg(F.sum("amount").alias("amount"))
+
+
+def received_steps(spans: DataFrame, cutoff: date) -> DataFrame:
+    """Effective total per loan as steps ``[step_from, step_to)`` in which payments count.
+
+    Changes are summed per loan and month before the window, which holds a calendar. The
+    amount is null while none of the payments that count has one.
+    """
+    amount = F.col("amount").cast("decimal(28,2)")
+
+    def change(month: str, sign: int) -> Column:
+        signed = amount if sign > 0 else (-amount).cast("decimal(28,2)")
+        return F.struct(
+            F.col(month).alias("month"), signed.alias("amount"), F.lit(sign).alias("n")
+        )
+
+    arrival, end = change("counts_from", 1), change("counts_until", -1)
+    monthly = (
+        spans.select(
+            "loan_id",
+            F.inline(
+                F.when(F.col("counts_until").isNull(), F.array(arrival)).otherwise(
+                    F.array(arrival, end)
+                )
+            ),
+        )
+        .groupBy("loan_id", "month")
+        .agg(
+            F.sum("amount").alias("change"),
+            F.sum("n").alias("n"),
+            F.sum(F.when(F.col("amount").isNotNull(), F.col("n"))).alias("known"),
+        )
     )
+    order = Window.partitionBy("loan_id").orderBy("month")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("change").over(so_far).cast("decimal(38,2)")
+    return monthly.select(
+        "loan_id",
+        F.col("month").alias("step_from"),
+        F.coalesce(F.lead("month").over(order), F.date_add(F.lit(cutoff), 1)).alias("step_to"),
+        F.when(F.sum("known").over(so_far) > 0, total).alias("amount"),
+        F.sum("n").over(so_far).alias("_open"),
+    ).where("_open > 0").drop("_open")
 
 
 def paid_days(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
@@ -213,6 +251,11 @@ def received_of(book: Ledger) -> DataFrame:
     return _received(book.days, book.cutoff)
 
 
+def received_steps_of(book: Ledger) -> DataFrame:
+    """Effective payment total per valid loan and step."""
+    return received_steps(book.days, book.cutoff)
+
+
 def total_steps(days: DataFrame) -> DataFrame:
     """Total paid per loan as steps ``[step_from, step_to)`` over month-ends.
 
@@ -405,7 +448,7 @@ def paid_part() -> Column:
     return F.least(F.col("amount_due"), covered).cast("decimal(18,2)")
 
 
-def _month_ends_of_step(rows: DataFrame) -> DataFrame:
+def month_ends_of_step(rows: DataFrame) -> DataFrame:
     """Repeat rows for the month-ends of their step, as ``cutoff_date``."""
     # Both a month-end bound and the day after the cutoff are exclusive.
     last = F.date_sub(month_start(F.col("step_to")), 1)
@@ -434,7 +477,7 @@ def balances_of(book: Ledger) -> DataFrame:
         )
     )
     late = F.datediff("cutoff_date", "open_since")
-    return _month_ends_of_step(per_step).select(
+    return month_ends_of_step(per_step).select(
         "cutoff_date",
         "loan_id",
         "balance_local",
@@ -470,6 +513,70 @@ def allocation_of(
     With ``final_only`` just the cutoff is produced and no calendar is expanded.
     """
     cutoff = book.cutoff
+    status = _status_by_step(book, final_only, with_settlement)
+    if final_only:
+        dated = status.withColumn("cutoff_date", F.lit(cutoff))
+    else:
+        dated = month_ends_of_step(status)
+    return dated.select(
+        "cutoff_date",
+        "loan_id",
+        "installment_number",
+        "due_date",
+        "amount_due",
+        "paid_amount",
+        "remaining_amount",
+        "settlement_at_utc",
+        F.when(
+            (F.col("due_date") < F.col("cutoff_date")) & (F.col("remaining_amount") > 0),
+            F.datediff("cutoff_date", "due_date"),
+        )
+        .otherwise(0)
+        .alias("days_past_due"),
+    )
+
+
+def amounts_by_step(book: Ledger) -> DataFrame:
+    """What is paid and open of each installment, per step ``[step_from, step_to)``.
+
+    Steps of one loan are equal or apart, also if its id has several disbursements.
+    """
+    status = _status_by_step(book, with_settlement=False, common_steps=True)
+    return status.drop("settlement_at_utc")
+
+
+def _at_common_bounds(steps: DataFrame) -> DataFrame:
+    """Steps cut where another step of the loan begins.
+
+    The set holds at most the loan's calendar.
+    """
+    starts = F.array_sort(F.collect_set("step_from").over(Window.partitionBy("loan_id")))
+    cuts = F.filter(
+        "_starts", lambda day: (day > F.col("step_from")) & (day < F.col("step_to"))
+    )
+    parts = F.arrays_zip(
+        F.concat(F.array("step_from"), "_cuts").alias("begin"),
+        F.concat("_cuts", F.array("step_to")).alias("end"),
+    )
+    rest = [c for c in steps.columns if c not in ("step_from", "step_to")]
+    return (
+        steps.withColumn("_starts", starts)
+        .withColumn("_cuts", cuts)
+        .select(*rest, F.explode(parts).alias("_part"))
+        .select(
+            *rest, F.col("_part.begin").alias("step_from"), F.col("_part.end").alias("step_to")
+        )
+    )
+
+
+def _status_by_step(
+    book: Ledger,
+    final_only: bool = False,
+    with_settlement: bool = True,
+    common_steps: bool = False,
+) -> DataFrame:
+    """Status that holds for a whole step; only days past due differ in its months."""
+    cutoff = book.cutoff
     if final_only:
         counting = book.days.where("counts_until is null")
         steps = counting.groupBy("loan_id").agg(
@@ -485,6 +592,8 @@ def allocation_of(
         steps = total_steps(book.days)
     first = F.lit(cutoff) if final_only else F.last_day("disbursement_date")
     spread = steps_of_loans(book.loans, steps, first, cutoff)
+    if common_steps:
+        spread = _at_common_bounds(spread)
     status = spread.join(book.plan, "loan_id").withColumn("paid_amount", paid_part())
     if not with_settlement:
         status = status.withColumn("settlement_at_utc", F.lit(None).cast("timestamp_ntz"))
@@ -499,26 +608,17 @@ def allocation_of(
         status = status.join(done, key, "left").withColumn(
             "settlement_at_utc", F.when(visible, F.col("settlement_at_utc"))
         )
-    if final_only:
-        dated = status.withColumn("cutoff_date", F.lit(cutoff))
-    else:
-        dated = _month_ends_of_step(status)
     remaining = (F.col("amount_due") - F.col("paid_amount")).cast("decimal(18,2)")
-    return dated.select(
-        "cutoff_date",
+    return status.select(
         "loan_id",
+        "step_from",
+        "step_to",
         "installment_number",
         "due_date",
         "amount_due",
         "paid_amount",
         remaining.alias("remaining_amount"),
         "settlement_at_utc",
-        F.when(
-            (F.col("due_date") < F.col("cutoff_date")) & (remaining > 0),
-            F.datediff("cutoff_date", "due_date"),
-        )
-        .otherwise(0)
-        .alias("days_past_due"),
     )
 
 

@@ -7,7 +7,12 @@ import pytest
 from loanloom.sources.layers import Layers
 from pyspark.sql import functions as F
 
-from loanloom.operators.allocation import allocate, balances_by_month_end, effective_by_month_end
+from loanloom.operators.allocation import (
+    allocate,
+    balances_by_month_end,
+    effective_by_month_end,
+    received_by_month_end,
+)
 from loanloom.operators.change_log import known_id_per_key, latest_state, repair_sentinel
 from loanloom.operators.quality import table_diff
 from loanloom.operators import temporal
@@ -293,3 +298,29 @@ def test_reversal_in_same_month_never_counts(spark):
     df = frames(spark, ([(1, date(2024, 1, 1))], [(1, 1, date(2024, 2, 1), Decimal(1))], payments))[2]
     got = effective_by_month_end(df, CUTOFF).select("payment_id", "cutoff_date")
     assert rows(got) == [(2, date(2024, 4, 30)), (2, date(2024, 5, 31))]
+
+
+def test_received_totals_spread_months_last(planned):
+    """Totals equal the sums of payments by month-end, and no sum follows the months."""
+    made = random.Random(5)
+    payments = []
+    for n in range(120):
+        paid = datetime(2024, made.randint(1, 6), made.randint(1, 28), 12)
+        back = paid + timedelta(days=made.randint(1, 90)) if n % 3 == 0 else None
+        loan = None if n % 20 == 0 else made.randint(1, 9)
+        amount = None if n % 11 == 0 or loan == 9 else Decimal(made.randint(0, 999)) / 100
+        payments.append(("a", n, loan, paid, amount, back))
+    df = planned.createDataFrame(
+        payments,
+        "source_system string, payment_id long, loan_id long, paid_at_utc timestamp_ntz, "
+        "amount decimal(18,2), reversed_at_utc timestamp_ntz",
+    )
+    expected = (
+        effective_by_month_end(df, CUTOFF)
+        .groupBy("loan_id", "cutoff_date")
+        .agg(F.sum("amount").alias("amount"))
+    )
+    got = received_by_month_end(df, CUTOFF)
+    assert rows(got) == rows(expected)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate")
