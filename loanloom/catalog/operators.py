@@ -22,12 +22,14 @@ from loanloom.functions.text import blank_to_null
 from loanloom.operators import quality
 from loanloom.operators.allocation import (
     allocation_of,
+    amounts_by_step,
     completed_at,
     due_ranges,
     effective_at,
     effective_span,
+    month_ends_of_step,
     received_by_month_end,
-    received_of,
+    received_steps_of,
 )
 from loanloom.operators.allocation import month_end_calendar as calendar_of
 from loanloom.operators.change_log import (
@@ -543,15 +545,18 @@ def dq_reversals_resolve(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dq_fifo_conservation(spark: SparkSession, folder: str) -> DataFrame:
-    """The month-end table falsified: a unit too much, a first installment reopened, a
-    negative payment."""
+    """The allocation falsified: a unit too much, a first installment reopened, a
+    negative payment.
+
+    Amounts hold for a whole step, so they are checked per step; what is found is
+    spread to its month-ends."""
     tables = lending(spark, folder)
     loan, number = F.col("loan_id"), F.col("installment_number")
     paid, left = F.col("paid_amount"), F.col("remaining_amount")
     surplus = (loan % 97 == 0) & (number == 1)
     reopened = (loan % 89 == 0) & (number == 1)
     negative = (loan % 83 == 0) & (number == 2)
-    status = allocation_of(tables.ledger, with_settlement=False).withColumns(
+    status = amounts_by_step(tables.ledger).withColumns(
         {
             "paid_amount": F.when(surplus, paid + 1)
             .when(reopened, 0)
@@ -563,7 +568,8 @@ def dq_fifo_conservation(spark: SparkSession, folder: str) -> DataFrame:
             .otherwise(left),
         }
     )
-    return quality.fifo_violations(status, received_of(tables.ledger))
+    broken = quality.fifo_violations_by_step(status, received_steps_of(tables.ledger))
+    return month_ends_of_step(broken).select("cutoff_date", "loan_id", "rule")
 
 
 @query

@@ -4,7 +4,14 @@ from decimal import Decimal
 import pytest
 
 from loanloom.operators import quality as q
-from loanloom.operators.allocation import allocate, ledger, received_of
+from loanloom.operators.allocation import (
+    allocate,
+    amounts_by_step,
+    ledger,
+    month_ends_of_step,
+    received_of,
+    received_steps_of,
+)
 from loanloom.operators.temporal import version_intervals
 from pyspark.sql import functions as F
 from test_operators import CUTOFF, frames
@@ -91,3 +98,36 @@ def test_fifo_conservation(spark):
     received = received_of(ledger(loans, plan, lost, CUTOFF))
     found = q.fifo_violations(status, received).collect()
     assert [(r.loan_id, r.rule) for r in found] == [(1, "total")]
+
+
+def test_fifo_by_step_finds_what_the_month_ends_show(planned):
+    """Also for a loan id with two disbursements; no row per month-end is made before."""
+    case = (
+        [(1, date(2024, 1, 5)), (1, date(2024, 3, 9)), (2, date(2024, 2, 1)), (3, date(2024, 1, 2))],
+        [(n, i, date(2024, 1 + i, 1), Decimal(10)) for n in (1, 2, 3) for i in (1, 2, 3)],
+        [
+            ("a", 1, 1, datetime(2024, 2, 2, 12), Decimal(15), datetime(2024, 5, 3, 12)),
+            ("a", 2, 1, datetime(2024, 4, 2, 12), Decimal(40), None),
+            ("a", 3, 2, datetime(2024, 3, 2, 12), Decimal(12), None),
+        ],
+    )
+    loans, plan, payments = frames(planned, case)
+
+    def broken(status):
+        wrong = F.col("installment_number") == 2
+        return status.withColumns(
+            {
+                "paid_amount": F.when(wrong, F.col("paid_amount") + 1).otherwise(F.col("paid_amount")),
+                "remaining_amount": F.when(wrong, 5).otherwise(F.col("remaining_amount")),
+            }
+        )
+
+    book = ledger(loans, plan, payments, CUTOFF)
+    monthly = q.fifo_violations(
+        broken(allocate(loans, plan, payments, CUTOFF, with_settlement=False)), received_of(book)
+    )
+    steps = q.fifo_violations_by_step(broken(amounts_by_step(book)), received_steps_of(book))
+    spread = month_ends_of_step(steps).select(*monthly.columns)
+    expected = sorted(map(tuple, monthly.collect()))
+    assert sorted(map(tuple, spread.collect())) == expected and len(expected) > 10
+    assert "Generate explode(sequence" not in steps._jdf.queryExecution().optimizedPlan().toString()
