@@ -162,24 +162,43 @@ def paid_days(spans: DataFrame, loan_ids: DataFrame) -> DataFrame:
     before the loans, so a hot loan is at most its calendar by then.
     """
     return (
-        spans.groupBy("loan_id", "paid_date", "counts_from", "counts_until")
+        spans.groupBy("loan_id", "paid_date", "counts_until")
         .agg(
             F.sum("amount").cast("decimal(28,2)").alias("amount"),
             F.min("paid_at_utc").alias("first_at"),
             F.max("paid_at_utc").alias("last_at"),
         )
         .join(loan_ids, "loan_id", "left_semi")
+        .select(
+            "loan_id",
+            "paid_date",
+            F.last_day("paid_date").alias("counts_from"),
+            "counts_until",
+            "amount",
+            "first_at",
+            "last_at",
+        )
     )
 
 
-def paid_instants(spans: DataFrame, days: DataFrame) -> DataFrame:
-    """Payments summed per instant and span, for days whose payments differ in instant."""
+#: Days of several instants that tasks may receive, some 16 MB; more are joined by a shuffle.
+MOST_DAYS = 500_000
+
+
+def paid_instants(spans: DataFrame, days: DataFrame, counted: bool = False) -> DataFrame:
+    """Payments summed per instant and span, for days whose payments differ in instant.
+
+    ``counted`` counts these days first: few are sent to the payments, which then stay
+    where they are.
+    """
     mixed = (
         days.groupBy("loan_id", "paid_date")
         .agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
         .where("first_at < last_at")
         .select("loan_id", "paid_date")
     )
+    if counted and mixed.count() <= MOST_DAYS:
+        mixed = F.broadcast(mixed)
     return (
         spans.select("loan_id", "paid_date", "paid_at_utc", "counts_until", "amount")
         .join(mixed, ["loan_id", "paid_date"], "left_semi")
@@ -221,6 +240,7 @@ def ledger(
     bucketed: Callable[[DataFrame, str], DataFrame] = _as_is,
     stored: Callable[[DataFrame, str], DataFrame] = _as_is,
     plan: DataFrame | None = None,
+    pieces: int | None = None,
 ) -> Ledger:
     """The ledger through a cutoff; the callables may store its tables.
 
@@ -228,11 +248,14 @@ def ledger(
     plan, ``payments`` the settled history with reversal instants. Plan and days hold no
     more than a plan and a calendar of one loan, so buckets by loan suit them; instants
     of a hot loan may be many and are left as they come. The plan is the same at every
-    cutoff; ``plan`` gives the one of an earlier ledger.
+    cutoff; ``plan`` gives the one of an earlier ledger. ``pieces`` is how many buckets the
+    stored loans have: the plan's copies are dropped in the bucket that they go to, and days
+    of several instants are counted, which needs stored tables.
     """
     ids = loans.select("loan_id")
     if plan is None:
-        due = installments.distinct().join(ids, "loan_id", "left_semi")
+        dealt = installments.repartition(pieces, "loan_id") if pieces else installments
+        due = dealt.distinct().join(ids, "loan_id", "left_semi")
         plan = bucketed(due_ranges(due), "due_ranges")
     known = payments.select("loan_id", "paid_at_utc", "amount", "reversed_at_utc")
     spans = effective_span(known, cutoff)
@@ -241,7 +264,7 @@ def ledger(
         loans.select("loan_id", "disbursement_date"),
         plan,
         days,
-        stored(paid_instants(spans, days), "paid_instants"),
+        stored(paid_instants(spans, days, counted=bool(pieces)), "paid_instants"),
         cutoff,
     )
 

@@ -7,7 +7,7 @@ than one consumer reads.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import cached_property
 
@@ -46,7 +46,7 @@ from loanloom.operators.temporal import (
     look_up,
     version_intervals,
 )
-from loanloom.sources.layers import Layers
+from loanloom.sources.layers import Layers, pieces_for
 
 # Fixed values of the source data.
 UNKNOWN_CUSTOMER = 999999999
@@ -258,16 +258,25 @@ def fct_loan(raw_loans: DataFrame, applications: DataFrame, rates: Curves) -> Da
     )
 
 
-def int_payment_history(raw_payments: DataFrame) -> DataFrame:
-    """Settled payments with the instant of their earliest reversal, if any."""
+def _dealt(rows: DataFrame, keys: Sequence[str], pieces: int | None) -> DataFrame:
+    return rows.repartition(pieces, *keys) if pieces else rows.repartition(*keys)
+
+
+def int_payment_history(raw_payments: DataFrame, pieces: int | None = None) -> DataFrame:
+    """Settled payments with the instant of their earliest reversal, if any.
+
+    Copies and reversals meet a payment in the same of ``pieces``: one shuffle does for
+    both, and a task holds no more than its piece.
+    """
+    key = ["source_system", "payment_id"]
     events = typed_payment_events(raw_payments)
-    settled = events.where("status = 'SETTLED'").distinct()
+    settled = _dealt(events.where("status = 'SETTLED'"), key, pieces).distinct()
     reversals = (
         events.where("status = 'REVERSED' and reversed_payment_id is not null")
         .groupBy("source_system", F.col("reversed_payment_id").alias("payment_id"))
         .agg(F.min("paid_at_utc").alias("reversed_at_utc"))
     )
-    return settled.join(reversals, ["source_system", "payment_id"], "left").select(
+    return settled.join(reversals, key, "left").select(
         "source_system",
         "payment_id",
         "loan_id",
@@ -490,7 +499,13 @@ class Lending:
         return self.layers.write(df, "silver", name)
 
     def _by_loan(self, name: str, df: DataFrame) -> DataFrame:
-        return self.layers.write_bucketed(df, "silver", name, "loan_id")
+        return self.layers.write_bucketed(df, "silver", name, "loan_id", self.pieces)
+
+    @cached_property
+    def pieces(self) -> int:
+        """Pieces of payments and buckets of loans, by the rows of the largest extracts."""
+        largest = ("raw_payments", "raw_installments")
+        return pieces_for(self.layers.spark, max(self.raw[n].count() for n in largest))
 
     def store(self) -> None:
         """Stores the tables that others read now; otherwise each is at its first use."""
@@ -534,7 +549,7 @@ class Lending:
 
     @cached_property
     def int_payment_history(self) -> DataFrame:
-        return int_payment_history(self.raw["raw_payments"])
+        return int_payment_history(self.raw["raw_payments"], self.pieces)
 
     @cached_property
     def stored_payment_history(self) -> DataFrame:
@@ -559,6 +574,7 @@ class Lending:
             bucketed=lambda df, name: self._by_loan(f"{name}_{suffix}", df),
             stored=lambda df, name: self._silver(f"{name}_{suffix}", df),
             plan=self._plan,
+            pieces=self.pieces,
         )
         self._plan = book.plan
         return book

@@ -34,6 +34,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Rows of a piece or bucket, so that what one task holds does not grow with the table.
+ROWS_PER_PIECE = 300_000
+
+
+def pieces_for(spark: SparkSession, rows: int, rows_per_piece: int = ROWS_PER_PIECE) -> int:
+    """How many pieces so many rows are dealt into; the session's partitions at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_piece))
+
+
 class Layers:
     """Writes and reads tables under ``<root>/<layer>/<table>``.
 

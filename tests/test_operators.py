@@ -4,13 +4,14 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from loanloom.sources.layers import Layers
+from loanloom.sources.layers import Layers, pieces_for
 from pyspark.sql import functions as F
 
 from loanloom.operators.allocation import (
     allocate,
     balances_by_month_end,
     effective_by_month_end,
+    ledger,
     received_by_month_end,
 )
 from loanloom.operators.change_log import known_id_per_key, latest_state, repair_sentinel
@@ -18,7 +19,7 @@ from loanloom.operators.quality import table_diff
 from loanloom.operators import temporal
 from loanloom.operators.running import in_pieces, running_total, with_position
 from loanloom.operators.temporal import asof_join, interval_join, version_intervals
-from loanloom.plans.lending import final_status
+from loanloom.plans.lending import final_status, int_payment_history
 
 CUTOFF = date(2024, 6, 30)
 
@@ -324,3 +325,64 @@ def test_received_totals_spread_months_last(planned):
     assert rows(got) == rows(expected)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("Aggregate")
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_pieces_follow_the_rows(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert pieces_for(spark, 0) == least
+    assert pieces_for(spark, 300_000 * 1000 + 1) == 1001
+
+
+def test_payments_meet_copies_and_reversals_in_one_shuffle(spark):
+    made = [
+        ("1", "7", "2024-03-01 10:00:00", "5.00", "core_v2", "CARD", "SETTLED", None),
+        ("1", "7", "2024-03-01T10:00:00Z", "5.00", "core_v2", "CARD", "SETTLED", None),
+        ("2", "7", "2024-03-02 10:00:00", "6.00", "core_v2", "CARD", "SETTLED", None),
+        ("9", "7", "2024-04-02 10:00:00", "6.00", "core_v2", "CARD", "REVERSED", "2"),
+    ]
+    raw = spark.createDataFrame(
+        made,
+        "payment_id string, loan_ref string, paid_at_utc string, amount_raw string, "
+        "source_system string, payment_method string, status string, reversed_payment_id string",
+    )
+    history = int_payment_history(raw, 11)
+    assert rows(history.select("payment_id", "reversed_at_utc")) == [
+        (1, None),
+        (2, datetime(2024, 4, 2, 10)),
+    ]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = exchanges(int_payment_history(raw, 11))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Copies are equal in all columns; none is dealt by the others.
+    assert found and not any("payment_method" in line.split("ENSURE")[0] for line in found)
+    assert any(", 11)" in line for line in found)
+
+
+def test_ledger_in_pieces_is_the_ledger(planned):
+    """Copies of the plan and days of several instants, with and without pieces."""
+    loans = planned.createDataFrame(
+        [(1, date(2024, 1, 5)), (2, date(2024, 2, 5))], "loan_id long, disbursement_date date"
+    )
+    plan = planned.createDataFrame(
+        [(n, i, date(2024, 1 + i, 1), Decimal(10)) for n in (1, 2, 3) for i in (1, 2, 2)],
+        "loan_id long, installment_number int, due_date date, amount_due decimal(18,2)",
+    )
+    payments = planned.createDataFrame(
+        [(n, datetime(2024, 3, 1 + h % 2, 12 + h), Decimal(3), None) for n in (1, 2, 3) for h in (0, 1, 2)],
+        "loan_id long, paid_at_utc timestamp_ntz, amount decimal(18,2), reversed_at_utc timestamp_ntz",
+    )
+    plain = ledger(loans, plan, payments, CUTOFF)
+    dealt = ledger(loans, plan, payments, CUTOFF, pieces=11)
+    for table in ("plan", "days", "instants"):
+        assert rows(getattr(dealt, table)) == rows(getattr(plain, table))
+    assert len(rows(dealt.plan)) == 4 and len(rows(dealt.instants)) == 4
+    # Few days of several instants are sent to the payments.
+    assert "BroadcastHashJoin" in dealt.instants._jdf.queryExecution().executedPlan().toString()
+    again = ledger(loans, plan, payments, CUTOFF, plan=plain.plan)
+    assert again.plan is plain.plan
