@@ -149,3 +149,10 @@ def test_partitioned_write_neither_shuffles_nor_sorts(spark, monkeypatch):
     folder = Path(layers.current("silver", "t"))
     assert len(list(folder.glob("month=7/part-*"))) == 3
     layers.close()
+
+
+def test_extracts_are_expanded_in_a_fixed_number_of_pieces(spark):
+    """Pieces that adaptive execution joins to one more than the cores leave these idle."""
+    for name in ("raw_applications_cdc", "raw_loans", "raw_installments", "raw_payments"):
+        plan = RawTables(spark, FOLDER)[name]._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
