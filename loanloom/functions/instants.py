@@ -42,14 +42,37 @@ def parse_utc(text: Column) -> Column:
 
 
 def local_date(instant: Column, zone: str = BUSINESS_ZONE) -> Column:
-    """Calendar day of a UTC instant in the business zone."""
-    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), instant))
+    """Calendar day of a UTC instant in the business zone.
+
+    ``from_utc_timestamp`` looks the zone up once a query, ``convert_timezone`` once a row.
+    Seconds are counted from the parts of the instant, so the session's zone plays no part.
+    """
+    minutes = F.hour(instant) * 60 + F.minute(instant)
+    day = F.unix_date(F.to_date(instant)).cast("bigint") * 86400
+    utc = F.timestamp_seconds(day + minutes * 60 + F.second(instant))
+    clock = F.unix_seconds(F.from_utc_timestamp(utc, zone))
+    return F.date_from_unix_date(F.floor(clock / 86400).cast("int"))
 
 
 def month_start(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
+def month_number(day: Column) -> Column:
+    """Months counted from January of the year 0, so that months are dealt with as integers."""
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+def month_end(number: Column) -> Column:
+    """Last day of the month of a ``month_number``."""
+    return F.last_day(F.add_months(F.expr("date'0000-01-01'"), number))
+
+
+def month_numbers(first: Column, last: Column) -> Column:
+    """Array of month numbers from ``first``'s month through ``last``'s month."""
+    return F.sequence(month_number(first), month_number(last), F.lit(1))
+
+
 def month_starts(first: Column, last: Column) -> Column:
     """Array of month starts from ``first``'s month through ``last``'s month."""
     return F.sequence(

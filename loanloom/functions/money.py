@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,7 +76,8 @@ def from_minor_units(text: Column) -> Column:
     """
     cents = F.trim(text).try_cast("bigint").cast("decimal(20,0)")
     broken = F.raise_error(F.concat(F.lit("not whole cents: "), text)).cast(MONEY)
-    return F.coalesce((cents / F.lit(100)).try_cast(MONEY), F.when(text.isNotNull(), broken))
+    amount = cents * F.lit(Decimal("0.01"))
+    return F.coalesce(amount.try_cast(MONEY), F.when(text.isNotNull(), broken))
 
 
 def to_usd(amount: Column, units_per_usd: Column, as_type: str = USD) -> Column:

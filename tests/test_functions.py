@@ -5,7 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanloom.functions import lists, text
-from loanloom.functions.instants import local_date, parse_utc, require_month_end
+from loanloom.functions.instants import (
+    local_date,
+    month_end,
+    month_numbers,
+    parse_utc,
+    require_month_end,
+)
 from loanloom.functions.money import (
     bucket,
     from_minor_units,
@@ -55,6 +61,30 @@ def test_local_date(zoned):
     assert got == [c[1] for c in cases]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_local_date_looks_the_zone_up_once(zoned):
+    """As ``convert_timezone`` has it, around clock changes and before 1970 too."""
+    starts = [datetime(1992, 5, 3), datetime(1993, 4, 4), datetime(1951, 5, 6), datetime(1, 1, 1)]
+    instants = [(s.replace(hour=h, minute=59, microsecond=999999),) for s in starts for h in range(9)]
+    df = zoned.createDataFrame(instants, "t timestamp_ntz")
+    plain = F.convert_timezone(F.lit("UTC"), F.lit("America/Bogota"), F.col("t"))
+    assert df.where(local_date(F.col("t")) != F.to_date(plain)).isEmpty()
+    # That function looks its zones up by name for every row.
+    assert "convert_timezone" not in plan_of(df.select(local_date(F.col("t")))).lower()
+
+
+def test_months(spark):
+    cases = [(date(1999, 11, 30), date(2000, 3, 1)), (date(2001, 1, 1), date(2001, 1, 31)), (None, None)]
+    got = spark.createDataFrame(cases, "a date, b date").select(
+        F.transform(month_numbers(F.col("a"), F.col("b")), month_end).alias("v")
+    )
+    ends = [date(1999, 11, 30), date(1999, 12, 31), date(2000, 1, 31), date(2000, 2, 29)]
+    assert [r.v for r in got.collect()] == [[*ends, date(2000, 3, 31)], [date(2001, 1, 31)], None]
+
+
 def test_cutoff_must_be_month_end():
     assert require_month_end(date(2000, 2, 29))
     with pytest.raises(ValueError):
