@@ -27,7 +27,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanloom.functions.instants import local_date, month_start, month_starts
+from loanloom.functions.instants import (
+    local_date,
+    month_end,
+    month_numbers,
+    month_start,
+    month_starts,
+)
 
 ALWAYS = "date'0001-01-01'"
 NEVER = "date'9999-12-31'"
@@ -85,10 +91,10 @@ def effective_at(payments: DataFrame, cutoff: date) -> DataFrame:
 def _each_month_end(spans: DataFrame, cutoff: date) -> DataFrame:
     """Repeat each span for the month-ends in it, as ``cutoff_date``."""
     last = F.coalesce(F.date_sub(month_start(F.col("counts_until")), 1), F.lit(cutoff))
-    months = month_starts(F.col("counts_from"), last)
+    months = month_numbers(F.col("counts_from"), last)
     return (
         spans.withColumn("_month", F.explode(months))
-        .withColumn("cutoff_date", F.last_day("_month"))
+        .withColumn("cutoff_date", month_end(F.col("_month")))
         .drop("_month")
     )
 
@@ -476,8 +482,8 @@ def month_ends_of_step(rows: DataFrame) -> DataFrame:
     # Both a month-end bound and the day after the cutoff are exclusive.
     last = F.date_sub(month_start(F.col("step_to")), 1)
     return rows.withColumn(
-        "_month", F.explode(month_starts(F.col("step_from"), last))
-    ).withColumn("cutoff_date", F.last_day("_month"))
+        "_month", F.explode(month_numbers(F.col("step_from"), last))
+    ).withColumn("cutoff_date", month_end(F.col("_month")))
 
 
 def balances_of(book: Ledger) -> DataFrame:
@@ -537,10 +543,15 @@ def allocation_of(
     """
     cutoff = book.cutoff
     status = _status_by_step(book, final_only, with_settlement)
+    # Since when a row is open does not change in its step; only days are counted by month.
+    status = status.withColumn(
+        "_open_since", F.when(F.col("remaining_amount") > 0, F.col("due_date"))
+    )
     if final_only:
         dated = status.withColumn("cutoff_date", F.lit(cutoff))
     else:
         dated = month_ends_of_step(status)
+    late = F.datediff("cutoff_date", "_open_since")
     return dated.select(
         "cutoff_date",
         "loan_id",
@@ -550,12 +561,7 @@ def allocation_of(
         "paid_amount",
         "remaining_amount",
         "settlement_at_utc",
-        F.when(
-            (F.col("due_date") < F.col("cutoff_date")) & (F.col("remaining_amount") > 0),
-            F.datediff("cutoff_date", "due_date"),
-        )
-        .otherwise(0)
-        .alias("days_past_due"),
+        F.greatest(F.coalesce(late, F.lit(0)), F.lit(0)).alias("days_past_due"),
     )
 
 

@@ -255,6 +255,13 @@ def test_allocation_matches_definition(planned, seed):
     assert rows(balances) == sorted(((*k, *v) for k, v in summed.items()), key=str)
 
 
+def test_months_are_spread_as_integers(spark):
+    """Dates a month apart are slow to make: each goes through the session's time zone."""
+    status = allocate(*frames(spark, random_case(1)), CUTOFF, with_settlement=False)
+    plan = status._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "sequence(" in plan and "interval" not in plan
+
+
 def test_many_instants_on_one_day(planned):
     """A loan paid in small parts within one day; the part that reaches an end settles it."""
     loans = [(1, date(2024, 3, 1))]
