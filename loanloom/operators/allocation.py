@@ -543,15 +543,10 @@ def allocation_of(
     """
     cutoff = book.cutoff
     status = _status_by_step(book, final_only, with_settlement)
-    # Since when a row is open does not change in its step; only days are counted by month.
-    status = status.withColumn(
-        "_open_since", F.when(F.col("remaining_amount") > 0, F.col("due_date"))
-    )
     if final_only:
         dated = status.withColumn("cutoff_date", F.lit(cutoff))
     else:
         dated = month_ends_of_step(status)
-    late = F.datediff("cutoff_date", "_open_since")
     return dated.select(
         "cutoff_date",
         "loan_id",
@@ -561,7 +556,12 @@ def allocation_of(
         "paid_amount",
         "remaining_amount",
         "settlement_at_utc",
-        F.greatest(F.coalesce(late, F.lit(0)), F.lit(0)).alias("days_past_due"),
+        F.when(
+            (F.col("due_date") < F.col("cutoff_date")) & (F.col("remaining_amount") > 0),
+            F.datediff("cutoff_date", "due_date"),
+        )
+        .otherwise(0)
+        .alias("days_past_due"),
     )
 
 
