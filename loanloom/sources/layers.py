@@ -24,6 +24,13 @@ POINTER = "_pointer-"
 KEPT = 2
 #: Files of different values that one task keeps open; with more values it sorts the rest.
 OPEN_FILES = 128
+#: What such a file holds in memory before it writes a row group, a page and a dictionary, in
+#: bytes. Usual row groups are as large as whole files here: all would grow till the end.
+OPEN_FILE_BUFFERS = {
+    "parquet.block.size": 512 * 1024,
+    "parquet.page.size": 64 * 1024,
+    "parquet.dictionary.page.size": 32 * 1024,
+}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -73,14 +80,15 @@ class Layers:
         A stored table survives lost executors, is pruned by column and gives the
         planner its true size. With ``partition_by`` rows are written where they lie, one
         file a task and value: they are neither shuffled nor sorted, so the write takes no
-        more disk than the table. How large the files are follows from the tasks.
+        more disk than the table. How large the files are follows from the tasks; what a
+        task holds of them does not, as each writes its rows out in small groups.
         """
         version = f"v-{uuid.uuid4().hex}"
 
         def save(rows: DataFrame) -> None:
             writer = rows.write.option("compression", "zstd")
             if partition_by:
-                writer = writer.partitionBy(*partition_by)
+                writer = writer.partitionBy(*partition_by).options(**OPEN_FILE_BUFFERS)
             writer.parquet(f"{self.path(layer, name)}/{version}")
 
         def save_by_value(rows: DataFrame) -> None:

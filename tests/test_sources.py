@@ -1,6 +1,7 @@
 from datetime import date
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from loanloom.samples.lending import CUTOFF, RawTables
@@ -156,3 +157,19 @@ def test_extracts_are_expanded_in_a_fixed_number_of_pieces(spark):
     for name in ("raw_applications_cdc", "raw_loans", "raw_installments", "raw_payments"):
         plan = RawTables(spark, FOLDER)[name]._jdf.queryExecution().executedPlan().toString()
         assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
+
+
+def test_open_files_of_a_partitioned_write_hold_little(spark):
+    """A task has a file a month open, so none may hold its rows till it is closed."""
+    layers = Layers(spark)
+    rows = spark.range(0, 400_000, 1, 1).selectExpr(
+        "xxhash64(id) as a", "xxhash64(id, 1) as b", "cast(id % 2 as int) as month"
+    )
+    layers.write(rows, "silver", "t", ["month"])
+    files = list(Path(layers.current("silver", "t")).glob("month=*/part-*.parquet"))
+    assert len(files) == 2
+    for file in files:
+        held = pq.ParquetFile(file).metadata
+        sizes = [held.row_group(i).total_byte_size for i in range(held.num_row_groups)]
+        assert sum(sizes) > 3_000_000 and max(sizes) < 1_000_000
+    layers.close()
