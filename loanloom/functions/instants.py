@@ -6,7 +6,7 @@ on ``spark.sql.session.timeZone``.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,6 +68,21 @@ def month_end(number: Column) -> Column:
     return F.last_day(F.add_months(F.expr("date'0000-01-01'"), number))
 
 
+#: Months whose ends are looked up as text.
+_LISTED_MONTHS = 600
+
+
+def month_end_text(number: Column, until: date) -> Column:
+    """``month_end`` as text: listed for fifty years up to ``until``, else written anew."""
+    first = until.year * 12 + until.month - _LISTED_MONTHS
+    following = (divmod(n, 12) for n in range(first + 1, first + 1 + _LISTED_MONTHS))
+    ends = [str(date(year, month + 1, 1) - timedelta(days=1)) for year, month in following]
+    place = number - first
+    listed = F.get(F.split(F.lit(",".join(ends)), ","), place)
+    known = (place >= 0) & (place < _LISTED_MONTHS)
+    return F.when(known, listed).otherwise(month_end(number).cast("string"))
+
+
 def month_numbers(first: Column, last: Column) -> Column:
     """Array of month numbers from ``first``'s month through ``last``'s month."""
     return F.sequence(month_number(first), month_number(last), F.lit(1))
@@ -82,8 +97,6 @@ def month_starts(first: Column, last: Column) -> Column:
 
 def require_month_end(cutoff: date) -> date:
     """Month-end tables are only defined at the last day of a month."""
-    from datetime import timedelta
-
     if (cutoff + timedelta(days=1)).day != 1:
         raise ValueError(f"cutoff {cutoff} is not the last day of a month")
     return cutoff

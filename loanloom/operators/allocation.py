@@ -20,7 +20,7 @@ lie, and payments are read and summed once for all consumers.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from loanloom.functions.instants import (
     local_date,
     month_end,
+    month_end_text,
     month_numbers,
     month_start,
     month_starts,
@@ -534,21 +535,39 @@ def allocate(
     return allocation_of(book, final_only, with_settlement)
 
 
+#: Gives columns of rows another form, but for the named ones.
+Shown = Callable[[DataFrame, Sequence[str]], DataFrame]
+
+
 def allocation_of(
-    book: Ledger, final_only: bool = False, with_settlement: bool = True
+    book: Ledger,
+    final_only: bool = False,
+    with_settlement: bool = True,
+    shown: Shown | None = None,
 ) -> DataFrame:
     """Installment status per month-end, loan and installment.
 
-    With ``final_only`` just the cutoff is produced and no calendar is expanded.
+    With ``final_only`` just the cutoff is produced and no calendar is expanded. ``shown``
+    is for the month-ends of all steps: it gives the columns their form while a row is a
+    step, so that the many rows of its months copy it; their month-ends are text.
     """
     cutoff = book.cutoff
-    status = _status_by_step(book, final_only, with_settlement)
+    open_since = F.when(F.col("remaining_amount") > 0, F.col("due_date"))
+    status = _status_by_step(book, final_only, with_settlement).withColumn(
+        "_open_since", open_since
+    )
+    month = F.col("cutoff_date")
     if final_only:
         dated = status.withColumn("cutoff_date", F.lit(cutoff))
+    elif shown:
+        kept = ["step_from", "step_to", "_open_since"]
+        dated = month_ends_of_step(shown(status, kept))
+        month = month_end_text(F.col("_month"), cutoff).alias("cutoff_date")
     else:
         dated = month_ends_of_step(status)
+    late = F.datediff("cutoff_date", "_open_since")
     return dated.select(
-        "cutoff_date",
+        month,
         "loan_id",
         "installment_number",
         "due_date",
@@ -556,12 +575,7 @@ def allocation_of(
         "paid_amount",
         "remaining_amount",
         "settlement_at_utc",
-        F.when(
-            (F.col("due_date") < F.col("cutoff_date")) & (F.col("remaining_amount") > 0),
-            F.datediff("cutoff_date", "due_date"),
-        )
-        .otherwise(0)
-        .alias("days_past_due"),
+        F.greatest(F.coalesce(late, F.lit(0)), F.lit(0)).alias("days_past_due"),
     )
 
 
@@ -598,6 +612,14 @@ def _at_common_bounds(steps: DataFrame) -> DataFrame:
     )
 
 
+def _equal(left: str, right: str) -> Column:
+    """Equality that is no join key: by a loan's id alone rows meet in its bucket.
+
+    With more keys Spark deals both sides out anew. What is compared is a loan's own rows.
+    """
+    return (F.col(left) <= F.col(right)) & (F.col(left) >= F.col(right))
+
+
 def _status_by_step(
     book: Ledger,
     final_only: bool = False,
@@ -630,11 +652,21 @@ def _status_by_step(
         # One step and one epoch per loan: look up from the status rows themselves.
         status = completed_at(status.drop("epoch_from"), book, one_epoch=True, how="left")
     else:
-        key = ["loan_id", "epoch_from", "installment_number"]
         due = book.plan.select("loan_id", "installment_number", "due_end")
-        done = completed_at(due, book).drop("due_end")
+        done = completed_at(due, book).select(
+            F.col("loan_id").alias("_done_loan"),
+            F.col("epoch_from").alias("_done_epoch"),
+            F.col("installment_number").alias("_done_number"),
+            "counts_from",
+            "settlement_at_utc",
+        )
+        same = (
+            (F.col("loan_id") == F.col("_done_loan"))
+            & _equal("epoch_from", "_done_epoch")
+            & _equal("installment_number", "_done_number")
+        )
         visible = F.col("counts_from") <= F.col("step_from")
-        status = status.join(done, key, "left").withColumn(
+        status = status.join(done, same, "left").withColumn(
             "settlement_at_utc", F.when(visible, F.col("settlement_at_utc"))
         )
     remaining = (F.col("amount_due") - F.col("paid_amount")).cast("decimal(18,2)")

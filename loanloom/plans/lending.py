@@ -32,7 +32,7 @@ from loanloom.functions.money import (
     to_usd,
 )
 from loanloom.functions.text import blank_to_null
-from loanloom.operators.allocation import Ledger, allocation_of, balances_of, ledger
+from loanloom.operators.allocation import Ledger, Shown, allocation_of, balances_of, ledger
 from loanloom.operators.change_log import (
     known_id_per_key,
     latest_state,
@@ -311,9 +311,12 @@ def fct_payment(history: DataFrame, loans: DataFrame) -> DataFrame:
 # Installment status
 
 
-def int_installment_status(book: Ledger) -> DataFrame:
-    """Status of every installment at every month-end through the cutoff."""
-    return allocation_of(book)
+def int_installment_status(book: Ledger, shown: Shown | None = None) -> DataFrame:
+    """Status of every installment at every month-end through the cutoff.
+
+    ``shown`` may give the columns another form, see ``allocation_of``.
+    """
+    return allocation_of(book, shown=shown)
 
 
 def fct_installment_status(book: Ledger) -> DataFrame:

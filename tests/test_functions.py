@@ -8,6 +8,7 @@ from loanloom.functions import lists, text
 from loanloom.functions.instants import (
     local_date,
     month_end,
+    month_end_text,
     month_numbers,
     parse_utc,
     require_month_end,
@@ -85,6 +86,21 @@ def test_months(spark):
     assert [r.v for r in got.collect()] == [[*ends, date(2000, 3, 31)], [date(2001, 1, 31)], None]
 
 
+def test_month_ends_as_text(spark):
+    """Listed months and those before and after the list are written alike."""
+    number, until = F.col("id").cast("int"), date(2000, 2, 29)
+    months = spark.range(1900 * 12, 2010 * 12).select(
+        number.alias("n"),
+        month_end_text(number, until).alias("got"),
+        month_end(number).cast("string").alias("wanted"),
+    )
+    assert months.where("got = wanted").count() == 110 * 12
+    assert months.where(f"n = {2000 * 12 + 1}").first().got == "2000-02-29"
+    assert months.where("n is null").count() == 0
+    none = spark.range(1).select(month_end_text(F.lit(None).cast("int"), until).alias("v"))
+    assert none.first().v is None
+
+
 def test_cutoff_must_be_month_end():
     assert require_month_end(date(2000, 2, 29))
     with pytest.raises(ValueError):

@@ -7,8 +7,10 @@ import pytest
 from loanloom.sources.layers import Layers, pieces_for
 from pyspark.sql import functions as F
 
+from loanloom.catalog import all_queries, present
 from loanloom.operators.allocation import (
     allocate,
+    allocation_of,
     balances_by_month_end,
     effective_by_month_end,
     ledger,
@@ -21,6 +23,8 @@ from loanloom.operators.running import in_pieces, running_total, with_position
 from loanloom.operators.temporal import asof_join, interval_join, version_intervals
 from loanloom.plans.lending import final_status, int_payment_history
 
+from conftest import FOLDER
+
 CUTOFF = date(2024, 6, 30)
 
 
@@ -393,3 +397,76 @@ def test_ledger_in_pieces_is_the_ledger(planned):
     assert "BroadcastHashJoin" in dealt.instants._jdf.queryExecution().executedPlan().toString()
     again = ledger(loans, plan, payments, CUTOFF, plan=plain.plan)
     assert again.plan is plain.plan
+
+
+def small_ledger(spark, store=lambda df, name: df):
+    """Two loans, the second with a reversal and payments of one day at several instants."""
+    loans = spark.createDataFrame(
+        [(1, date(2024, 1, 5)), (2, date(2024, 2, 9)), (3, None)],
+        "loan_id long, disbursement_date date",
+    )
+    plan = spark.createDataFrame(
+        [
+            (loan, n, date(2024, n + 1, 10) if n < 4 else None, Decimal("10.50"))
+            for loan in (1, 2)
+            for n in (1, 2, 3, 4)
+        ],
+        "loan_id long, installment_number int, due_date date, amount_due decimal(18,2)",
+    )
+    paid = [
+        (1, datetime(2024, 3, 1, 12), Decimal("15.00"), None),
+        (2, datetime(2024, 3, 2, 12), Decimal("10.50"), datetime(2024, 5, 3, 12)),
+        (2, datetime(2024, 3, 2, 13), Decimal("10.50"), None),
+        (2, datetime(2024, 4, 2, 13), Decimal("3.00"), None),
+    ]
+    payments = spark.createDataFrame(
+        paid,
+        "loan_id long, paid_at_utc timestamp_ntz, amount decimal(18,2),"
+        " reversed_at_utc timestamp_ntz",
+    )
+    return ledger(store(loans, "loans"), plan, payments, CUTOFF, bucketed=store)
+
+
+def test_status_is_shown_by_the_step(planned):
+    """The plain form of a step is made once and copied to its months, not made by the month."""
+    book = small_ledger(planned)
+    shown = allocation_of(book, shown=present)
+    assert shown.columns == allocation_of(book).columns
+    got = rows(shown)
+    assert len(got) == 4 * (6 + 5)
+    assert got == rows(present(allocation_of(book)))
+    assert {r[7] for r in got} == {
+        None, "2024-03-01 12:00:00.000", "2024-03-02 12:00:00.000", "2024-03-02 13:00:00.000"
+    }
+
+
+def test_the_query_shows_steps(spark):
+    plan = all_queries()["int_installment_status"](spark, FOLDER)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    # Children stand below their parents.
+    assert text.index("Generate explode") < text.index("date_format(")
+
+
+def test_settlements_meet_in_the_buckets_of_loans(spark):
+    """No more than the loan's id deals out, also if joins ask for all their keys."""
+    layers = Layers(spark)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, value in conf.items():
+        spark.conf.set(k, value)
+    try:
+        book = small_ledger(
+            spark, lambda df, name: layers.write_bucketed(df, "silver", name, "loan_id", 3)
+        )
+        status = allocation_of(book)
+        plan = status._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert not [line for line in dealt if "installment_number" in line]
+        assert rows(status) == rows(allocation_of(small_ledger(spark)))
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+        layers.close()
