@@ -63,24 +63,27 @@ def month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day) - 1
 
 
-def month_end(number: Column) -> Column:
-    """Last day of the month of a ``month_number``."""
-    return F.last_day(F.add_months(F.expr("date'0000-01-01'"), number))
+#: Years whose month-ends are listed, so that the many rows of a calendar look them up.
+_LISTED_YEARS = range(1950, 2050)
+
 
+def _listed(number: Column, as_type: str) -> Column:
+    """Month-end of a ``month_number`` in the listed years; null for all others."""
+    starts = [date(y, m, 1) for y in _LISTED_YEARS for m in range(1, 13)]
+    ends = [str(start - timedelta(days=1)) for start in [*starts[1:], date(_LISTED_YEARS.stop, 1, 1)]]
+    listed = F.split(F.lit(",".join(ends)), ",").cast(f"array<{as_type}>")
+    return F.get(listed, number - _LISTED_YEARS.start * 12)
 
-#: Months whose ends are looked up as text.
-_LISTED_MONTHS = 600
+
+def month_end(number: Column) -> Column:
+    """Last day of the month of a ``month_number``."""
+    written = F.last_day(F.add_months(F.expr("date'0000-01-01'"), number))
+    return F.coalesce(_listed(number, "date"), written)
 
 
-def month_end_text(number: Column, until: date) -> Column:
-    """``month_end`` as text: listed for fifty years up to ``until``, else written anew."""
-    first = until.year * 12 + until.month - _LISTED_MONTHS
-    following = (divmod(n, 12) for n in range(first + 1, first + 1 + _LISTED_MONTHS))
-    ends = [str(date(year, month + 1, 1) - timedelta(days=1)) for year, month in following]
-    place = number - first
-    listed = F.get(F.split(F.lit(",".join(ends)), ","), place)
-    known = (place >= 0) & (place < _LISTED_MONTHS)
-    return F.when(known, listed).otherwise(month_end(number).cast("string"))
+def month_end_text(number: Column) -> Column:
+    """``month_end`` as text."""
+    return F.coalesce(_listed(number, "string"), month_end(number).cast("string"))
 
 
 def month_numbers(first: Column, last: Column) -> Column:

@@ -562,7 +562,7 @@ def allocation_of(
     elif shown:
         kept = ["step_from", "step_to", "_open_since"]
         dated = month_ends_of_step(shown(status, kept))
-        month = month_end_text(F.col("_month"), cutoff).alias("cutoff_date")
+        month = month_end_text(F.col("_month")).alias("cutoff_date")
     else:
         dated = month_ends_of_step(status)
     late = F.datediff("cutoff_date", "_open_since")

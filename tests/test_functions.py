@@ -87,17 +87,18 @@ def test_months(spark):
 
 
 def test_month_ends_as_text(spark):
-    """Listed months and those before and after the list are written alike."""
-    number, until = F.col("id").cast("int"), date(2000, 2, 29)
-    months = spark.range(1900 * 12, 2010 * 12).select(
+    """Listed months and those before and after the list end alike, as days and as text."""
+    number = F.col("id").cast("int")
+    wanted = F.last_day(F.make_date((number / 12).cast("int"), number % 12 + 1, F.lit(1)))
+    months = spark.range(1900 * 12, 2100 * 12).select(
         number.alias("n"),
-        month_end_text(number, until).alias("got"),
-        month_end(number).cast("string").alias("wanted"),
+        month_end(number).alias("day"),
+        month_end_text(number).alias("text"),
+        wanted.alias("wanted"),
     )
-    assert months.where("got = wanted").count() == 110 * 12
-    assert months.where(f"n = {2000 * 12 + 1}").first().got == "2000-02-29"
-    assert months.where("n is null").count() == 0
-    none = spark.range(1).select(month_end_text(F.lit(None).cast("int"), until).alias("v"))
+    assert months.where("day = wanted and text = cast(wanted as string)").count() == 200 * 12
+    assert months.where(f"n = {2000 * 12 + 1}").first().text == "2000-02-29"
+    none = spark.range(1).select(month_end_text(F.lit(None).cast("int")).alias("v"))
     assert none.first().v is None
 
 
