@@ -615,7 +615,8 @@ def _at_common_bounds(steps: DataFrame) -> DataFrame:
 def _equal(left: str, right: str) -> Column:
     """Equality that is no join key: by a loan's id alone rows meet in its bucket.
 
-    With more keys Spark deals both sides out anew. What is compared is a loan's own rows.
+    With more keys Spark deals both sides out anew. All pairs of rows of one loan are
+    compared, so a loan must have a plan's and a calendar's rows on either side, not more.
     """
     return (F.col(left) <= F.col(right)) & (F.col(left) >= F.col(right))
 
